@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import simhash
+from siltbed.llm import bpe, simhash
 from siltbed.llm.common import table
 
 
+def _vocabulary() -> str:
+    """Where this machine keeps the public vocabulary; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
