@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bpe, simhash
+from siltbed.llm import bpe, pii, simhash
 from siltbed.llm.common import table
 
 
@@ -23,9 +23,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
