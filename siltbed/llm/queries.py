@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bpe, pii, simhash, toxicity
+from siltbed.llm import bpe, mixing, pii, simhash, toxicity
 from siltbed.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -33,6 +37,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_source_mixing": op3_source_mixing,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_pii": op10_pii,
