@@ -8,7 +8,7 @@ from siltbed.llm import bpe, mixing, pii, simhash, toxicity
 from siltbed.llm.common import table
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
     """Where this machine keeps the public vocabulary; the operators take any path."""
     import public_tokenizers
 
@@ -24,7 +24,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), _vocabulary())
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

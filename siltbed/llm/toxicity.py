@@ -38,7 +38,7 @@ from siltbed.llm.common import without
 
 WORD = re.compile(r"\w+")
 THRESHOLD = 0.7
-MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1500, 2500, 4000
+MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1200, 2400, 4000
 FALSE_SHARE = 0.01
 KEPT_WORDS = 400_000
 SLICE_CHARS = 1 << 21
@@ -144,16 +144,15 @@ def distinct(docs: list[list[str]], most_shared: float = 0.3) -> list[int]:
 def token_features(docs: list[list[str]], toxic: np.ndarray, most: int) -> dict[str, float]:
     """Features more frequent in toxic documents than chance allows, with their log-odds."""
     bad, all_ = Counter(), Counter()
-    known: dict[str, list[str]] = {}
     for words, t in zip(docs, toxic):
-        own = set()
-        for w in set(words):
-            own.update(known.setdefault(w, features(w)))
-        all_.update(own)
         if t:
-            bad.update(own)
+            bad.update({f for w in set(words) for f in features(w)})
+    tests = sum(n > 1 for n in bad.values())
+    bad = Counter({f: n for f, n in bad.items() if n > 2})
+    for words in docs:
+        all_.update({f for w in set(words) for f in features(w) if f in bad})
     rate = toxic.mean()
-    names = [f for f, n in bad.items() if n >= 3]
+    names = list(bad)
     if not names:
         return {}
     k, n = np.array([bad[f] for f in names], float), np.array([all_[f] for f in names], float)
@@ -161,7 +160,6 @@ def token_features(docs: list[list[str]], toxic: np.ndarray, most: int) -> dict[
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = n * (np.where(q > 0, q * np.log(q / rate), 0) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - rate)), 0))
     # Benjamini-Hochberg: of the features taken, chance gives FALSE_SHARE at most
-    tests = sum(1 for x in all_.values() if x >= 3)
     by_gain = -np.sort(-gain)
     passing = np.flatnonzero(-by_gain <= np.log(FALSE_SHARE * np.arange(1, len(gain) + 1) / tests))
     good = (q > 0.8) & (gain >= by_gain[passing[-1]]) if len(passing) else np.zeros(len(gain), bool)
@@ -169,6 +167,61 @@ def token_features(docs: list[list[str]], toxic: np.ndarray, most: int) -> dict[
     return {names[i]: float(np.log((k[i] + 0.5) / (n[i] - k[i] + 0.5))) for i in order}
 
 
+def _transitions(theta: np.ndarray) -> np.ndarray:
+    return np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
+
+
+def _batches(held: list, most: int = 200_000) -> Iterator[list]:
+    """Runs of documents of about `most` tokens, so that fitting needs little memory."""
+    own, size = [], 0
+    for doc in held:
+        own.append(doc)
+        size += len(doc[0])
+        if size >= most:
+            yield own
+            own, size = [], 0
+    if own:
+        yield own
+
+
+class _Part:
+    """Tokens of some documents end to end: where their features are, and their labels."""
+
+    def __init__(self, held: list, column: dict[str, int]):
+        sizes = [len(d) for d, _ in held]
+        self.size, self.starts = sum(sizes), np.cumsum([0, *sizes])[:-1]
+        known: dict[str, list[int]] = {}
+        row, col, at = [], [], 0
+        for d, _ in held:
+            for w in d:
+                own = known.get(w)
+                if own is None:
+                    own = known[w] = [column[f] for f in features(w) if f in column]
+                row += [at] * len(own)
+                col += own
+                at += 1
+        self.row, self.col, self.width = np.array(row, np.int64), np.array(col, np.int64), len(column)
+        tag = np.zeros(self.size, bool)
+        tag[self.row] = True
+        tag &= np.repeat([bool(t) for _, t in held], sizes)
+        inner = np.ones(self.size, bool)
+        inner[self.starts] = False
+        pairs = np.zeros((2, 2))
+        np.add.at(pairs, (tag[:-1][inner[1:]].astype(int), tag[1:][inner[1:]].astype(int)), 1)
+        self.want = np.r_[self.sums(tag.astype(float)), tag.sum(), pairs.ravel()[1:]]
+
+    def sums(self, p: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, weights=p[self.row], minlength=self.width)
+
+    def marginals(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        emit = theta[-4] + np.bincount(self.row, weights=theta[:-4][self.col], minlength=self.size)
+        return marginals(emit, self.starts, _transitions(theta))
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
+        p, moves = self.marginals(theta)
+        return self.want - np.r_[self.sums(p), p.sum(), moves.ravel()[1:]]
+
+
 def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FEATURES) -> Model:
     """Fits the field and the curve to labelled texts."""
     toxic = np.array(labels, bool)
@@ -185,47 +238,19 @@ def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FE
     if not names or not held:
         return model
     column = {f: i for i, f in enumerate(names)}
-    starts = np.cumsum([0, *(len(d) for d, _ in held)])[:-1]
-    # token t has feature column[i] for each of the pairs (row, col)
-    known: dict[str, list[int]] = {}
-    row, col, at = [], [], 0
-    for d, _ in held:
-        for i, w in enumerate(d):
-            own = known.get(w)
-            if own is None:
-                own = known[w] = [column[f] for f in features(w) if f in column]
-            if own:
-                row += [at + i] * len(own)
-                col += own
-        at += len(d)
-    row, col = np.array(row, np.int64), np.array(col, np.int64)
-    size = at
-    of_toxic = np.repeat([t for _, t in held], [len(d) for d, _ in held])
-    tag = np.zeros(size, bool)
-    tag[row] = True
-    tag &= of_toxic
-    inner = np.ones(size, bool)
-    inner[starts] = False
-    pairs = np.zeros((2, 2))
-    np.add.at(pairs, (tag[:-1][inner[1:]].astype(int), tag[1:][inner[1:]].astype(int)), 1)
-    w, bias, trans = np.zeros(len(names)), -2.0, np.zeros((2, 2))
-    want = np.bincount(col, weights=tag[row], minlength=len(names))
-    # Adam on the mean log-likelihood with a weak Gaussian prior
-    theta = np.r_[w, bias, 0.0, 0.0, 0.0]
+    parts = [_Part(own, column) for own in _batches(held)]
+    # Adam on the log-likelihood with a weak Gaussian prior
+    theta = np.r_[np.zeros(len(names)), -2.0, 0.0, 0.0, 0.0]
     mean, var = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        w, bias = theta[:-4], theta[-4]
-        trans = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
-        emit = np.full(size, bias) + np.bincount(row, weights=w[col], minlength=size)
-        p, moves = marginals(emit, starts, trans)
-        grad = np.r_[want - np.bincount(col, weights=p[row], minlength=len(names)), tag.sum() - p.sum(), (pairs - moves).ravel()[1:]] - 0.05 * theta
+        grad = sum(part.gradient(theta) for part in parts) - 0.05 * theta
         mean, var = 0.9 * mean + 0.1 * grad, 0.99 * var + 0.01 * grad**2
         theta = theta + 0.3 * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-8)
     model.weights = {f: float(theta[i]) for f, i in column.items()}
     model.bias = float(theta[-4])
-    model.trans = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
-    emit = np.full(size, model.bias) + np.bincount(row, weights=theta[:-4][col], minlength=size)
-    x, y = summary(marginals(emit, starts, model.trans)[0], starts), np.array([t for _, t in held], float)
+    model.trans = _transitions(theta)
+    x = np.concatenate([summary(part.marginals(theta)[0], part.starts) for part in parts])
+    y = np.array([t for _, t in held], float)
     c = np.zeros(3)
     for _ in range(40):  # Newton steps with a weak prior
         s = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
