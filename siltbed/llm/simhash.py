@@ -10,6 +10,14 @@ above `tile` entries are cut by population count and a salt into tile pairs,
 each a task's unit of work of its own. A unit gives the spanning links of what
 it finds, not all pairs.
 
+Filtering (`drop_near_duplicates`) is to catch copies of similarity 0.8 and more
+on word shingles, which differ in far more than four of 64 bits. There a
+document has a SimHash of 256 bits, and eight keys, each of two minima of hashed
+shingles, take the place of the bit blocks: copies of similarity s share a key
+with chance 1 - (1 - s^2)^8, over 0.999 from 0.8 on. The comparison within
+buckets is the same; 52 bits is two and a half deviations above what similarity
+0.8 gives and far below what unrelated texts or a shared passage give.
+
 Defined results: null and empty texts have the fingerprint 0 and link like any
 other; repeated rows keep their own rows; rows whose id is null join components
 but never name them; an empty table gives an empty table.
@@ -37,26 +45,50 @@ SEED, SHINGLE = 42, 4
 BITS = 64
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a text, as a signed integer."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; of the whole sequence if it is shorter."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
-    ends = list(accumulate(len(w) + 1 for w in words))
     digest = xxhash.xxh64_intdigest
     if len(words) <= width:
-        hashes = [digest(joined, SEED)]
-    else:
-        starts = [0, *ends[: len(words) - width]]
-        hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :])]
-    h = np.array(hashes, dtype="<u8")
+        return np.array([digest(joined, SEED)], "<u8")
+    ends = list(accumulate(len(w) + 1 for w in words))
+    starts = [0, *ends[: len(words) - width]]
+    return np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :])], "<u8")
+
+
+def majority(h: np.ndarray) -> int:
+    """Bits set in over half of the hashes, as a signed integer."""
     total = np.zeros(BITS, np.int64)
     for k in range(0, len(h), 1 << 15):
         total += np.unpackbits(h[k : k + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
     return int(np.packbits(total * 2 > len(h), bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a text, as a signed integer."""
+    return majority(shingle_hashes(text, width))
+
+
+#: Odd multipliers, by rule: they make further hashes of a hash.
+ODD = np.random.default_rng(42).integers(0, 1 << 63, 32, np.uint64) * np.uint64(2) + np.uint64(1)
+WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 8, 52
+
+
+def wide_fingerprint(text: str | None, width: int) -> tuple[list[int], list[int]]:
+    """A SimHash of WIDE_WORDS 64-bit words, and WIDE_KEYS keys of two minima each."""
+    h = shingle_hashes(text, width)
+    if not len(h):
+        return [0] * WIDE_WORDS, [0] * WIDE_KEYS
+    mixed = [h * m for m in ODD[: WIDE_WORDS - 1]]
+    words = [majority(h), *(majority(x ^ (x >> np.uint64(29))) for x in mixed)]
+    least = np.array([(h * m).min() for m in ODD[8 : 8 + 2 * WIDE_KEYS]])
+    keys = (least[0::2] * ODD[4]) ^ (least[1::2] >> np.uint64(7))
+    return words, keys.view(np.int64).tolist()
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = pa.array((fingerprint(x, width) for x in b.column(2).to_pylist()), pa.int64(), size=b.num_rows)
@@ -91,11 +123,14 @@ def blocks_for(n: int, radius: int) -> int:
     return blocks
 
 
-def spanning_links(fps: np.ndarray, radius: int, step: int = 512) -> np.ndarray:
-    """Links (node, root) that span what lies within the radius among distinct fps."""
-    pops = np.bitwise_count(fps)
+def spanning_links(words: np.ndarray, radius: int, step: int = 512) -> np.ndarray:
+    """Links (place, place of root) that span what lies within the radius.
+
+    words: a row of 64-bit words for each entry.
+    """
+    pops = np.bitwise_count(words).sum(axis=1, dtype=np.int32)
     order = np.argsort(pops, kind="stable")
-    f, pops = fps[order], pops[order].astype(np.int16)
+    f, pops = words[order], pops[order]
     root = np.arange(len(f))
     for a in range(0, len(f), step):
         left = f[a : a + step]
@@ -103,61 +138,63 @@ def spanning_links(fps: np.ndarray, radius: int, step: int = 512) -> np.ndarray:
         for b in range(a, len(f), step):
             if pops[b] - top > radius:
                 break  # sorted by population count: all later tiles are farther still
-            i, j = np.nonzero(np.bitwise_count(left[:, None] ^ f[None, b : b + step]) <= radius)
+            right = f[b : b + step]
+            apart = sum(np.bitwise_count(left[:, None, k] ^ right[None, :, k]).astype(np.int16) for k in range(f.shape[1]))
+            i, j = np.nonzero(apart <= radius)
             i, j = i + a, j + b
             while True:
-                apart = root[i] != root[j]
-                i, j = i[apart], j[apart]
+                other = root[i] != root[j]
+                i, j = i[other], j[other]
                 if not len(i):
                     break
-                least = np.minimum(root[i], root[j])
                 # hook the larger root to the smaller, then shorten all paths
-                np.minimum.at(root, np.maximum(root[i], root[j]), least)
+                np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
                 while not np.array_equal(up := root[root], root):
                     root = up
-    bound = np.nonzero(root != np.arange(len(f)))[0]
-    return np.stack([f[bound], f[root[bound]]], axis=1)
+    bound = np.flatnonzero(root != np.arange(len(f)))
+    return np.stack([order[bound], order[root[bound]]], axis=1)
 
 
 def _linked(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, fp), sorted by unit, to links. A unit may go over several batches."""
+    """Rows (unit, node, words), sorted by unit, to links. A unit may go over several batches."""
+
+    def links(held: list[np.ndarray]) -> np.ndarray:
+        rows = np.concatenate(held)
+        return rows[:, 0][spanning_links(np.ascontiguousarray(rows[:, 1:]).view(np.uint64), radius)]
 
     def give(parts: list[np.ndarray]) -> pa.RecordBatch:
-        uv = np.concatenate(parts).view(np.int64) if parts else np.empty((0, 2), np.int64)
+        uv = np.concatenate([np.empty((0, 2), np.int64), *parts])
         return pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], ["u", "v"])
 
-    unit_now, held = None, []
+    now, held = None, []
     for batch in batches:
-        unit = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]], axis=1)
-        fps = batch.columns[-1].to_numpy(zero_copy_only=False).view(np.uint64)
-        if not len(fps):
+        if not batch.num_rows:
             continue
-        cuts = [0, *(np.nonzero((unit[1:] != unit[:-1]).any(axis=1))[0] + 1).tolist(), len(fps)]
+        cut = batch.schema.get_field_index("node")
+        table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
+        unit, rows = table[:, :cut], table[:, cut:]
+        cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
         out = []
         for a, b in zip(cuts, cuts[1:]):
-            key = tuple(unit[a].tolist())
-            if key != unit_now:
-                if held and sum(map(len, held)) > 1:
-                    out.append(spanning_links(np.concatenate(held), radius))
-                unit_now, held = key, []
-            held.append(fps[a:b])
-        yield give([x for x in out if len(x)])
-    if held and sum(map(len, held)) > 1:
-        yield give([spanning_links(np.concatenate(held), radius)])
-
-
-def near_links(distinct: DataFrame, radius: int, tile: int = 4096) -> DataFrame:
-    """Distinct fp values to links (u, v) that span every component within the radius."""
-    masks = block_masks(blocks_for(distinct.count(), radius), radius)
-    pick = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)]))
-    keyed = distinct.select("fp", pick.alias("b")).select("b.c", "b.k", F.bit_count("fp").alias("p"), "fp")
+            if (key := unit[a].tolist()) != now:
+                if sum(map(len, held)) > 1:
+                    out.append(links(held))
+                now, held = key, []
+            held.append(rows[a:b])
+        yield give(out)
+    if sum(map(len, held)) > 1:
+        yield give([links(held)])
+
+
+def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int) -> DataFrame:
+    """Rows (c, k, node, words) to links (u, v) of nodes within the radius that share a bucket (c, k)."""
+    pops = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
+    keyed = keyed.withColumn("p", pops)
     counts = keyed.groupBy("c", "k", "p").agg(F.count("*").alias("n"))
     hot_keys = counts.groupBy("c", "k").agg(F.sum("n").alias("n")).where(F.col("n") > tile).select("c", "k")
     hot = stored(counts.join(hot_keys, ["c", "k"]).select("c", "k", "p", F.ceil(F.col("n") / tile).cast("int").alias("parts")), "hot-buckets")
-    out = "u long, v long"
-    link = partial(_linked, radius=radius)
-    hot_ck = hot.select("c", "k").distinct()
-    cold = keyed.join(hot_ck, ["c", "k"], "left_anti").select("c", "k", "fp")
+    out, link = "u long, v long", partial(_linked, radius=radius)
+    cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *words)
     links = cold.repartition("c", "k").sortWithinPartitions("c", "k").mapInArrow(link, out)
     if hot.isEmpty():
         return links
@@ -165,14 +202,43 @@ def near_links(distinct: DataFrame, radius: int, tile: int = 4096) -> DataFrame:
     a, b = tiles.select("c", "k", F.col("p").alias("p1"), F.col("s").alias("s1")), tiles.select("c", "k", F.col("p").alias("p2"), F.col("s").alias("s2"))
     near = (F.col("p2") - F.col("p1")).between(0, radius) & ((F.col("p1") < F.col("p2")) | (F.col("s1") <= F.col("s2")))
     pairs = a.join(b, ["c", "k"]).where(near)
-    own = keyed.join(hot, ["c", "k", "p"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    own = keyed.join(hot, ["c", "k", "p"]).withColumn("s", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     unit = ["c", "k", "p1", "s1", "p2", "s2"]
-    left = own.withColumnsRenamed({"p": "p1", "s": "s1"}).join(pairs, ["c", "k", "p1", "s1"]).select(*unit, "fp")
-    right = own.withColumnsRenamed({"p": "p2", "s": "s2"}).join(pairs, ["c", "k", "p2", "s2"]).where("p1 <> p2 or s1 <> s2").select(*unit, "fp")
+    left = own.withColumnsRenamed({"p": "p1", "s": "s1"}).join(pairs, ["c", "k", "p1", "s1"]).select(*unit, "node", *words)
+    right = own.withColumnsRenamed({"p": "p2", "s": "s2"}).join(pairs, ["c", "k", "p2", "s2"]).where("p1 <> p2 or s1 <> s2").select(*unit, "node", *words)
     both = left.union(right).repartition(*unit).sortWithinPartitions(*unit)
     return links.union(both.mapInArrow(link, out))
 
 
+def near_links(distinct: DataFrame, radius: int, tile: int = 4096) -> DataFrame:
+    """Distinct fp values to links (u, v) that span every component within the radius."""
+    masks = block_masks(blocks_for(distinct.count(), radius), radius)
+    pick = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)]))
+    keyed = distinct.select("fp", pick.alias("b")).select("b.c", "b.k", F.col("fp").alias("node"), F.col("fp").alias("w0"))
+    return bucket_links(keyed, ["w0"], radius, tile)
+
+
+def _wide_fingerprints(batches: Iterator[pa.RecordBatch], width: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [wide_fingerprint(x, width) for x in b.column(2).to_pylist()]
+        words = [pa.array([w[i] for w, _ in found], pa.int64()) for i in range(WIDE_WORDS)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *words, pa.array([k for _, k in found], pa.list_(pa.int64()))], names)
+
+
+def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int) -> DataFrame:
+    """(id, h) of the first row, by id (null last), of each class of copies."""
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.LongType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), _digest(text_col).alias("h"), F.col(f"`{text_col}`").alias("text"))
+    words = [f"w{i}" for i in range(WIDE_WORDS)]
+    rows = stored(rows.mapInArrow(partial(_wide_fingerprints, width=width, names=kind.names), kind), "copies")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))).alias("best")
+    named = stored(rows.groupBy("h", *words, "keys").agg(first), "copies-distinct")
+    keyed = named.select(F.col("h").alias("node"), *words, F.posexplode("keys").alias("c", "k")).select("c", "k", "node", *words)
+    joined = stored(components(bucket_links(keyed, words, WIDE_RADIUS, tile)), "copies-components")
+    rooted = named.select("h", "best").join(joined, F.col("h") == F.col("node"), "left").select(F.coalesce("root", "h").alias("root"), "best")
+    return rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h")
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, radius: int, width: int, tile: int) -> tuple[DataFrame, DataFrame]:
     """Rows (id, h, fp), and for each fp the first row (null ids last) of its component."""
     fps = stored(fingerprints(docs, id_col, text_col, width), "simhash")
@@ -192,14 +258,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(classes, "fp").select(F.col("id").alias(id_col), hexed, F.col("first.id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = SHINGLE, tile: int = 4096) -> DataFrame:
-    """One row of docs for each component, the one with the least id; columns as given.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 4096) -> DataFrame:
+    """One row of docs for each class of copies, the one with the least id; columns as given.
 
     Rows that share an id are told apart by their text; of equal rows one stays.
     The join is on id and text digest, so no group of copies meets in one task.
     """
-    _, classes = _classes(docs, id_col, text_col, radius, width, tile)
-    best = classes.select("first.id", "first.h").distinct().select(F.col("id").alias("_id"), F.col("h").alias("_h"))
-    digest = _digest(text_col)
-    kept = docs.withColumn("_key", digest).join(best, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_semi")
+    best = _first_of_copies(docs, id_col, text_col, width, tile).select(F.col("id").alias("_id"), F.col("h").alias("_h"))
+    kept = docs.withColumn("_key", _digest(text_col)).join(best, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_semi")
     return kept.dropDuplicates([id_col, "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,7 +68,7 @@ def test_spanning_links_of_all_block_counts():
             a = r.getrandbits(64)
             b = a ^ sum(1 << k for k in r.sample(range(64), 4))
             assert any(a & m == b & m for m in masks)
-    f = np.array([0, 1, 3, 1 << 40, (1 << 41) | (1 << 40), 2**64 - 1], np.uint64)
+    f = np.array([[0], [1], [3], [1 << 40], [(1 << 41) | (1 << 40)], [2**64 - 1]], np.uint64)
     assert len(simhash.spanning_links(f, 4, step=2)) == 4
 
 
@@ -80,6 +80,27 @@ def test_dropping_keeps_one_row_each(spark):
     assert kept == sorted([(1, rows[0][1]), (3, rows[3][1]), (3, rows[5][1]), (0, rows[4][1]), (0, "")])
 
 
+def test_dropping_finds_copies_of_similarity_080(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 6)))
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, copies, passage = [], set(), [word() for _ in range(60)]
+    for i in range(0, 300, 2):
+        a = [word() for _ in range(r.randint(80, 400))]
+        b = list(a)
+        for _ in range(len(a) // 50):
+            b[r.randrange(len(b))] = word()
+        if i % 4 == 0:  # a passage that many share makes no copies
+            a, b = a + passage, [word() for _ in range(150)] + passage
+        rows += [(i, " ".join(a), "p", 1), (i + 1, " ".join(b), "p", 1)]
+        x, y = grams(a), grams(b)
+        if len(x & y) >= 0.8 * len(x | y):
+            copies.add(i + 1)
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(copies) > 50 and not kept & copies
+    assert {i for i in range(300) if i % 4 in (0, 1)} <= kept
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0
