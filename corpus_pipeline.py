@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies stays: five words, radius 4."""
-    return simhash.drop_near_duplicates(docs, width=5)
+    """The document with the least id of each group of near copies stays: five words, 0.8 or more."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
