@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bpe, mixing, pii, simhash, toxicity
+from siltbed.llm import bitplane, bpe, isomedia, mixing, pii, simhash, toxicity
 from siltbed.llm.common import table
 
 
@@ -27,6 +27,14 @@ def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_isomedia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isomedia.features(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    "op6_bitplane_ids": op6_bitplane_ids,
+    "op7_isomedia": op7_isomedia,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_pii": op10_pii,
 }
