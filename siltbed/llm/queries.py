@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bitplane, bpe, isomedia, mixing, pii, simhash, toxicity
+from siltbed.llm import bitplane, bpe, iblt, isomedia, mixing, pii, simhash, toxicity
 from siltbed.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.compared(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op6_bitplane_ids": op6_bitplane_ids,
     "op7_isomedia": op7_isomedia,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii": op10_pii,
 }
 
