@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bitplane, bpe, iblt, isomedia, mixing, pii, simhash, toxicity
+from siltbed.llm import bitplane, bpe, iblt, isomedia, mixing, pii, simhash, toxicity, warc
 from siltbed.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(table(spark, sf_dir, "pages"))
+
+
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -50,6 +54,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
+    "op4_warc": op4_warc,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_bitplane_ids": op6_bitplane_ids,
     "op7_isomedia": op7_isomedia,
