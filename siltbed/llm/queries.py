@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import bitplane, bpe, iblt, isomedia, mixing, pii, simhash, toxicity, warc
+from siltbed.llm import bitplane, bpe, html_wrappers, iblt, isomedia, mixing, pii, simhash, toxicity, warc
 from siltbed.llm.common import table
 
 
@@ -15,6 +15,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_wrappers": op1_html_wrappers,
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
     "op4_warc": op4_warc,
