@@ -28,7 +28,8 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.captures(table(spark, sf_dir, "pages"))
+    found = warc.captures(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +69,32 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators fit models, run automata, or write formats that SQL can't
+#: express; tests hold them against brute force, other libraries and round trips.
+ORACLE_SQL: dict[str, str] = {
+    "op3_source_mixing": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN source IS NULL THEN 'n' ELSE 'a' || source END AS src FROM documents),
+s AS (SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size FROM d),
+k AS (SELECT doc_id, src, size,
+  -ln((CAST('0x' || substr(sha256('0' || chr(31) || coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || t), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0)
+  / (1e0 + 3e0 * (1e0 - least(1e0, abs(length(t) / CAST(greatest(size, 1) AS DOUBLE) - 6e0) / 6e0))) AS key FROM s),
+g AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size, CAST([5, 2, 1][(row_number() OVER (ORDER BY src) - 1) % 3 + 1] AS DOUBLE) AS weight FROM k GROUP BY src),
+c AS (SELECT *, 2e0 * source_size / weight AS ratio FROM g),
+l AS (SELECT *, (1.5e0 * sum(source_size) OVER () - coalesce(sum(2e0 * source_size) OVER (ORDER BY ratio, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY ratio, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+m AS (SELECT src, source_size, least(2e0 * source_size, (SELECT arg_min(level, ratio) FROM l WHERE level <= ratio) * weight) AS target FROM l),
+e AS (SELECT *, floor(target / greatest(source_size, 1)) AS epochs FROM m),
+r AS (SELECT *, CAST(round(target - epochs * source_size) AS BIGINT) AS rest FROM e)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, rest - (sum(size) OVER (PARTITION BY src ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size))) AS BIGINT) AS taken
+FROM k JOIN r USING (src)""",
+    "op4_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS x FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first FROM h)
+SELECT page_id, payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f""",
+}
