@@ -18,11 +18,14 @@ def candidates(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     can be repeated.
     """
     now = target.where(CURRENT).select(*keys, F.col(HASH).alias("_seed"), F.col(FROM).alias("_since"))
-    out = batch.join(now, list(keys), "left")
     later = F.col("_since").isNull() | (F.col(FROM) > F.col("_since")) | ((F.col(FROM) == F.col("_since")) & (F.col(HASH) != F.col("_seed")))
-    known = target.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(HASH).alias("_kh"), F.col(FROM).alias("_kf"))
-    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)] + [F.col(HASH) == F.col("_kh"), F.col(FROM).eqNullSafe(F.col("_kf"))]
-    return out.where(later).join(known, same, "left_anti").drop("_since")
+    # what passes that test and is a version already began with the current one and ended
+    # at once, or is undated; few are. Joined on the key alone, so nothing is dealt anew
+    known = target.where(F.col(FROM).eqNullSafe(F.col(TO)) | F.col(FROM).isNull())
+    known = known.groupBy(*keys).agg(F.collect_set(F.struct(F.col(FROM).alias("since"), F.col(HASH).alias("hash"))).alias("_known"))
+    again = F.exists("_known", lambda v: v["since"].eqNullSafe(F.col(FROM)) & v["hash"].eqNullSafe(F.col(HASH)))
+    out = batch.join(now, list(keys), "left").where(later).join(known, list(keys), "left")
+    return out.where(~F.coalesce(again, F.lit(False))).drop("_since", "_known")
 
 
 def collapse(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = HASH, seed: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from siltbed.operators.dedup import surplus
 from siltbed.operators.shape import ColumnSpec, missing_columns
 
 PK_NULL, DUPLICATE, MANDATORY, MISSING, TYPE, MARK, ROW_COUNT, CUSTOM = "PRIMARY_KEY_NULL", "DUPLICATE_PRIMARY_KEY", "MANDATORY_COLUMN_NULL", "COLUMN_MISSING", "DATA_TYPE_MISMATCH", "WATERMARK_INVALID", "ROW_COUNT_ANOMALY", "CUSTOM"
-FAIL, WARN, IGNORE = "FAIL", "WARN", "IGNORE"
+FAIL, REJECT, WARN, IGNORE = "FAIL", "REJECT", "WARN", "IGNORE"
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,30 @@ class Rule:
     threshold: float = 50.0
 
 
+def pattern(name: str, column: str, regex: str, action: str = FAIL) -> Rule:
+    """A value that is there matches the whole pattern."""
+    text = regex.replace("\\", "\\\\").replace("'", "\\'")
+    return Rule(name, CUSTOM, column, f"{quoted(column)} IS NULL OR {quoted(column)} RLIKE '^(?:{text})$'", action)
+
+
+def in_range(name: str, column: str, least: object = None, most: object = None, action: str = FAIL) -> Rule:
+    """A value that is there is within the bounds, both inclusive; they are SQL literals."""
+    bounds = [f"{quoted(column)} {sign} {v}" for sign, v in ((">=", least), ("<=", most)) if v is not None]
+    return Rule(name, CUSTOM, column, f"{quoted(column)} IS NULL OR ({' AND '.join(bounds) or 'TRUE'})", action)
+
+
+def routed(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+    """df and outcome: FAIL, REJECT, WARNING or PASS, the worst of the row's failures."""
+    def any_of(action: str) -> Column:
+        out = F.lit(False)
+        for r in rules:
+            if r.action == action:
+                out = out | F.coalesce(row_failure(r, keys), F.lit(False))
+        return out
+
+    return df.withColumn("outcome", F.when(any_of(FAIL), "FAIL").when(any_of(REJECT), "REJECT").when(any_of(WARN), "WARNING").otherwise("PASS"))
+
+
 def effective_rules(rules: Sequence[Rule], has_key: bool) -> list[Rule]:
     """Adds the built-in rules that no rule of the same type replaces; a type rule for
     one column does not replace the one for all."""

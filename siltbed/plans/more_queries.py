@@ -107,6 +107,18 @@ def quarantine(spark, d):
     return rules.quarantine(df, own, [])[1].select("c_custkey", "rule_name")
 
 
+@query("rule_routing", "SELECT p_partkey, CASE WHEN NOT regexp_full_match(p_brand, 'Brand#[0-9]') THEN 'FAIL' WHEN p_size NOT BETWEEN 5 AND 40 THEN 'REJECT' WHEN p_type = 'PROMO' THEN 'WARNING' ELSE 'PASS' END AS outcome FROM part")
+def rule_routing(spark, d):
+    own = [rules.pattern("brand", "p_brand", "Brand#[0-9]"), rules.in_range("size", "p_size", 5, 40, rules.REJECT), Rule("type", rules.CUSTOM, expression="p_type <> 'PROMO'", action=rules.WARN)]
+    return rules.routed(Tables(spark, d).part, own, []).select("p_partkey", "outcome")
+
+
+@query("referential_rule", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
+def referential_rule(spark, d):
+    t = Tables(spark, d)
+    return checks.orphans(t.lineitem, t.supplier, {"l_suppkey": "s_suppkey"}, F.col("s_acctbal") > 0).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 # ---- masks ---------------------------------------------------------------------
 
 _SHA = "sha256('pepper' || c_name)"
