@@ -32,8 +32,8 @@ from siltbed.llm.common import without
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 500_000
-SLICE_CHARS = 1 << 21
+KEPT = 150_000
+SLICE_CHARS, SLICE_ROWS = 1 << 20, 512
 LONGEST_KEPT = 64
 NO_RANK = np.iinfo(np.int32).max
 
@@ -59,18 +59,19 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         merges = [m.split(" ") if isinstance(m, str) else m for m in merges]
         letters = byte_letters()
         byte_of = {c: b for b, c in enumerate(letters)}
         self.base = 1 + max(vocab.values())
         keys = np.array([vocab[a] * self.base + vocab[b] for a, b in merges], np.int64)
+        del spec
         order = np.argsort(keys)
         self.keys = keys[order]
         self.ranks = np.arange(len(keys), dtype=np.int32)[order]
         self.made = np.array([vocab[a + b] for a, b in merges], np.int32)[order]
         self.byte_ids = np.array([vocab[c] for c in letters], np.int32)
         self.token_bytes = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items() if all(c in byte_of for c in t)}
-        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token_bytes |= {i: t.encode() for t, i in added.items()}
         self.added = added
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
@@ -223,23 +224,35 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
         yield a, len(texts)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, decoding: bool = False) -> Iterator[pa.RecordBatch]:
+    """Replaces the last column, a text, by its ids; adds the text decoded from them if asked to."""
     bpe = load(path)
-    for b in batches:
-        texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-        for i, j in slices(texts):
-            ids, counts = bpe.encode_batch(texts[i:j])
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(b.num_columns - 1)], lists], [*b.schema.names[:-1], "ids"])
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE_ROWS):
+            b = batch.slice(k, SLICE_ROWS)
+            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
+            for i, j in slices(texts):
+                ids, counts = bpe.encode_batch(texts[i:j])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids))
+                columns, names = [*(c.slice(i, j - i) for c in b.columns[:-1]), lists], [*b.schema.names[:-1], "ids"]
+                if decoding:
+                    columns.append(pa.array(map(bpe.decode, np_lists(lists)), pa.string(), size=j - i))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def np_lists(lists: pa.ListArray) -> Iterator[list[int | None]]:
+    """Each row's ids; of a null row none."""
+    for row in lists:
+        yield row.values.to_pylist() if row.is_valid else []
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     bpe = load(path)
     for b in batches:
-        lists = b.column(b.num_columns - 1)
-        for i in range(0, b.num_rows, 256):
-            part = b.slice(i, 256)
-            text = pa.array([bpe.decode(x or []) for x in lists.slice(i, 256).to_pylist()], pa.string())
+        for k in range(0, b.num_rows, SLICE_ROWS):
+            part = b.slice(k, SLICE_ROWS)
+            text = pa.array(map(bpe.decode, np_lists(part.column(part.num_columns - 1))), pa.string(), size=part.num_rows)
             yield pa.RecordBatch.from_arrays([*part.columns, text], [*b.schema.names, "decoded"])
 
 
@@ -257,10 +270,17 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     return rows.mapInArrow(partial(_decode, path=path), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
+def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """decode(encode(docs)) in one pass, with one vocabulary in each Python worker."""
+    held = [F.col(f"`{c}`") for c in keep] if keep is not None else without(docs, text_col, "ids", "decoded")
+    rows = docs.select(*held, F.col(f"`{text_col}`").alias("ids"))
+    kind = T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(partial(_encode, path=path, decoding=True), kind)
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, and the digests of its ids and of the text decoded from them."""
-    both = decode(encode(docs, path, text_col, [id_col]), path)
-    return both.select(
+    return encode_decode(docs, path, text_col, [id_col]).select(
         F.col(f"`{id_col}`"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

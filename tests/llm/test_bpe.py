@@ -22,6 +22,7 @@ def test_same_ids_as_the_library(spark):
     df = spark.createDataFrame([(i, t, "x", 1.0) for i, t in rows], "doc_id long, text string, ids string, decoded double")
     got = bpe.decode(bpe.encode(df, PATH), PATH)
     assert got.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(str, bpe.encode_decode(df, PATH).collect())) == sorted(map(str, got.collect()))
     seen = sorted((r.doc_id is None, r.doc_id or 0, r.ids, r.decoded) for r in got.collect())
     ids = [want.encode(t or "", add_special_tokens=False).ids for _, t in rows]
     assert seen == sorted((i is None, i or 0, x, want.decode(x, skip_special_tokens=False)) for (i, _), x in zip(rows, ids))
