@@ -27,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1200, 2400, 4000
 FALSE_SHARE = 0.01
 #: Rows of either class that the weights are fitted to.
 MOST_FITTED = 800
-KEPT_WORDS = 400_000
-SLICE_CHARS = 1 << 21
+KEPT_WORDS = 200_000
+SLICE_CHARS = 1 << 20
 STEPS = 30
 
 
@@ -64,6 +65,9 @@ class Model:
     #: of 1, the largest marginal, and log(1 + their sum)
     curve: np.ndarray = field(default_factory=lambda: np.zeros(3))
 
+    #: tells fitted models apart
+    mark: str = ""
+
     def odds(self, word: str) -> float:
         get = self.weights.get
         return self.bias + sum(get(f, 0.0) for f in features(word))
@@ -262,10 +266,20 @@ def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FE
         hess = (x * (s * (1 - s))[:, None]).T @ x + 0.02 * np.eye(3)
         c = c + np.clip(np.linalg.solve(hess, x.T @ (y - s) - 0.02 * c), -3, 3)
     model.curve, model.fitted = c, True
+    model.mark = sha256(repr((model.bias, model.trans.tolist(), sorted(model.weights.items()))).encode()).hexdigest()
     return model
 
 
-_odds: dict[int, dict[str, float]] = {}
+#: Odds of words met by this Python worker, of one model only.
+_odds: dict[str, float] = {}
+_odds_of: list[str] = [""]
+
+
+def _known_odds(model: Model) -> dict[str, float]:
+    if _odds_of[0] != model.mark or len(_odds) > KEPT_WORDS:
+        _odds.clear()
+        _odds_of[0] = model.mark
+    return _odds
 
 
 def score_texts(model: Model, texts: list[str | None]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
@@ -278,9 +292,7 @@ def score_texts(model: Model, texts: list[str | None]) -> tuple[np.ndarray, list
     has = [i for i, d in enumerate(docs) if d]
     if not has:
         return score, spans
-    odds = _odds.setdefault(id(model), {})
-    if len(odds) > KEPT_WORDS:
-        odds.clear()
+    odds = _known_odds(model)
     flat = [w for i in has for w in docs[i]]
     for w in set(flat).difference(odds):
         odds[w] = model.odds(w)
