@@ -61,12 +61,18 @@ DIGIT_WORDS = {
 SPELLED_LEAST = 7
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _ITEM = rf"(?:\b{_WORD}\b|[0-9]+|\b(?:plus|dot|point|dash)\b)"
-SPELLED_RUN = re.compile(rf"(?:\b(?:plus)[\x20-]+)?\b{_WORD}\b(?:[\x20,.-]{{1,2}}{_ITEM}){{{SPELLED_LEAST - 1},}}", re.I)
-SPELLED_ITEM = re.compile(rf"\b({_WORD})\b|\b(plus)\b|\b(dot|point)\b|\bdash\b|[0-9]+|[\x20,.-]+", re.I)
-BRACKETED = re.compile(r"[\x20]*(?:\(\s*(at|dot|punto|punkt|point)\s*\)|\[\s*(at|dot|punto|punkt|point)\s*\]|\{\s*(at|dot|punto|punkt|point)\s*\}|<\s*(at|dot)\s*>|\(\s*[@]\s*\)|\[\s*[@]\s*\]|\(\s*\.\s*\)|\[\s*\.\s*\])[\x20]*", re.I)
+SPELLED_RUN = re.compile(rf"(?:\b(?:plus)[\x20-]+)?\b{_WORD}\b(?:[\x20,.()-]{{1,3}}{_ITEM}){{{SPELLED_LEAST - 1},}}", re.I)
+SPELLED_ITEM = re.compile(rf"\b({_WORD})\b|\b(plus)\b|\b(dot|point)\b|\bdash\b|[0-9]+|[\x20,.()-]+", re.I)
+BRACKETED = re.compile(r"[\x20]*(?:\(\s*(at|dot|punto|punkt|point)\s*\)|\[\s*(at|dot|punto|punkt|point)\s*\]|\{\s*(at|dot|punto|punkt|point)\s*\}|<\s*(at|dot)\s*>|\(\s*[@]\s*\)|\[\s*[@]\s*\]|\(\s*\.\s*\)|\[\s*\.\s*\]|&#64;|&commat;|%40|&#46;|&period;|%2e)[\x20]*", re.I)
+UNDERSCORED = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9.+-]+_at_[A-Za-z0-9-]+(?:_dot_[A-Za-z0-9-]+)+", re.I)
+DOTTED_NUMBERS = re.compile(r"\b[0-9]{1,3}(?:\x20dot\x20[0-9]{1,3}){3}\b", re.I)
+SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\x20@\x20(?=[A-Za-z0-9-]+\.[A-Za-z0-9-])")
+AT_SIGNS = ("@", "&#64;", "&commat;", "%40")
 SPELLED_ADDRESS = re.compile(r"\b([A-Za-z0-9_%+-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9_%+-]+)*)(\x20at\x20|\x20?@\x20?)([A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)*(?:\x20dot\x20)[A-Za-z]{2,}|[A-Za-z0-9-]+(?:\x20dot\x20[A-Za-z0-9-]+)+)\b", re.I)
 SIGNS = re.compile(r"\x20dot\x20|\x20at\x20|\x20?@\x20?", re.I)
+UNDERSCORED_SIGNS = re.compile(r"_at_|_dot_", re.I)
 #: Quick looks for what the transducers would rewrite.
+QUICK = (" dot ", "_at_", " @ ", "&#64;", "&commat;", "%40")
 ODD_LETTER = re.compile(rf"[{re.escape(''.join(HOMOGLYPHS))}\uff01-\uff5e\u200b-\u200d\u2060\ufeff\u00ad]")
 ODD_BRACKET = re.compile(r"[(\[{<]\s*(?:at|dot|punto|punkt|point|@|\.)\s*[)\]}>]", re.I)
 ODD_DIGITS = re.compile(rf"\b{_WORD}\b[\x20,.-]{{1,2}}\b{_WORD}\b", re.I)
@@ -78,7 +84,7 @@ def disguised(text: str) -> bool:
     if ODD_LETTER.search(text) or ODD_BRACKET.search(text):
         return True
     low = text.lower()
-    if " dot " in low:
+    if any(x in low for x in QUICK):
         return True
     return not DIGIT_WORDS.keys().isdisjoint(low.replace(",", " ").replace(".", " ").replace("-", " ").split()) and bool(ODD_DIGITS.search(text))
 
@@ -159,13 +165,15 @@ def spelled_digits(tape: Tape) -> Tape:
 def signs(tape: Tape) -> Tape:
     edits = []
     for m in BRACKETED.finditer(tape.text):
-        word = next((g for g in m.groups() if g), "@" if "@" in m[0] else ".").lower()
+        word = next((g for g in m.groups() if g), "@" if any(x in m[0].lower() for x in AT_SIGNS) else ".").lower()
         edits.append((m.start(), m.end(), "@" if word in ("at", "@") else "."))
     tape = tape.rewrite(edits)
-    edits = []
-    for m in SPELLED_ADDRESS.finditer(tape.text):
-        edits += [(x.start(), x.end(), "." if "dot" in x[0].lower() else "@") for x in SIGNS.finditer(tape.text, m.start(), m.end())]
-    return tape.rewrite(edits)
+    for pattern, inner in ((SPELLED_ADDRESS, SIGNS), (DOTTED_NUMBERS, SIGNS), (UNDERSCORED, UNDERSCORED_SIGNS), (SPACED_AT, SIGNS)):
+        edits = []
+        for m in pattern.finditer(tape.text):
+            edits += [(x.start(), x.end(), "." if "dot" in x[0].lower() else "@") for x in inner.finditer(tape.text, m.start(), m.end())]
+        tape = tape.rewrite(edits)
+    return tape
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

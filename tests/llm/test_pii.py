@@ -52,6 +52,11 @@ def test_disguises_map_back_to_the_source():
         ("mail ｊａｎｅ＠example．com now", "ｊａｎｅ＠example．com"),
         ("card ４１１１ １１１１ １１１１ １１１１ ok", "４１１１ １１１１ １１１１ １１１１"),
         ("call plus one nine eight eight five five five two four eight five ok", "plus one nine eight eight five five five two four eight five"),
+        ("call +one (nine eight eight) five five five - two four eight five now", "+one (nine eight eight) five five five - two four eight five"),
+        ("host 10 dot 20 dot 30 dot 40 end", "10 dot 20 dot 30 dot 40"),
+        ("mail jane_doe_at_mail8_dot_example_dot_com now", "jane_doe_at_mail8_dot_example_dot_com"),
+        ("mail jane.doe @ mail8.example.com now", "jane.doe @ mail8.example.com"),
+        ("mail jane&#64;mail8&#46;example&#46;com now", "jane&#64;mail8&#46;example&#46;com"),
         ("host ten 10[.]20[.]30[.]40 end", "10[.]20[.]30[.]40"),
     ]:
         base, every = pii.spans(text)
@@ -59,7 +64,7 @@ def test_disguises_map_back_to_the_source():
 
 
 def test_clean_prose_stays_clean():
-    for text in ["we met at noon dot", "look at this. dot com era", "one two three go", "he was at the house (at last) and left", "un deux trois", "a < at > b", "version 1.2.3"]:
+    for text in ["we met at noon dot", "look at this. dot com era", "one two three go", "he was at the house (at last) and left", "un deux trois", "a < at > b", "what a dot it is", "five or six, maybe seven", "look_at_me", "a @ b", "50%40 of", "version 1.2.3"]:
         assert pii.spans(text) == ([], [])
 
 
