@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -17,12 +20,15 @@ def shared_path(spark: SparkSession, label: str) -> str:
     """A new path below spark.checkpoint.dir, the folder that driver and executors share.
 
     Only where that setting is absent (tests, one machine) a temporary folder is
-    made and set.
+    made, once a session, and set on the context.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="siltbed-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="siltbed-")
+            spark.sparkContext.setCheckpointDir(_own[app])
+        base = _own[app]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
