@@ -1,13 +1,14 @@
 """Document fingerprints by invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into pieces: at line ends, and inside long lines after words whose
-digest says so, so that an edit moves the cuts near it only. The digests of its
-pieces (64 bits, told apart when a piece repeats) go into the cells of a sketch:
+A text is cut into pieces: at line ends and after punctuation, and a stretch of
+over 400 characters without either after words whose digest says so; an edit
+moves the cuts near it only. The digests of its pieces (64 bits, told apart when a piece repeats) go into the cells of a sketch:
 each digest into three cells, which count, exclusive-or the digests and
 exclusive-or a check word. Two sketches of one size subtract cell by cell; cells
 that hold a single digest are peeled until none is left, which gives the digests
 that only one text has. When peeling stalls, both sketches are built again at
-three times the size. The fingerprint is the sketch of the least size, as text.
+three times the size. The fingerprint is the sketch of the least size, as text. Sketches of many documents lie in one array, so that all
+of a batch are filled, subtracted and peeled together.
 
 Likeness is the share of pieces, of those that either text has, that both have.
 
@@ -37,26 +38,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LEAST_CELLS, HASHES = 24, 3
-#: A word ends a piece with chance 1 in this; the mean piece has as many words.
+LONG_PIECE = 400
+#: In long stretches, a word ends a piece with chance 1 in this.
 PIECE_WORDS = 8
-PIECE = re.compile(r"\S+|\n+")
+#: What ends a piece.
+PIECE = re.compile(r"[^\n.,;:!?\u3002\uff01\uff1f]+[.,;:!?\u3002\uff01\uff1f]*|[.,;:!?\u3002\uff01\uff1f]+")
+BATCH_ROWS = 256
 
 
 def pieces(text: str | None) -> list[str]:
     """The pieces of a text, without the white space between them."""
-    out, now = [], []
-    for w in PIECE.findall(text or ""):
-        if w[0] == "\n":
-            if now:
+    out = []
+    for p in PIECE.findall(text or ""):
+        if len(p) <= LONG_PIECE:
+            if p := p.strip():
+                out.append(p)
+            continue
+        now = []
+        for w in p.split():
+            now.append(w)
+            if zlib.crc32(w.encode("utf-8", "surrogatepass")) % PIECE_WORDS == 0:
                 out.append(" ".join(now))
                 now = []
-            continue
-        now.append(w)
-        if zlib.crc32(w.encode("utf-8", "surrogatepass")) % PIECE_WORDS == 0:
+        if now:
             out.append(" ".join(now))
-            now = []
-    if now:
-        out.append(" ".join(now))
     return out
 
 
@@ -65,9 +70,10 @@ def digests(text: str | None) -> np.ndarray:
     h = np.array([xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) for p in pieces(text)], np.uint64)
     order = np.argsort(h, kind="stable")
     new = np.r_[True, h[order][1:] != h[order][:-1]][: len(h)]
-    nth = np.arange(len(h)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-    again = nth > 0
-    h[order[again]] = mix(h[order[again]] ^ mix(nth[again].astype(np.uint64)))
+    if not new.all():
+        nth = np.arange(len(h)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        again = nth > 0
+        h[order[again]] = mix(h[order[again]] ^ mix(nth[again].astype(np.uint64)))
     return h
 
 
@@ -77,74 +83,96 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class Sketch:
-    """Counts, digests and checks of the cells; the cells are HASHES equal parts."""
+class Sketches:
+    """Sketches of many owners: counts, digests and checks of their cells.
+
+    An owner's cells are HASHES equal parts; a digest has a cell in each.
+    """
 
-    def __init__(self, keys: np.ndarray, cells: int):
-        self.part = cells // HASHES
-        self.count = np.zeros(cells, np.int64)
-        self.keys, self.checks = np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
-        self.add(keys, 1)
+    def __init__(self, owners: int, cells: int):
+        self.owners, self.cells = owners, cells
+        self.count = np.zeros(owners * cells, np.int64)
+        self.keys, self.checks = np.zeros(owners * cells, np.uint64), np.zeros(owners * cells, np.uint64)
 
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        """[hash, key]: the cell of each key in each part."""
-        x, out = keys, []
+    def add(self, keys: np.ndarray, owner: np.ndarray, sign: np.ndarray | None = None) -> "Sketches":
+        check, x, part = mix(mix(keys)), keys, self.cells // HASHES
         for i in range(HASHES):
             x = mix(x + np.uint64(i + 1))
-            out.append((x % np.uint64(self.part)).astype(np.int64) + i * self.part)
-        return np.stack(out)
-
-    def add(self, keys: np.ndarray, sign: np.ndarray | int) -> None:
-        check = mix(mix(keys))
-        for at in self.places(keys):
-            np.add.at(self.count, at, sign)
+            at = owner * self.cells + i * part + (x % np.uint64(part)).astype(np.int64)
+            self.count += np.bincount(at, sign, len(self.count)).astype(np.int64)
             np.bitwise_xor.at(self.keys, at, keys)
             np.bitwise_xor.at(self.checks, at, check)
+        return self
 
-    def minus(self, other: "Sketch") -> "Sketch":
-        out = Sketch(np.empty(0, np.uint64), len(self.count))
-        out.count = self.count - other.count
-        out.keys, out.checks = self.keys ^ other.keys, self.checks ^ other.checks
+    def minus(self, other: "Sketches") -> "Sketches":
+        out = Sketches(self.owners, self.cells)
+        out.count, out.keys, out.checks = self.count - other.count, self.keys ^ other.keys, self.checks ^ other.checks
         return out
 
-    def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """The digests of this side only and of the other only, or None on failure. Empties the sketch."""
-        mine, theirs = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, owners, signs) of the digests of one side only, and whether each owner failed. Empties the sketches."""
+        found = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
         while True:
-            pure = np.flatnonzero((np.abs(self.count) == 1) & (mix(mix(self.keys)) == self.checks))
+            pure = np.flatnonzero(np.abs(self.count) == 1)
+            pure = pure[mix(mix(self.keys[pure])) == self.checks[pure]]
             if not len(pure):
                 break
-            keys, first = np.unique(self.keys[pure], return_index=True)
-            sign = self.count[pure][first]
-            mine.append(keys[sign > 0])
-            theirs.append(keys[sign < 0])
-            self.add(keys, -sign)
-        if self.count.any() or self.keys.any():
-            return None
-        return np.concatenate(mine), np.concatenate(theirs)
-
-    def text(self) -> str:
-        return base64.b85encode(self.count.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes() + (self.checks & np.uint64(0xFFFF)).astype("<u2").tobytes()).decode()
-
-
-def difference(a: np.ndarray, b: np.ndarray, cells: int = LEAST_CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """The digests that a only and b only has, by sketches, larger ones after a failure."""
-    while True:
+            keys, owner, sign = self.keys[pure], pure // self.cells, self.count[pure]
+            order = np.lexsort((keys, owner))
+            first = np.r_[True, (keys[order][1:] != keys[order][:-1]) | (owner[order][1:] != owner[order][:-1])]
+            pick = order[first]
+            found.append((keys[pick], owner[pick], sign[pick]))
+            self.add(keys[pick], owner[pick], -sign[pick])
+        left = (self.count != 0) | (self.keys != 0)
+        keys, owner, sign = (np.concatenate(x) for x in zip(*found))
+        return keys, owner, sign, left.reshape(self.owners, self.cells).any(axis=1)
+
+    def texts(self) -> list[str]:
+        parts = [self.count.astype("<i4"), self.keys.astype("<u8"), (self.checks & np.uint64(0xFFFF)).astype("<u2")]
+        rows = zip(*(x.reshape(self.owners, self.cells) for x in parts))
+        return [base64.b64encode(b"".join(x.tobytes() for x in row)).decode() for row in rows]
+
+
+def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of many owners end to end, and whose they are."""
+    return np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+
+
+def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = LEAST_CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, pair, sign): the digests that only a (1) or only b (-1) of each pair has.
+
+    All pairs are tried at the least size, those that fail at three times it, and so on.
+    """
+    out = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+    todo = np.arange(len(a))
+    while len(todo):
         # too many for this size for certain: the counts alone say so
-        if abs(len(a) - len(b)) <= cells and (found := Sketch(a, cells).minus(Sketch(b, cells)).peel()) is not None:
-            return found
+        early = np.array([abs(len(a[k]) - len(b[k])) > cells for k in todo])
+        tried = todo[~early]
+        mine, theirs = flat([a[k] for k in tried]), flat([b[k] for k in tried])
+        keys, owner, sign, failed = Sketches(len(tried), cells).add(*mine).minus(Sketches(len(tried), cells).add(*theirs)).peel()
+        good = ~failed[owner]
+        out.append((keys[good], tried[owner[good]], sign[good]))
+        todo = np.sort(np.r_[todo[early], tried[failed]])
         cells *= 3
+    return tuple(np.concatenate(x) for x in zip(*out))
+
 
+def likenesses(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Of each pair: common digests by all digests; 1 if there are none."""
+    _, pair, sign = differences(a, b)
+    mine = np.bincount(pair[sign > 0], minlength=len(a))
+    both = np.array([len(x) for x in a], np.int64) - mine
+    every = np.array([len(x) for x in b], np.int64) + mine
+    return np.where(every > 0, both / np.maximum(every, 1), 1.0)
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    mine, theirs = difference(a, b)
-    both = len(a) - len(mine)
-    every = both + len(mine) + len(theirs)
-    return both / every if every else 1.0
+
+def fingerprints(sets: list[np.ndarray]) -> list[str]:
+    return Sketches(len(sets), LEAST_CELLS).add(*flat(sets)).texts()
 
 
 def fingerprint(text: str | None) -> str:
-    return Sketch(digests(text), LEAST_CELLS).text()
+    return fingerprints([digests(text)])[0]
 
 
 def edited(text: str, following: str) -> str:
@@ -153,38 +181,28 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _rows(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-    held = []
-    for r in rows:
-        held.append(r)
-        if len(held) == 256:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch], names: list[str], kinds: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
     """Rows (range, guest, id, text), sorted; a guest is the first row of the next range."""
 
-    def compare() -> Iterator[tuple]:
-        before = None  # range, id, text, digests
-        for b in batches:
-            ranges, guests, ids, texts = (c.to_pylist() for c in b.columns)
-            for r, guest, i, t in zip(ranges, guests, ids, texts):
+    def result(held: list[tuple]) -> pa.RecordBatch:
+        ids, texts, keys, following, next_keys = map(list, zip(*held))
+        new = [edited(t, n) for t, n in zip(texts, following)]
+        new_keys = [digests(t) for t in new]
+        columns = [ids, [len(t) for t in texts], [sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in new], fingerprints(keys), fingerprints(new_keys), likenesses(keys, new_keys), likenesses(keys, next_keys)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+    before, held = None, []  # range, id, text, digests
+    for batch in batches:
+        for k in range(0, batch.num_rows, BATCH_ROWS):
+            for r, guest, i, t in zip(*(c.to_pylist() for c in batch.slice(k, BATCH_ROWS).columns)):
                 t = t or ""
                 keys = digests(t)
                 if before is not None and before[0] == r:
-                    yield result(before, t, keys)
+                    held.append((*before[1:], t, keys))
                 before = None if guest else (r, i, t, keys)
-
-    def result(own: tuple, following: str, next_keys: np.ndarray) -> tuple:
-        _, i, text, keys = own
-        new = edited(text, following)
-        new_keys = digests(new)
-        return (i, len(text), sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), Sketch(keys, LEAST_CELLS).text(), Sketch(new_keys, LEAST_CELLS).text(), likeness(keys, new_keys), likeness(keys, next_keys))
-
-    yield from _rows(compare(), names, kinds)
+            if held:
+                yield result(held)
+                held = []
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:

@@ -23,15 +23,21 @@ def brute_edit(text, following):
 
 def test_sketches_recover_differences():
     r = np.random.default_rng(7)
-    for shared, mine, theirs in [(0, 0, 0), (50, 0, 0), (100, 3, 5), (10, 40, 1), (500, 300, 400), (0, 2000, 0)]:
+    a, b, wants = [], [], []
+    for shared, mine, theirs in [(0, 0, 0), (50, 0, 0), (100, 3, 5), (10, 40, 1), (500, 300, 400), (0, 2000, 0), (0, 0, 7)] * 3:
         keys = r.integers(0, 1 << 64, shared + mine + theirs, np.uint64)
-        a, b = keys[: shared + mine], np.r_[keys[:shared], keys[shared + mine :]]
-        x, y = iblt.difference(a, b)
-        assert set(x) == set(keys[shared : shared + mine]) and set(y) == set(keys[shared + mine :])
+        a.append(keys[: shared + mine])
+        b.append(np.r_[keys[:shared], keys[shared + mine :]])
+        wants.append((set(keys[shared : shared + mine]), set(keys[shared + mine :])))
+    keys, pair, sign = iblt.differences(a, b)
+    for k, (x, y) in enumerate(wants):
+        assert set(keys[(pair == k) & (sign > 0)]) == x and set(keys[(pair == k) & (sign < 0)]) == y
+    assert len(iblt.differences([], [])[0]) == 0
 
 
 def test_repeated_pieces_count():
-    assert iblt.likeness(iblt.digests("a b\n" * 5000), iblt.digests("a b\n" * 4000)) == pytest.approx(0.8)
+    x, y = iblt.digests("a b\n" * 5000), iblt.digests("a b\n" * 4000)
+    assert iblt.likenesses([x, y, x], [y, x, x]).tolist() == pytest.approx([0.8, 0.8, 1.0])
     assert iblt.fingerprint("a b\nc") == iblt.fingerprint("a b\nc") != iblt.fingerprint("a b\nd")
 
 
