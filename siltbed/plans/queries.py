@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions import marks, masking, messages
+from siltbed.functions import marks
 from siltbed.functions.canonical import canonical, record_hash
-from siltbed.operators import audit, checks, dedup, dimensional, history, merge, rules, shape, state
+from siltbed.operators import checks, dedup, history, merge, rules, shape, state
 from siltbed.operators.shape import ColumnSpec
-from siltbed.plans import job, spec
+from siltbed.plans import spec
 from siltbed.sources import landing
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from siltbed.functions import marks, masking, messages
 from siltbed.functions.canonical import canonical, quoted, record_hash
 from siltbed.functions.masking import MaskRule
-from siltbed.operators import audit, checks, history, merge, rules, shape
+from siltbed.operators import audit, checks, rules, shape
 from siltbed.operators.rules import Rule
 from siltbed.operators.shape import ColumnSpec
 from siltbed.plans import job, spec
