@@ -22,7 +22,6 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
-from functools import partial
 from hashlib import sha1
 from operator import itemgetter
 from urllib.parse import urlsplit
