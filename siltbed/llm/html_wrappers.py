@@ -52,12 +52,14 @@ PLACES = ("article", "main", "content")
 DROPPED_WORDS = frozenset(
     "ad ads advert advertisement advertising adsbygoogle sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar widget footer "
     "masthead topbar header cookie cookies consent gdpr notice notification banner alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended comment comments commentlist reply replies respond discussion disqus pagination pager toolbar copyright legal complementary contentinfo search hidden".split()
+    "related recommended comment comments commentlist reply replies respond discussion disqus pagination pager toolbar copyright legal complementary contentinfo search hidden adverts notices banners menus sidebars footers headers popups widgets disclaimer offcanvas skiplink".split()
 )
 CONTENT_WORDS = frozenset("article articlebody post entry story content maincontent postcontent entrycontent articlecontent main bodytext".split())
 LEXER = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
 MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[^a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+UNSEEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -90,9 +92,10 @@ def label(tag: str, attributes: str) -> str:
     """The tag, with what its class, id and role tell about the place, if anything."""
     if not attributes or "=" not in attributes:
         return tag
-    words = {w for m in MARKS.finditer(attributes) for w in SPLIT.split((m[1] or m[2] or m[3] or "").lower())}
-    joined = {SPLIT.sub("", (m[1] or m[2] or m[3] or "").lower()) for m in MARKS.finditer(attributes)}
-    good, bad = bool((words | joined) & CONTENT_WORDS), bool(words & DROPPED_WORDS)
+    marks = [m[1] or m[2] or m[3] or "" for m in MARKS.finditer(attributes)]
+    words = {w for m in marks for w in SPLIT.split(CAMEL.sub(" ", m).lower())}
+    joined = {SPLIT.sub("", m.lower()) for m in marks}
+    good, bad = bool((words | joined) & CONTENT_WORDS), bool(words & DROPPED_WORDS) or bool(UNSEEN.search(attributes))
     if good != bad and not (bad and tag in ("html", "body", "main", "article")):
         return f"{tag}+" if good else f"{tag}-"
     return tag
