@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import chain
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers.pre_tokenizers import ByteLevel
 
 from siltbed.llm.common import without
 
@@ -76,6 +78,7 @@ class Bpe:
         self.added = added
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.words = regex.compile(PATTERN)
+        self.library = ByteLevel(add_prefix_space=False)
         self.gap = re.compile(r" (?:\s|\Z)")
         self.forget()
 
@@ -85,6 +88,13 @@ class Bpe:
         self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.used = 0
 
+    def split(self, text: str) -> list[str]:
+        """The pattern's words. Unicode versions differ on letters added of late: of texts
+        with characters that Python's does not know, the library's splitter decides."""
+        if text.isascii() or max(text) < "\u0378" or not any(category(c) == "Cn" for c in text):
+            return self.words.findall(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+
     def rank(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of the pairs that begin at these positions, NO_RANK if none."""
         nxt = np.minimum(at + 1, len(sym) - 1)
@@ -139,7 +149,7 @@ class Bpe:
                 words.append(index.setdefault(" " + c, len(index)))
                 counts.append(1)
             else:
-                found = self.words.findall(c[1:] if c[:1] == "\t" else " " + c)
+                found = self.split(c[1:] if c[:1] == "\t" else " " + c)
                 words += [index.setdefault(w, len(index)) for w in found]
                 counts.append(len(found))
         ids, sizes = self.merge([w.encode("utf-8", "surrogatepass") for w in index])

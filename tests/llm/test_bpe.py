@@ -34,6 +34,13 @@ def test_same_ids_as_the_library(spark):
             assert digest[i].decoded_sha256 == hashlib.sha256(want.decode(x, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_letters_of_later_unicode_versions():
+    own, lib = bpe.Bpe(PATH), Tokenizer.from_file(PATH)
+    odd = ["a" + c + "1" + c + "!" + c for c in map(chr, [0x558, 0x1C89, 0xA7CB, 0xA7CE, 0x105C0, 0x10940, 0x18F48, 0x1E849, 0x2B32A, 0x378, 0x10FFFF])]
+    ids, counts = own.encode_batch(odd)
+    assert ids.tolist() == [i for t in odd for i in lib.encode(t, add_special_tokens=False).ids] and len(counts) == len(odd)
+
+
 def test_forgetting_changes_nothing():
     a, b = bpe.Bpe(PATH), bpe.Bpe(PATH)
     for t in texts()[:50]:
