@@ -6,8 +6,9 @@ agree on some m - radius of m bit blocks (pigeonhole), so every such choice of
 blocks keys a bucket; nothing within the radius is lost. In a bucket the entries
 are sorted by population count and compared tile by tile with exclusive-or and
 bit counts, skipping tile pairs whose counts differ beyond the radius. Buckets
-above `tile` entries are cut by population count and a salt into tile pairs,
-each a task's unit of work of its own. A unit gives the spanning links of what
+above `tile` entries are cut by population count, and where need be by a salt,
+into pieces whose pairs are units of work of their own; an entry goes to as many
+units as its bucket has pieces, so the filter takes larger ones. A unit gives the spanning links of what
 it finds, not all pairs.
 
 Filtering (`drop_near_duplicates`) is to catch copies of similarity 0.8 and more
@@ -32,7 +33,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,18 +192,23 @@ def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int) ->
     pops = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
     keyed = keyed.withColumn("p", pops)
     counts = keyed.groupBy("c", "k", "p").agg(F.count("*").alias("n"))
-    hot_keys = counts.groupBy("c", "k").agg(F.sum("n").alias("n")).where(F.col("n") > tile).select("c", "k")
-    hot = stored(counts.join(hot_keys, ["c", "k"]).select("c", "k", "p", F.ceil(F.col("n") / tile).cast("int").alias("parts")), "hot-buckets")
+    hot_keys = counts.groupBy("c", "k").agg(F.sum("n").alias("all")).where(F.col("all") > tile).select("c", "k")
+    # neighbouring population counts share a bin of about `tile` entries; a key has 64 counts a word at most
+    before = F.sum("n").over(Window.partitionBy("c", "k").orderBy("p")) - F.col("n")
+    hot = stored(counts.join(hot_keys, ["c", "k"]).withColumn("bin", F.floor(before / tile).cast("int")), "hot-buckets")
     out, link = "u long, v long", partial(_linked, radius=radius)
     cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *words)
     links = cold.repartition("c", "k").sortWithinPartitions("c", "k").mapInArrow(link, out)
     if hot.isEmpty():
         return links
-    tiles = hot.select("c", "k", "p", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"))
-    a, b = tiles.select("c", "k", F.col("p").alias("p1"), F.col("s").alias("s1")), tiles.select("c", "k", F.col("p").alias("p2"), F.col("s").alias("s2"))
-    near = (F.col("p2") - F.col("p1")).between(0, radius) & ((F.col("p1") < F.col("p2")) | (F.col("s1") <= F.col("s2")))
-    pairs = a.join(b, ["c", "k"]).where(near)
-    own = keyed.join(hot, ["c", "k", "p"]).withColumn("s", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    bins = hot.groupBy("c", "k", "bin").agg(F.min("p").alias("low"), F.max("p").alias("high"), F.ceil(F.sum("n") / (2 * tile)).cast("int").alias("parts"))
+    tiles = bins.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    a = tiles.select("c", "k", F.col("bin").alias("p1"), F.col("s").alias("s1"), "high")
+    b = tiles.select("c", "k", F.col("bin").alias("p2"), F.col("s").alias("s2"), "low")
+    near = (F.col("low") - F.col("high") <= radius) & ((F.col("p1") < F.col("p2")) | ((F.col("p1") == F.col("p2")) & (F.col("s1") <= F.col("s2"))))
+    pairs = a.join(b, ["c", "k"]).where(near).drop("low", "high")
+    own = keyed.join(hot.select("c", "k", "p", "bin"), ["c", "k", "p"]).drop("p").join(bins.select("c", "k", "bin", "parts"), ["c", "k", "bin"])
+    own = own.withColumnRenamed("bin", "p").withColumn("s", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     unit = ["c", "k", "p1", "s1", "p2", "s2"]
     left = own.withColumnsRenamed({"p": "p1", "s": "s1"}).join(pairs, ["c", "k", "p1", "s1"]).select(*unit, "node", *words)
     right = own.withColumnsRenamed({"p": "p2", "s": "s2"}).join(pairs, ["c", "k", "p2", "s2"]).where("p1 <> p2 or s1 <> s2").select(*unit, "node", *words)
@@ -258,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(classes, "fp").select(F.col("id").alias(id_col), hexed, F.col("first.id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 4096) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 32768) -> DataFrame:
     """One row of docs for each class of copies, the one with the least id; columns as given.
 
     Rows that share an id are told apart by their text; of equal rows one stays.
