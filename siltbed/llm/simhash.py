@@ -16,8 +16,10 @@ on word shingles, which differ in far more than four of 64 bits. There a
 document has a SimHash of 256 bits, and eight keys, each of two minima of hashed
 shingles, take the place of the bit blocks: copies of similarity s share a key
 with chance 1 - (1 - s^2)^8, over 0.999 from 0.8 on. The comparison within
-buckets is the same; 52 bits is two and a half deviations above what similarity
-0.8 gives and far below what unrelated texts or a shared passage give.
+buckets is the same, but gives candidates only. Candidates that hang together
+meet a second time with their sets of distinct shingle hashes, cut into units of
+bounded size like buckets, and two of them link if at least 0.8 of their distinct
+shingles are common, counted exactly. Texts without words are copies of each other.
 
 Defined results: null and empty texts have the fingerprint 0 and link like any
 other; repeated rows keep their own rows; rows whose id is null join components
@@ -44,6 +46,7 @@ from siltbed.llm.components import components
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED, SHINGLE = 42, 4
 BITS = 64
+SLICE_CHARS = 1 << 20
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -76,6 +79,10 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 #: Odd multipliers, by rule: they make further hashes of a hash.
 ODD = np.random.default_rng(42).integers(0, 1 << 63, 32, np.uint64) * np.uint64(2) + np.uint64(1)
 WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 8, 52
+#: Share of common distinct shingles from which texts are copies.
+COPIES = 0.8
+#: Members of sets in a unit that checks candidates, about.
+SET_TILE = 1 << 20
 
 
 def wide_fingerprint(text: str | None, width: int) -> tuple[list[int], list[int]]:
@@ -124,10 +131,20 @@ def blocks_for(n: int, radius: int) -> int:
     return blocks
 
 
-def spanning_links(words: np.ndarray, radius: int, step: int = 512) -> np.ndarray:
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether the share of common members of two sorted sets is `least` or more; 1 for two empty ones."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= least * (len(both) - common)
+
+
+def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0) -> np.ndarray:
     """Links (place, place of root) that span what lies within the radius.
 
-    words: a row of 64-bit words for each entry.
+    words: a row of 64-bit words for each entry; sets: its sorted set, if a link
+    also needs `least` of the members in common.
     """
     pops = np.bitwise_count(words).sum(axis=1, dtype=np.int32)
     order = np.argsort(pops, kind="stable")
@@ -142,62 +159,87 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512) -> np.ndarra
             right = f[b : b + step]
             apart = sum(np.bitwise_count(left[:, None, k] ^ right[None, :, k]).astype(np.int16) for k in range(f.shape[1]))
             i, j = np.nonzero(apart <= radius)
-            i, j = i + a, j + b
+            i, j, few = i + a, j + b, 64
             while True:
                 other = root[i] != root[j]
                 i, j = i[other], j[other]
                 if not len(i):
                     break
+                if sets is not None:
+                    # a few at a time: what they link needs no further look
+                    tried, i, j = (i[:few], j[:few]), i[few:], j[few:]
+                    good = np.array([alike(sets[order[x]], sets[order[y]], least) for x, y in zip(*tried)])
+                    few = 64 if good.any() else min(2 * few, 4096)
+                    if not good.any():
+                        continue
+                    rest, (i, j) = (i, j), (tried[0][good], tried[1][good])
                 # hook the larger root to the smaller, then shorten all paths
-                np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
-                while not np.array_equal(up := root[root], root):
-                    root = up
+                while len(i):
+                    np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+                    while not np.array_equal(up := root[root], root):
+                        root = up
+                    other = root[i] != root[j]
+                    i, j = i[other], j[other]
+                if sets is not None:
+                    i, j = rest
     bound = np.flatnonzero(root != np.arange(len(f)))
     return np.stack([order[bound], order[root[bound]]], axis=1)
 
 
-def _linked(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, node, words), sorted by unit, to links. A unit may go over several batches."""
+def _linked(batches: Iterator[pa.RecordBatch], radius: int, least: float = 0.0) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, node, words, and a set if there is one), sorted by unit, to links. A unit may go over several batches."""
 
-    def links(held: list[np.ndarray]) -> np.ndarray:
+    def links(held: list[np.ndarray], sets: list[np.ndarray]) -> np.ndarray:
         rows = np.concatenate(held)
-        return rows[:, 0][spanning_links(np.ascontiguousarray(rows[:, 1:]).view(np.uint64), radius)]
+        return rows[:, 0][spanning_links(np.ascontiguousarray(rows[:, 1:]).view(np.uint64), radius, sets=sets or None, least=least)]
 
     def give(parts: list[np.ndarray]) -> pa.RecordBatch:
         uv = np.concatenate([np.empty((0, 2), np.int64), *parts])
         return pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], ["u", "v"])
 
-    now, held = None, []
+    now, held, sets = None, [], []
     for batch in batches:
         if not batch.num_rows:
             continue
         cut = batch.schema.get_field_index("node")
-        table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
+        table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c, n in zip(batch.columns, batch.schema.names) if n != "set"], axis=1)
+        own = []
+        if "set" in batch.schema.names:
+            members = batch.column("set")
+            flat, ends = members.flatten().to_numpy(zero_copy_only=False), np.cumsum(members.value_lengths().to_numpy(zero_copy_only=False))
+            own = np.split(flat, ends[:-1])
         unit, rows = table[:, :cut], table[:, cut:]
         cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
         out = []
         for a, b in zip(cuts, cuts[1:]):
             if (key := unit[a].tolist()) != now:
                 if sum(map(len, held)) > 1:
-                    out.append(links(held))
-                now, held = key, []
+                    out.append(links(held, sets))
+                now, held, sets = key, [], []
             held.append(rows[a:b])
+            sets += own[a:b]
         yield give(out)
     if sum(map(len, held)) > 1:
-        yield give([links(held)])
+        yield give([links(held, sets)])
+
 
+def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, least: float | None = None) -> DataFrame:
+    """Rows (c, k, node, words) to links (u, v) of nodes within the radius that share a bucket (c, k).
 
-def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int) -> DataFrame:
-    """Rows (c, k, node, words) to links (u, v) of nodes within the radius that share a bucket (c, k)."""
+    With `least`, rows have a sorted set too, of which linked nodes share at least
+    that part; the tile then counts members of sets.
+    """
+    held = [*words, "set"] if least is not None else words
+    weight = F.sum(F.size("set") + 16) if least is not None else F.count("*")
     pops = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
     keyed = keyed.withColumn("p", pops)
-    counts = keyed.groupBy("c", "k", "p").agg(F.count("*").alias("n"))
+    counts = keyed.groupBy("c", "k", "p").agg(weight.alias("n"))
     hot_keys = counts.groupBy("c", "k").agg(F.sum("n").alias("all")).where(F.col("all") > tile).select("c", "k")
     # neighbouring population counts share a bin of about `tile` entries; a key has 64 counts a word at most
     before = F.sum("n").over(Window.partitionBy("c", "k").orderBy("p")) - F.col("n")
     hot = stored(counts.join(hot_keys, ["c", "k"]).withColumn("bin", F.floor(before / tile).cast("int")), "hot-buckets")
-    out, link = "u long, v long", partial(_linked, radius=radius)
-    cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *words)
+    out, link = "u long, v long", partial(_linked, radius=radius, least=least or 0.0)
+    cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *held)
     links = cold.repartition("c", "k").sortWithinPartitions("c", "k").mapInArrow(link, out)
     if hot.isEmpty():
         return links
@@ -210,8 +252,8 @@ def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int) ->
     own = keyed.join(hot.select("c", "k", "p", "bin"), ["c", "k", "p"]).drop("p").join(bins.select("c", "k", "bin", "parts"), ["c", "k", "bin"])
     own = own.withColumnRenamed("bin", "p").withColumn("s", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     unit = ["c", "k", "p1", "s1", "p2", "s2"]
-    left = own.withColumnsRenamed({"p": "p1", "s": "s1"}).join(pairs, ["c", "k", "p1", "s1"]).select(*unit, "node", *words)
-    right = own.withColumnsRenamed({"p": "p2", "s": "s2"}).join(pairs, ["c", "k", "p2", "s2"]).where("p1 <> p2 or s1 <> s2").select(*unit, "node", *words)
+    left = own.withColumnsRenamed({"p": "p1", "s": "s1"}).join(pairs, ["c", "k", "p1", "s1"]).select(*unit, "node", *held)
+    right = own.withColumnsRenamed({"p": "p2", "s": "s2"}).join(pairs, ["c", "k", "p2", "s2"]).where("p1 <> p2 or s1 <> s2").select(*unit, "node", *held)
     both = left.union(right).repartition(*unit).sortWithinPartitions(*unit)
     return links.union(both.mapInArrow(link, out))
 
@@ -231,6 +273,29 @@ def _wide_fingerprints(batches: Iterator[pa.RecordBatch], width: int, names: lis
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *words, pa.array([k for _, k in found], pa.list_(pa.int64()))], names)
 
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Puts the sorted distinct shingle hashes in place of the text, the last column."""
+    from siltbed.llm.bpe import slices
+
+    for b in batches:
+        texts = b.column(b.num_columns - 1).to_pylist()
+        for i, j in slices([t or "" for t in texts], SLICE_CHARS):
+            sets = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in texts[i:j]]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            members = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+            yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns[:-1], members], names)
+
+
+def _checked(candidates: DataFrame, named: DataFrame, docs: DataFrame, text_col: str, words: list[str], width: int) -> DataFrame:
+    """Links (u, v) of candidates (node, root) of one root that are copies by their sets of shingles."""
+    near = candidates.join(named, candidates.node == named.h).select(F.lit(0).alias("c"), F.col("root").alias("k"), "node", *words)
+    texts = docs.select(_digest(text_col).alias("node"), F.col(f"`{text_col}`").alias("text")).join(candidates.select("node"), "node", "left_semi")
+    texts = texts.groupBy("node").agg(F.min("text").alias("text"))
+    sets = texts.mapInArrow(partial(_shingle_sets, width=width, names=["node", "set"]), "node long, set array<long>")
+    keyed = stored(near.join(sets, "node"), "copies-sets")
+    return bucket_links(keyed, words, WIDE_RADIUS, SET_TILE, COPIES)
+
+
 def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int) -> DataFrame:
     """(id, h) of the first row, by id (null last), of each class of copies."""
     kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.LongType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
@@ -240,7 +305,8 @@ def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, ti
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))).alias("best")
     named = stored(rows.groupBy("h", *words, "keys").agg(first), "copies-distinct")
     keyed = named.select(F.col("h").alias("node"), *words, F.posexplode("keys").alias("c", "k")).select("c", "k", "node", *words)
-    joined = stored(components(bucket_links(keyed, words, WIDE_RADIUS, tile)), "copies-components")
+    candidates = stored(components(bucket_links(keyed, words, WIDE_RADIUS, tile)), "copies-candidates")
+    joined = stored(components(_checked(candidates, named, docs, text_col, words, width)), "copies-components")
     rooted = named.select("h", "best").join(joined, F.col("h") == F.col("node"), "left").select(F.coalesce("root", "h").alias("root"), "best")
     return rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h")
 

@@ -105,3 +105,50 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0
     assert simhash.drop_near_duplicates(empty).count() == 0
+
+
+def test_only_copies_of_similarity_080_go(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7)))
+    rows, gone = [], set()
+    for n, share in enumerate([0.6, 0.7, 0.79, 0.81] * 30):
+        # two texts with one passage in common: of n + n shingles, share is common
+        total = r.randint(500, 600)
+        common = round(share * total)
+        passage, ends = [word() for _ in range(common + 4)], [[word() for _ in range(k)] for k in ((total - common) // 2, (total - common + 1) // 2)]
+        a, b = passage + ends[0], passage + ends[1]
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        assert abs(len(x & y) / len(x | y) - share) < 0.005
+        rows += [(2 * n, " ".join(a), "p", 1), (2 * n + 1, " ".join(b), "p", 1)]
+        if share > 0.8:
+            gone.add(2 * n + 1)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(docs).collect()}
+    clean = {i for i, *_ in rows} - gone
+    assert clean <= kept
+    assert len(gone & kept) <= 3  # the radius is a chance of its own
+
+
+def test_checked_links_in_tiles(spark):
+    r = np.random.default_rng(6)
+    base = [np.unique(r.integers(0, 1 << 62, 60)) for _ in range(3)]
+    sets = [np.sort(r.choice(b, r.integers(45, 60), replace=False)).tolist() for b in base for _ in range(30)]
+    sets += [[], []]
+    rows = [(0, 7, i, 0, s) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "c int, k long, node long, w0 long, set array<long>")
+    want = brute_groups(sets)
+    for tile in (1 << 20, 300):
+        got = {x.node: x.root for x in simhash.components(simhash.bucket_links(frame, ["w0"], 52, tile, 0.8)).collect()}
+        assert [got.get(i, i) for i in range(len(sets))] == want
+    assert 5 < len(set(want)) < 60
+
+
+def brute_groups(sets):
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = set(sets[a]), set(sets[b])
+            if len(x & y) >= 0.8 * len(x | y):
+                p, q = root[a], root[b]
+                root = [min(p, q) if z in (p, q) else z for z in root]
+    return root
