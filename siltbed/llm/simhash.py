@@ -20,6 +20,9 @@ buckets is the same, but gives candidates only. Candidates that hang together
 meet a second time with their sets of distinct shingle hashes, cut into units of
 bounded size like buckets, and two of them link if at least 0.8 of their distinct
 shingles are common, counted exactly. Texts without words are copies of each other.
+SimHash and keys are of distinct shingles as well, so lines that repeat do not
+count. Of 256 bits, copies of similarity 0.8 differ in 31 to 41 on average, in 48
+where four shingles stand against five (deviation about 6); the radius is 80.
 
 Defined results: null and empty texts have the fingerprint 0 and link like any
 other; repeated rows keep their own rows; rows whose id is null join components
@@ -78,7 +81,7 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 #: Odd multipliers, by rule: they make further hashes of a hash.
 ODD = np.random.default_rng(42).integers(0, 1 << 63, 32, np.uint64) * np.uint64(2) + np.uint64(1)
-WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 8, 52
+WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 8, 80
 #: Share of common distinct shingles from which texts are copies.
 COPIES = 0.8
 #: Members of sets in a unit that checks candidates, about.
@@ -86,8 +89,8 @@ SET_TILE = 1 << 20
 
 
 def wide_fingerprint(text: str | None, width: int) -> tuple[list[int], list[int]]:
-    """A SimHash of WIDE_WORDS 64-bit words, and WIDE_KEYS keys of two minima each."""
-    h = shingle_hashes(text, width)
+    """Of the distinct shingles: a SimHash of WIDE_WORDS 64-bit words, WIDE_KEYS keys of two minima each."""
+    h = np.unique(shingle_hashes(text, width))
     if not len(h):
         return [0] * WIDE_WORDS, [0] * WIDE_KEYS
     mixed = [h * m for m in ODD[: WIDE_WORDS - 1]]

@@ -152,3 +152,19 @@ def brute_groups(sets):
                 p, q = root[a], root[b]
                 root = [min(p, q) if z in (p, q) else z for z in root]
     return root
+
+
+def test_repeated_lines_and_short_copies_are_found(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7)))
+    rows = []
+    for n in range(40):
+        a = [word() for _ in range(100)]
+        rows += [(2 * n, " ".join(a), "p", 1), (2 * n + 1, " ".join(a + a[88:] * 20), "p", 1)]  # 12 words again and again
+    for n in range(40, 100):  # four shingles against five
+        a = [word() for _ in range(9)]
+        rows += [(2 * n, " ".join(a[:8]), "p", 1), (2 * n + 1, " ".join(a), "p", 1)]
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)}
+    assert all(len(grams(a[1]) & grams(b[1])) >= 0.8 * len(grams(a[1]) | grams(b[1])) for a, b in zip(rows[::2], rows[1::2]))
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == {i for i, *_ in rows if i % 2 == 0}
