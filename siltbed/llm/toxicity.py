@@ -41,11 +41,9 @@ WORD = re.compile(r"\w+")
 THRESHOLD = 0.7
 MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1200, 2400, 4000
 FALSE_SHARE = 0.01
-#: Rows of either class that the weights are fitted to.
-MOST_FITTED = 800
 KEPT_WORDS = 200_000
 SLICE_CHARS = 1 << 20
-STEPS = 30
+STEPS = 40
 
 
 def features(word: str) -> list[str]:
@@ -228,7 +226,7 @@ class _Part:
         return self.want - np.r_[self.sums(p), p.sum(), moves.ravel()[1:]]
 
 
-def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FEATURES, most_fitted: int = MOST_FITTED) -> Model:
+def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FEATURES) -> Model:
     """Fits the field and the curve to labelled texts."""
     toxic = np.array(labels, bool)
     model = Model(prior=float(toxic.mean()) if len(toxic) else 0.0)
@@ -244,9 +242,6 @@ def fit(texts: list[str | None], labels: list[int], most_features: int = MOST_FE
     if not names or not held:
         return model
     column = {f: i for i, f in enumerate(names)}
-    # features are chosen on all rows of the sample; weights need fewer clean ones
-    rich = [x for x in held if x[1]][:most_fitted]
-    held = rich + [x for x in held if not x[1]][: max(most_fitted, len(rich))]
     parts = [_Part(own, column) for own in _batches(held)]
     # Adam on the log-likelihood with a weak Gaussian prior
     theta = np.r_[np.zeros(len(names)), -2.0, 0.0, 0.0, 0.0]

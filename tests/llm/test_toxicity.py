@@ -63,3 +63,19 @@ def test_without_labels_of_both_classes(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity.predictions(docs, none).collect()] == [0.0, 0.0]
     assert toxicity.predictions(docs.limit(0), none).count() == 0
+
+
+def test_later_rows_of_the_sample_are_fitted_to():
+    r = random.Random(7)
+    word = lambda: "".join(r.choice(["an", "the", "er", "ou", "st", "ble"]) for _ in range(r.randint(2, 5)))
+    texts, labels = [], []
+    for i in range(2000):
+        words = [word() for _ in range(12)]
+        if i % 2:
+            words[3] = "zub" if i < 1800 else "qix"
+        texts.append(" ".join(words))
+        labels.append(i % 2)
+    model = toxicity.fit(texts, labels)
+    assert model.weights["=zub"] > 0 and model.weights["=qix"] > 0.5
+    scores, _ = toxicity.score_texts(model, ["there qix stou", "there stou"])
+    assert scores[0] > toxicity.THRESHOLD > scores[1]
