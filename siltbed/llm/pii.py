@@ -3,15 +3,18 @@
 Base spans are found in the text itself by four fixed patterns. Then a cascade
 of finite-state transducers rewrites the text: homoglyphs and full-width forms
 to ASCII, spelled digits to digits, bracketed or spelled "at" and "dot" to the
-signs. Each transducer keeps, for every character it writes, the range of source
+signs. Each looks at the text that the one before it wrote; what it skips at a
+quick look has nothing that its pattern could match. Each transducer keeps, for every character it writes, the range of source
 characters it came from, so what the same detectors find in the rewritten text
 maps back to source offsets. Of those spans, the ones that overlap a base span
 of their kind are already known and go; the rest are added.
 
 Rules that keep clean prose clean: a spelled "at" or "dot" counts only between
 brackets, or as a whole word where a full address (name at host dot suffix) is
-spelled; spelled digits count only in runs of seven or more; a span is added
-only if it holds a disguise, or it would have been a base span.
+spelled; spelled digits count in runs of seven items or more, and shorter runs,
+mixed with plain digits or not, where they complete a valid address, card or phone
+number that nothing else gave; a span is added only if it holds a disguise, or it
+would have been a base span.
 
 Defined results: null and empty texts have no spans; repeated rows repeat;
 offsets are code points, ends exclusive; very long texts are read whole.
@@ -71,22 +74,20 @@ AT_SIGNS = ("@", "&#64;", "&commat;", "%40")
 SPELLED_ADDRESS = re.compile(r"\b([A-Za-z0-9_%+-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9_%+-]+)*)(\x20at\x20|\x20?@\x20?)([A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)*(?:\x20dot\x20)[A-Za-z]{2,}|[A-Za-z0-9-]+(?:\x20dot\x20[A-Za-z0-9-]+)+)\b", re.I)
 SIGNS = re.compile(r"\x20dot\x20|\x20at\x20|\x20?@\x20?", re.I)
 UNDERSCORED_SIGNS = re.compile(r"_at_|_dot_", re.I)
-#: Quick looks for what the transducers would rewrite.
-QUICK = (" dot ", "_at_", " @ ", "&#64;", "&commat;", "%40")
+#: Spelled and plain digits mixed, two items or more.
+MIXED_RUN = re.compile(rf"(?:\bplus[\x20,.()-]+|\+[\x20(]*)?(?:\b{_WORD}\b|\b[0-9]+)(?:[\x20,.()-]{{1,3}}{_ITEM})+", re.I)
+#: Quick looks, each implied by the patterns it stands before.
 ODD_LETTER = re.compile(rf"[{re.escape(''.join(HOMOGLYPHS))}\uff01-\uff5e\u200b-\u200d\u2060\ufeff\u00ad]")
-ODD_BRACKET = re.compile(r"[(\[{<]\s*(?:at|dot|punto|punkt|point|@|\.)\s*[)\]}>]", re.I)
-ODD_DIGITS = re.compile(rf"\b{_WORD}\b[\x20,.-]{{1,2}}\b{_WORD}\b", re.I)
+ODD_SIGN = re.compile(r"[(\[{<]\s*(?:at|dot|punto|punkt|point|@|\.)\s*[)\]}>]|&#64;|&commat;|%40|&#46;|&period;|%2e", re.I)
+ODD_DIGITS = re.compile(rf"\b{_WORD}\b[\x20,.()-]{{1,3}}{_ITEM}|(?:\b[0-9]+|\b(?:plus|dot|point|dash)\b)[\x20,.()-]{{1,3}}{_WORD}\b", re.I)
+LONE_WORD = re.compile(rf"\b{_WORD}\b", re.I)
+TOKEN = re.compile(r"\w+")
 ZERO_WIDTH = dict.fromkeys("\u200b\u200c\u200d\u2060\ufeff\u00ad", "")
 
 
-def disguised(text: str) -> bool:
-    """Whether a transducer might rewrite anything that matters."""
-    if ODD_LETTER.search(text) or ODD_BRACKET.search(text):
-        return True
-    low = text.lower()
-    if any(x in low for x in QUICK):
-        return True
-    return not DIGIT_WORDS.keys().isdisjoint(low.replace(",", " ").replace(".", " ").replace("-", " ").split()) and bool(ODD_DIGITS.search(text))
+def digit(word: str) -> str:
+    """The digit of a number word; letters that only ignored case equates with s and i count as these."""
+    return DIGIT_WORDS[word.replace("\u017f", "s").replace("\u0130", "i").replace("\u0131", "i").lower()]
 
 
 def luhn(digits: str) -> bool:
@@ -122,21 +123,27 @@ class Tape:
 
     def __init__(self, text: str, start: list[int] | None = None, end: list[int] | None = None):
         self.text = text
-        self.start = list(range(len(text))) if start is None else start
-        self.end = list(range(1, len(text) + 1)) if end is None else end
+        # None: each character came from its own place
+        self.start, self.end = start, end
+
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        """The source range of characters a to b."""
+        return (a, b) if self.start is None else (self.start[a], self.end[b - 1])
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> Tape:
         """Replaces disjoint ranges, in order; what is written spans its whole range."""
         if not edits:
             return self
+        starts = range(len(self.text)) if self.start is None else self.start
+        ends = range(1, len(self.text) + 1) if self.end is None else self.end
         text, start, end, at = [], [], [], 0
         for a, b, new in edits:
             text += [self.text[at:a], new]
-            start += self.start[at:a] + [self.start[a]] * len(new)
-            end += self.end[at:a] + [self.end[b - 1]] * len(new)
+            start += [*starts[at:a], *[starts[a]] * len(new)]
+            end += [*ends[at:a], *[ends[b - 1]] * len(new)]
             at = b
         text.append(self.text[at:])
-        return Tape("".join(text), start + self.start[at:], end + self.end[at:])
+        return Tape("".join(text), start + list(starts[at:]), end + list(ends[at:]))
 
 
 def _letter(c: str) -> str:
@@ -150,25 +157,38 @@ def _letter(c: str) -> str:
 
 
 def homoglyphs(tape: Tape) -> Tape:
+    if tape.text.isascii() or not ODD_LETTER.search(tape.text):
+        return tape
     return tape.rewrite([(i, i + 1, new) for i, c in enumerate(tape.text) if c > "\x7f" and (new := _letter(c)) != c])
 
 
-def spelled_digits(tape: Tape) -> Tape:
+def numbers(text: str) -> bool:
+    """Whether a number word stands beside another part of a number; every run has such a pair."""
+    low = text.lower()
+    plain = text.isascii() or not any(c in text for c in "\u017f\u0130\u0131")  # case may equate these with s and i
+    return not (plain and DIGIT_WORDS.keys().isdisjoint(TOKEN.findall(low))) and bool(ODD_DIGITS.search(text))
+
+
+def spelled_digits(tape: Tape, run: re.Pattern[str] = SPELLED_RUN) -> Tape:
     edits = []
-    for m in SPELLED_RUN.finditer(tape.text):
+    for m in run.finditer(tape.text):
+        if run is MIXED_RUN and not LONE_WORD.search(m[0]):
+            continue  # plain digits are no disguise
         for x in SPELLED_ITEM.finditer(tape.text, m.start(), m.end()):
-            new = DIGIT_WORDS[x[1].lower()] if x[1] else "+" if x[2] else "." if x[3] else x[0] if x[0][0] in "0123456789" else ""
+            new = digit(x[1]) if x[1] else "+" if x[2] else "." if x[3] else x[0] if x[0][0] in "0123456789" else ""
             edits.append((x.start(), x.end(), new))
     return tape.rewrite(edits)
 
 
 def signs(tape: Tape) -> Tape:
     edits = []
-    for m in BRACKETED.finditer(tape.text):
+    for m in BRACKETED.finditer(tape.text) if ODD_SIGN.search(tape.text) else ():
         word = next((g for g in m.groups() if g), "@" if any(x in m[0].lower() for x in AT_SIGNS) else ".").lower()
         edits.append((m.start(), m.end(), "@" if word in ("at", "@") else "."))
     tape = tape.rewrite(edits)
-    for pattern, inner in ((SPELLED_ADDRESS, SIGNS), (DOTTED_NUMBERS, SIGNS), (UNDERSCORED, UNDERSCORED_SIGNS), (SPACED_AT, SIGNS)):
+    for pattern, inner, must in ((SPELLED_ADDRESS, SIGNS, " dot "), (DOTTED_NUMBERS, SIGNS, " dot "), (UNDERSCORED, UNDERSCORED_SIGNS, "_at_"), (SPACED_AT, SIGNS, " @ ")):
+        if must not in tape.text.lower():
+            continue
         edits = []
         for m in pattern.finditer(tape.text):
             edits += [(x.start(), x.end(), "." if "dot" in x[0].lower() else "@") for x in inner.finditer(tape.text, m.start(), m.end())]
@@ -179,14 +199,18 @@ def signs(tape: Tape) -> Tape:
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and base and added spans, as (start, kind, end), both sorted."""
     base = base_spans(text)
-    if not disguised(text):
-        return base, base
-    tape = signs(spelled_digits(homoglyphs(Tape(text))))
+    letters = homoglyphs(Tape(text))
     every = set(base)
-    for a, k, b in base_spans(tape.text):
-        start, end = tape.start[a], tape.end[b - 1]
-        if text[start:end] != tape.text[a:b] and not any(x < end and start < y for x, kind, y in base if kind == k):
-            every.add((start, k, end))
+    for run in (SPELLED_RUN, MIXED_RUN) if numbers(letters.text) else (None,):
+        known, tape = list(every) if run is MIXED_RUN else base, signs(spelled_digits(letters, run) if run else letters)
+        if tape.start is None:
+            continue
+        for a, k, b in base_spans(tape.text):
+            if run is MIXED_RUN and KINDS[k] == "email":
+                continue
+            start, end = tape.source(a, b)
+            if text[start:end] != tape.text[a:b] and not any(x < end and start < y for x, kind, y in known if kind == k):
+                every.add((start, k, end))
     return base, sorted(every)
 
 

@@ -74,3 +74,32 @@ def test_redaction(spark):
     assert out == {1: "x [EMAIL] y [PHONE]", 2: None, 3: ""}
     assert pii.redacted(df).columns == df.columns
     assert pii.redacted(df.limit(0)).count() == 0 and pii.report(df.withColumnRenamed("id", "doc_id").limit(0)).count() == 0
+
+
+def test_spans_do_not_depend_on_other_disguises():
+    for text, want in [
+        ("call plus four - nine - one - five - one - two - three - four - five - six - seven ok", "plus four - nine - one - five - one - two - three - four - five - six - seven"),
+        ("call plus 4 nine 1 five 1 two 3 four 5 six 7 ok", "plus 4 nine 1 five 1 two 3 four 5 six 7"),
+        ("call plus one (five) (five) (five) (one) (two) (three) (four) (five) (six) (seven)", "plus one (five) (five) (five) (one) (two) (three) (four) (five) (six) (seven"),
+        ("mail user@mail&#46;com now", "user@mail&#46;com"),
+        ("mail user@mail&period;com now", "user@mail&period;com"),
+        ("mail user@mail%2ecom now", "user@mail%2ecom"),
+        ("ring +49 one five one 2345678 now", "+49 one five one 2345678"),
+        ("card 4111 1111 1111 one one one one end", "4111 1111 1111 one one one one"),
+    ]:
+        for more in ("", " and а [dot] here, one two three dot", ", then one of 5, 2 dot 3"):
+            every = pii.spans(text + more)[1]
+            assert [(text + more)[a:b] for a, _, b in every] == [want], (text, more)
+    for text in ["4111, 1111, 1111, 1111 and one more", "in 2020, one of 5", "ſeven one two three four five six"]:
+        assert pii.spans(text) == ([], [])
+
+
+def test_quick_looks_are_implied_by_their_patterns():
+    r = random.Random(3)
+    parts = [*pii.DIGIT_WORDS, *"0123456789", "plus", "dot", "dash", "ſix", "fİve", *[" ", "-", ", ", " - ", ") (", "("] * 12, "word"]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 24)))
+        if pii.SPELLED_RUN.search(text) or any(pii.LONE_WORD.search(m[0]) for m in pii.MIXED_RUN.finditer(text)):
+            assert pii.numbers(text), text
+    signs = ["&#64;", "&COMMAT;", "%40", "&#46;", "&period;", "%2E", "(at)", "[ dot ]", "{punto}", "<at>", "( @ )", "[.]", "(punkt)", "{point}"]
+    assert all(pii.BRACKETED.search(s) and pii.ODD_SIGN.search(s) for s in signs)
