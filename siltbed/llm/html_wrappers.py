@@ -22,12 +22,14 @@ Defined results: null and empty html, and html without text, give the empty
 text; pages without a host form a host of their own; character references are
 decoded, white space in a block is one space, blocks are joined by an empty line;
 a comment or script that never ends runs to the end of the page; repeated rows
-repeat; very long pages are read whole; an empty table gives an empty table.
+repeat; very long pages are read whole, deep nests too: elements below 60 others
+that no mark tells apart give their contents to the one above; an empty table gives an empty table.
 """
 
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -39,7 +41,7 @@ from pyspark.sql import types as T
 
 from siltbed.llm.common import stored
 
-FAN_IN, WIDEST, MOST_HOSTS, DEEPEST = 64, 48, 500, 60
+FAN_IN, WIDEST, MOST_HOSTS, DEEPEST, DEEPEST_MARKED = 64, 48, 500, 60, 160
 #: Elements of HTML by how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes".split())
@@ -110,35 +112,66 @@ class Node:
         self.label, self.children = name, []
 
 
+def transparent(name: str) -> bool:
+    """Whether a label says nothing of what is main text, so that a deep element may give its contents to its parent."""
+    return not is_dropped(name, False) and not name.endswith("+") and name not in PLACES
+
+
 def parse(page: str) -> Node:
-    """The nest of a page; end tags that HTML lets one omit are implied."""
+    """The nest of a page; end tags that HTML lets one omit are implied.
+
+    All open elements count. Below DEEPEST nodes, plain elements leave block ends
+    only and give their contents to the node above, marked and dropped ones are
+    nodes still; below DEEPEST_MARKED, dropped ones go and all others are plain.
+    """
     root = Node("#")
-    stack, names = [root], ["#"]
+    stack, names, depths = [root], ["#"], [1]
+    open_: Counter[str] = Counter()
+
+    def shut(k: int) -> None:
+        """Closes the elements from place k on."""
+        for j in range(len(names) - 1, k - 1, -1):
+            open_[names[j]] -= 1
+            if names[j] in BLOCK and depths[j] == depths[j - 1]:
+                stack[j - 1].children.append(Node("div"))
+        del stack[k:], names[k:], depths[k:]
+
     for kind, name, rest in tokens(page):
         if kind == "text":
             stack[-1].children.append(name)
         elif kind == "open":
-            if name in BLOCK and "p" in names:
+            if name in BLOCK and open_["p"]:
                 k = len(names) - 1
                 while names[k] != "p" and names[k] not in SCOPES:
                     k -= 1
                 if names[k] == "p":
-                    del stack[k:], names[k:]
+                    shut(k)
             if name in CLOSES:
                 k = len(names) - 1
                 while k > 0 and names[k] not in CLOSES[name] and (names[k] not in SCOPES or names[k] in ("td", "th") and name in ("tr", "tbody")):
                     k -= 1
                 if k > 0 and names[k] in CLOSES[name]:
-                    del stack[k:], names[k:]
-            node = Node(label(name, rest))
-            stack[-1].children.append(node)
-            if name not in VOID and not rest.rstrip().endswith("/") and len(stack) < DEEPEST:
+                    shut(k)
+            node, depth = Node(label(name, rest)), depths[-1] + 1
+            leaf = name in VOID or rest.rstrip().endswith("/")
+            if not leaf and depth > DEEPEST and (transparent(node.label) or depth > DEEPEST_MARKED):
+                depth -= 1
+                if depth < DEEPEST_MARKED or not is_dropped(node.label, True):
+                    node = stack[-1]
+                    if name in BLOCK:
+                        node.children.append(Node("div"))
+            else:
+                stack[-1].children.append(node)
+            if not leaf:
                 stack.append(node)
                 names.append(name)
-        elif name in names:
-            k = len(names) - 1 - names[::-1].index(name)
-            if k > 0:
-                del stack[k:], names[k:]
+                depths.append(depth)
+                open_[name] += 1
+        elif open_[name]:
+            k = len(names) - 1
+            while names[k] != name:
+                k -= 1
+            shut(k)
     return root
 
 

@@ -74,3 +74,19 @@ def test_odd_pages(spark):
     assert {h: by[i] for i, h in enumerate(cases)} == cases
     assert [x.text for x in got if x.page_id is None] == ["z", "z"]
     assert hw.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_text_after_deep_nests(spark):
+    cases, wants = [], []
+    for n in (10, 55, 56, 60, 100, 500, 3000):
+        cases.append(f"<html><body><div><article><p>first</p>{'<div>' * n}deep<p>block</p><nav>menu</nav>more{'</div>' * n}<p>second</p><p>third</p></article></div><p>outside</p></body></html>")
+        wants.append("first\n\ndeep\n\nblock\n\nmore\n\nsecond\n\nthird")
+    for n in (70, 1000):  # inline tags that never end, and a main place below
+        cases.append(f"<html><body>{'<span>' * n}<p>lead</p><article><p>one</p><div class=ad>buy</div><p>two <b>bold</b></p></article><p>outside</p>")
+        wants.append("one\n\ntwo bold")
+    cases.append("<body>" + "<article>" * 400 + "<p>in</p><nav>menu</nav>" + "</article>" * 400 + "<p>out</p>")
+    wants.append("in")
+    rows = [(i, f"http://h{i}.x/", h, None, None) for i, h in enumerate(cases)]
+    by = {x.page_id: x.text for x in hw.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [by[i] for i in range(len(cases))] == wants
+    assert [hw.main_text(h, None) for h in cases] == wants
