@@ -14,7 +14,8 @@ third of all pages is pre-aggregated where its pages lie; the partial wrappers,
 one a task and host at most, merge in rounds of `FAN_IN`. The merged wrapper
 says for each slot whether it is main text: the slots within the article (or
 main, or the like) of most pages, or else within the container with the most
-text, without menus, headers, footers, sidebars, notices, adverts, forms and
+text and what stands beside it and its ancestors (blocks with most of their text
+in links excepted), without menus, headers, footers, sidebars, notices, adverts, forms and
 comments. A page's text is then read by aligning its own stream with its host's
 wrapper; a page that leaves no main text this way decides by itself.
 
@@ -317,6 +318,16 @@ def mass(items: list) -> int:
     return sum(0 if is_dropped(x[LABEL], False) else x[CHARS] + mass(x[ITEMS]) for x in items)
 
 
+def linked(items: list) -> int:
+    """Text within links."""
+    return sum(0 if is_dropped(x[LABEL], False) else x[CHARS] + mass(x[ITEMS]) if tag_of(x[LABEL]) == "a" else linked(x[ITEMS]) for x in items)
+
+
+def link_dense(item: list) -> bool:
+    """Whether a block other than a heading or paragraph has most of its text in links."""
+    return tag_of(item[LABEL]) in BLOCK - {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "p"} | {"()"} and 2 * linked(item[ITEMS]) > mass(item[ITEMS])
+
+
 def mark(items: list, where: str, inside: bool = False) -> list:
     """A slim copy of a wrapper: [label, main, items]; main: texts below it are main text."""
     if where == "densest" and not inside:
@@ -327,7 +338,9 @@ def mark(items: list, where: str, inside: bool = False) -> list:
         if into < 0:
             inside = True
         else:
-            return [[x[LABEL], False, mark(x[ITEMS], where) if k == into else []] for k, x in enumerate(items)]
+            # what stands beside it stays, but for what is dropped anyway and lists of links
+            beside = [k != into and not is_dropped(x[LABEL], False) and not link_dense(x) for k, x in enumerate(items)]
+            return [[x[LABEL], b, mark(x[ITEMS], where, b) if b or k == into else []] for k, (x, b) in enumerate(zip(items, beside))]
     out = []
     for x in items:
         now = inside or where in PLACES and holds(x[LABEL], where)

@@ -90,3 +90,15 @@ def test_text_after_deep_nests(spark):
     by = {x.page_id: x.text for x in hw.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert [by[i] for i in range(len(cases))] == wants
     assert [hw.main_text(h, None) for h in cases] == wants
+
+
+def test_text_beside_the_densest_container_stays(spark):
+    body = "".join(f"<p>{'body words ' * 20}{i}</p>" for i in range(3))
+    paras = [f"{'body words ' * 20}{i}" for i in range(3)]
+    links = "<div>" + "".join(f"<a href=/{i}>link {i}</a> " for i in range(5)) + "</div>"
+    head = f"<html><body><nav>menu</nav><div class=ad>buy</div>{links}"
+    rows = [(i, "http://a.b/", f"{head}<h1><a href=/>Title</a></h1><p>lead</p><div>{body}</div><section><p>second <a href=x>one</a></p></section><footer>f</footer>", None, None) for i in range(5)]
+    rows.append((5, "http://a.b/", f"{head}<h1>Other</h1><p>{'all of it here ' * 30}</p><div><p>less</p></div><section><p>more</p></section>", None, None))
+    by = {x.page_id: x.text.split("\n\n") for x in hw.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(by[i] == ["Title", "lead", *paras, "second one"] for i in range(5))
+    assert by[5] == ["Other", ("all of it here " * 30).strip(), "less", "more"]
