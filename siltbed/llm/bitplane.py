@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.bpe import load, slices
+from siltbed.llm.bpe import Pool, library_pool, slices
 from siltbed.llm.common import stored
 
 MAGIC = b"PLANES1\n"
@@ -100,8 +100,14 @@ class PlaneFile:
             yield d, int(a), ids[a:b]
 
 
+@lru_cache(maxsize=2)
+def library(path: str) -> Pool:
+    """The tokenizers library's encoder, with the ids of words met, once per Python worker."""
+    return library_pool(path)
+
+
 def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bits: bool) -> Iterator[pa.RecordBatch]:
-    bpe, part, seq, before = load(path), TaskContext.get().partitionId(), 0, 0
+    pool, part, seq, before = library(path), TaskContext.get().partitionId(), 0, 0
     kind = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary())])
     docs, counts, held, size = [], [], [], 0
 
@@ -112,7 +118,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bits: bool
     for b in batches:
         names, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
         for i, j in slices(texts):
-            ids, n = bpe.encode_batch(texts[i:j])
+            ids, n = pool.encode_batch(texts[i:j])
             ends = np.cumsum(n)
             held.append(np.insert(ids.astype("<u4"), ends, end_id))
             docs += names[i:j]

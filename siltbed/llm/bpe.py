@@ -1,14 +1,16 @@
 """Byte-level BPE encoding and decoding by batched merge rounds in numpy.
 
-A slice of documents is cut into chunks at each space before a non-space: the
-pre-tokenizer's pattern always cuts there, so a chunk's ids do not depend on its
-neighbours. Chunks not met before are split by the pattern, and all their words
-merge together: their symbols lie in one flat array, a pair's rank is found by
-binary search over the sorted pair keys, and in each round every word merges all
-its occurrences of its lowest-ranked pair. Chunk ids are kept per Python worker
-up to `KEPT` chunks, then forgotten; memory is bounded, results do not change.
-
-Defined results: null and empty texts have no ids; repeated rows repeat; an
+The pre-tokenizer's pattern cuts a slice of documents into words, and Arrow tells
+the distinct ones apart. Those not met before merge together: their symbols lie
+in one flat array, a pair's rank is found by binary search over the sorted pair
+keys, and in each round every word merges all its occurrences of its
+lowest-ranked pair. Ids of words are kept per Python worker up to `KEPT` words,
+then forgotten; memory is bounded, results do not change. A text of over
+`SLICE_CHARS` code points is cut where words always end, and its parts follow
+one another.
+
+Ties: a pair's rank is its place in the file, and of equal pairs in a word the
+leftmost merges first. Defined results: null and empty texts have no ids; repeated rows repeat; columns of the caller named like an added one give way; an
 added token's string in a text is that token, as in the tokenizers library; ids
 of no token, and nulls, decode to nothing; an empty table gives an empty table.
 """
@@ -16,8 +18,9 @@ of no token, and nulls, decode to nothing; an empty table gives an empty table.
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from itertools import chain
 from unicodedata import category
@@ -28,14 +31,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from siltbed.llm.common import without
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 150_000
-SLICE_CHARS, SLICE_ROWS = 1 << 20, 512
+KEPT = 400_000
+SLICE_CHARS, SLICE_ROWS = 1 << 21, 1024
 LONGEST_KEPT = 64
 NO_RANK = np.iinfo(np.int32).max
 
@@ -75,25 +79,11 @@ class Bpe:
         self.byte_ids = np.array([vocab[c] for c in letters], np.int32)
         self.token_bytes = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items() if all(c in byte_of for c in t)}
         self.token_bytes |= {i: t.encode() for t, i in added.items()}
-        self.added = added
-        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
-        self.words = regex.compile(PATTERN)
-        self.library = ByteLevel(add_prefix_space=False)
-        self.gap = re.compile(r" (?:\s|\Z)")
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.pool = np.empty(1 << 16, np.int32)
-        self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.used = 0
-
-    def split(self, text: str) -> list[str]:
-        """The pattern's words. Unicode versions differ on letters added of late: of texts
-        with characters that Python's does not know, the library's splitter decides."""
-        if text.isascii() or max(text) < "\u0378" or not any(category(c) == "Cn" for c in text):
-            return self.words.findall(text)
-        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+        tokens = [self.token_bytes.get(i, b"") for i in range(1 + max(self.token_bytes))]
+        self.token_length = np.array([*map(len, tokens), 0], np.int64)
+        self.token_start = np.cumsum(self.token_length) - self.token_length
+        self.token_flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.pool = Pool(self.merge, added)
 
     def rank(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of the pairs that begin at these positions, NO_RANK if none."""
@@ -103,10 +93,11 @@ class Bpe:
         ok = (self.keys[pos] == key) & (word[at] == word[nxt]) & (nxt > at)
         return np.where(ok, self.ranks[pos], NO_RANK), self.made[pos]
 
-    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the words, and how many each has."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        sym = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        raw = [w.encode("utf-8") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        sym = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         rank, made = self.rank(sym, word, np.arange(len(sym))) if len(sym) else (np.empty(0, np.int32), np.empty(0, np.int32))
@@ -139,81 +130,156 @@ class Bpe:
         order = np.argsort(word, kind="stable")
         return sym[order], np.bincount(word, minlength=len(words))
 
-    def learn(self, chunks: list[str]) -> None:
-        """Adds chunks to the pool. A chunk stands for itself after a space; one that begins with a tab, for the rest after it."""
-        index: dict[str, int] = {}
-        words: list[int] = []
-        counts = []
-        for c in chunks:
-            if c.isalpha():
-                words.append(index.setdefault(" " + c, len(index)))
-                counts.append(1)
-            else:
-                found = self.split(c[1:] if c[:1] == "\t" else " " + c)
-                words += [index.setdefault(w, len(index)) for w in found]
-                counts.append(len(found))
-        ids, sizes = self.merge([w.encode("utf-8", "surrogatepass") for w in index])
-        word = np.array(words, np.int64)
-        size = sizes[word]
-        flat = ids[spread((np.cumsum(sizes) - sizes)[word], size)]
-        ends = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(counts)].astype(np.int64)]
-        self.codes.update(zip(chunks, range(len(self.start), len(self.start) + len(chunks))))
-        self.start = np.concatenate([self.start, self.used + ends[:-1]])
-        self.length = np.concatenate([self.length, np.diff(ends)])
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all texts, and how many each has."""
+        return self.pool.encode_batch(texts)
+
+    def decode_batch(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each row's ids; of a null row the empty one."""
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        none = len(self.token_length) - 1
+        ids = np.where((ids >= 0) & (ids < none), ids, none)
+        length = self.token_length[ids]
+        flat = self.token_flat[spread(self.token_start[ids], length)]
+        ends = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum(counts)]]
+        data = flat.tobytes()
+        if len(data) < 1 << 31 and valid(data, flat, ends):
+            return pa.StringArray.from_buffers(len(counts), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
+        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
+
+
+def valid(data: bytes, flat: np.ndarray, ends: np.ndarray) -> bool:
+    """Whether each stretch between ends is UTF-8: all of it is, and no character lies across an end."""
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    inner = ends[ends < len(flat)]
+    return not ((flat[inner] & 0xC0) == 0x80).any()
+
+
+def latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Splitter:
+    """Cuts a text into the pre-tokenizer's words."""
+
+    def __init__(self):
+        self.words = regex.compile(PATTERN)
+        self.library = ByteLevel(add_prefix_space=False)
+        # the same pattern with the classes spelled out for Latin-1, which the plain engine runs twice as fast
+        letters, numbers = ("".join(re.escape(c) for c in map(chr, range(256)) if category(c)[0] == k) for k in "LN")
+        spaces = r" \t-\r\x85\xa0"
+        spelled = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+        self.latin = re.compile(spelled.replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]"))
+
+    def __call__(self, text: str) -> list[str]:
+        """Unicode versions differ on letters added of late: of texts with characters
+        that Python's does not know, the library's splitter decides."""
+        if latin1(text):
+            return self.latin.findall(text)
+        if max(text) < "\u0378" or not any(category(c) == "Cn" for c in text):
+            return self.words.findall(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+
+
+class Pool:
+    """Ids of the words met so far, in one flat array, up to KEPT words.
+
+    learn: words to their flat ids, and how many each has.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], added: dict[str, int]):
+        self.learn, self.added, self.split = learn, added, Splitter()
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
+        self.gap = re.compile(r" (?=\S)")
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.flat = np.empty(1 << 16, np.int32)
+        self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.used = 0
 
-    def chunks(self, text: str) -> list[str]:
-        """The keys of a text's chunks."""
-        pieces = text.split(" ")
-        if self.gap.search(text):
-            joined = [pieces[0]]
-            for p in pieces[1:]:
-                if not p or p[0].isspace():
-                    joined[-1] += " " + p
-                else:
-                    joined.append(p)
-            pieces = joined
-        pieces[0] = "\t" + pieces[0]
-        return pieces
+    def _learn(self, words: list[str]) -> None:
+        flat, length = self.learn(words)
+        self.codes.update(zip(words, range(len(self.start), len(self.start) + len(words))))
+        self.start = np.concatenate([self.start, self.used + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.codes) > KEPT:
             self.forget()
-        split = [self.chunks(t) for t in texts]
-        new = set().union(*split).difference(self.codes)
-        if new:
-            self.learn(list(new))
+        split = [self.split(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        words = list(chain.from_iterable(split))
+        del split
+        # Arrow tells words apart, so that each distinct one is looked up once
+        nth = pa.array(words, pa.large_string()).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.empty(nth.max(initial=-1) + 1, np.int64)
+        first[nth[::-1]] = np.arange(len(words))[::-1]
+        known = [words[i] for i in first.tolist()]
+        place = list(map(self.codes.get, known))
+        new = [w for w, p in zip(known, place) if p is None]
+        if new:
+            self._learn(new)
+            place = [self.codes[w] if p is None else p for w, p in zip(known, place)]
+        codes = np.array(place, np.int64)[nth]
+        for w in [w for w in new if len(w) > LONGEST_KEPT]:
+            del self.codes[w]
         length = self.length[codes]
-        ids = self.pool[spread(self.start[codes], length)]
-        per_doc = np.add.reduceat(length, np.cumsum(sizes) - sizes) if len(sizes) else sizes
-        for c in [c for c in new if len(c) > LONGEST_KEPT]:
-            del self.codes[c]
-        return ids, per_doc
+        per_text = np.diff(np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum(sizes)]])
+        return self.flat[spread(self.start[codes], length)], per_text
+
+    def stretches(self, text: str) -> list[str]:
+        """A long text, cut where words always end: before a space that a non-space follows."""
+        out, at = [], 0
+        while len(text) - at > SLICE_CHARS and (m := self.gap.search(text, at + SLICE_CHARS)):
+            out.append(text[at : m.start()])
+            at = m.start()
+        return [*out, text[at:]]
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and how many each has."""
-        if self.cut is None or not any(t in x for x in texts for t in self.added):
+        if max(map(len, texts), default=0) <= SLICE_CHARS and (self.cut is None or not any(t in x for x in texts for t in self.added)):
             return self._plain(texts)
-        parts, owner = [], []
-        for i, x in enumerate(texts):
-            found = self.cut.split(x)
-            parts += found
-            owner += [i] * len(found)
-        plain = [k for k, p in enumerate(parts) if p not in self.added]
-        ids, counts = self._plain([parts[k] for k in plain])
-        cuts = dict(zip(plain, np.split(ids, np.cumsum(counts)[:-1])))
-        flat = [cuts[k] if k in cuts else np.array([self.added[p]], np.int32) for k, p in enumerate(parts)]
-        per_doc = np.bincount(owner, weights=[len(f) for f in flat], minlength=len(texts)).astype(np.int64)
-        return np.concatenate(flat), per_doc
-
-    def decode(self, ids: list[int | None]) -> str:
-        get = self.token_bytes.get
-        return b"".join(get(i, b"") for i in ids).decode("utf-8", "replace")
+        flat, counts = [np.empty(0, np.int32)], []
+        for x in texts:
+            n = 0
+            for part in self.cut.split(x) if self.cut else [x]:
+                for y in [] if part in self.added else self.stretches(part):
+                    flat.append(self._plain([y])[0])
+                    n += len(flat[-1])
+                if part in self.added:
+                    flat.append(np.array([self.added[part]], np.int32))
+                    n += 1
+            counts.append(n)
+        return np.concatenate(flat), np.array(counts, np.int64)
+
+
+def library_pool(path: str) -> Pool:
+    """A pool whose words the tokenizers library encodes, each distinct one once."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+
+    def learn(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+
+    return Pool(learn, {t.content: i for i, t in library.get_added_tokens_decoder().items()})
 
 
 @lru_cache(maxsize=4)
@@ -246,24 +312,17 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, decoding: bool = False
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids))
                 columns, names = [*(c.slice(i, j - i) for c in b.columns[:-1]), lists], [*b.schema.names[:-1], "ids"]
                 if decoding:
-                    columns.append(pa.array(map(bpe.decode, np_lists(lists)), pa.string(), size=j - i))
+                    columns.append(bpe.decode_batch(lists))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def np_lists(lists: pa.ListArray) -> Iterator[list[int | None]]:
-    """Each row's ids; of a null row none."""
-    for row in lists:
-        yield row.values.to_pylist() if row.is_valid else []
-
-
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     bpe = load(path)
     for b in batches:
         for k in range(0, b.num_rows, SLICE_ROWS):
             part = b.slice(k, SLICE_ROWS)
-            text = pa.array(map(bpe.decode, np_lists(part.column(part.num_columns - 1))), pa.string(), size=part.num_rows)
-            yield pa.RecordBatch.from_arrays([*part.columns, text], [*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*part.columns, bpe.decode_batch(part.column(part.num_columns - 1))], [*b.schema.names, "decoded"])
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

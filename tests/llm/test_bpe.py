@@ -45,10 +45,29 @@ def test_forgetting_changes_nothing():
     a, b = bpe.Bpe(PATH), bpe.Bpe(PATH)
     for t in texts()[:50]:
         x = a.encode_batch([t])[0].tolist()
-        b.forget()
+        b.pool.forget()
         assert b.encode_batch([t])[0].tolist() == x
 
 
+def test_long_texts_are_cut_where_words_end(monkeypatch):
+    lib = Tokenizer.from_file(PATH)
+    for pool in (bpe.Bpe(PATH), bpe.library_pool(PATH)):
+        monkeypatch.setattr(bpe, "SLICE_CHARS", 7)
+        monkeypatch.setattr(bpe, "KEPT", 20)
+        for t in texts()[::40]:
+            ids, counts = pool.encode_batch([t, "", t + " x"])
+            one = lib.encode(t, add_special_tokens=False).ids
+            assert ids.tolist() == [*one, *lib.encode(t + " x", add_special_tokens=False).ids] and counts.tolist()[:2] == [len(one), 0]
+
+
+def test_bytes_that_are_no_text_decode_as_in_the_library(spark):
+    own, lib = bpe.Bpe(PATH), Tokenizer.from_file(PATH)
+    r = random.Random(5)
+    rows = [[r.randrange(0, 300) for _ in range(r.randint(0, 6))] for _ in range(300)]
+    for batch in (rows, [x for x in rows if all(i < 90 for i in x)]):
+        assert own.decode_batch(bpe.pa.array(batch, bpe.pa.list_(bpe.pa.int32()))).to_pylist() == [lib.decode(x, skip_special_tokens=False) for x in batch]
+
+
 def test_empty_table_and_odd_ids(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.round_trip(df, PATH).count() == 0
