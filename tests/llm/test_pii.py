@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from siltbed.llm import pii
 
@@ -103,3 +104,30 @@ def test_quick_looks_are_implied_by_their_patterns():
             assert pii.numbers(text), text
     signs = ["&#64;", "&COMMAT;", "%40", "&#46;", "&period;", "%2E", "(at)", "[ dot ]", "{punto}", "<at>", "( @ )", "[.]", "(punkt)", "{point}"]
     assert all(pii.BRACKETED.search(s) and pii.ODD_SIGN.search(s) for s in signs)
+
+
+def test_time_grows_with_the_text():
+    n = 5_000_000
+    texts = ["a" * n, "a" * n + " x@y.z", "a dot " * (n // 6), "a dot " * (n // 6) + "b at c dot com", "7" * n, "+1 " * (n // 3)]
+    n = 500_000
+    texts += ["% dot " * (n // 6) + "x at y dot com", "1 " * (n // 2), "1." * (n // 2), "0" * n + ".1.1.1", "plus" + "." * n, " " * n + "(at)", "(" * n, "( " * (n // 2), "." * n + "_at_b_dot_c"]
+    texts += ["a@" * (n // 2), "x at at " * (n // 8), "one " * (n // 4), "one 1 " * (n // 6) + "one", "a@b.co (dot) " * (n // 13), "a at b dot co " * (n // 14)]
+    for t in texts:
+        began = time.process_time()
+        pii.spans(t)
+        assert time.process_time() - began < 60, t[:20]
+
+
+def test_emails_from_their_signs():
+    r = random.Random(8)
+    for _ in range(20_000):
+        t = "".join(r.choice(["a", "@", ".", "b-", " ", "é", "@c.d", "%"]) for _ in range(r.randint(0, 14)))
+        assert pii.emails(t) == [m.span() for m in re.finditer(BASE["email"], t)], t
+
+
+def test_ties_and_many_spans():
+    assert pii.redact("4111 1111 1111 1111") == "[CARD]"
+    text = "a@b.co " * 20_000 + "c (at) d.co"
+    base, every = pii.spans(text)
+    assert len(base) == 20_000 and len(every) == 20_001
+    assert pii.spans("1." + "0" * 6000 + "2.3.4")[0] == [(0, 1, 6007)]
