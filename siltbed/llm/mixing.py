@@ -10,14 +10,18 @@ A source takes its documents in complete epochs first. The rest of its target is
 an Efraimidis-Spirakis sample: document i has the key -ln(u)/w, u from a digest
 of its id and text and w its quality weight; documents are taken by rising key
 until the words taken reach the rest; the last one is taken in part. A quality
-column of the caller's, 1 at least, may replace the default weight. The prefix
-sums never gather a source in one task: keys are cut into buckets by their
-distribution function, bucket sums are added up first, and only the one bucket
-of each source in which its rest ends is sorted row by row.
+column of the caller's may replace the default weight. The prefix sums never
+gather a source in one task: keys are cut into 4096 buckets by their distribution
+function, bucket sums are added up, and the one bucket of each source in which
+its rest ends is cut again in the same way until it has LAST_ROWS at most (or
+its rows can't be told apart); only that is sorted row by row. A task sees 4096
+sums of a source, whatever its size and however its keys lie.
 
 Defined results: null texts count as empty and take nothing; sources are ordered
 by code point, null last; repeated rows share a key and are taken as if they
-were different documents; reruns agree; an empty table gives an empty table.
+were different documents; a quality that is null or NaN counts as 1, one of 0 or
+less is taken last; columns of the caller named like an added one give way, all
+other names are free; reruns agree; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from siltbed.llm.common import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
-BUCKET_ROWS = 20_000
+LEVEL_BITS, LEVELS, LAST_ROWS = 12, 4, 1000
 
 
 def words(text: Column) -> Column:
@@ -45,17 +49,22 @@ def quality(text: Column, size: Column) -> Column:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality_col: str | None, seed: int) -> DataFrame:
-    """docs and _src (null last in order), _size, _key, _cdf; the last two from a digest."""
+    """docs and _src (null last in order), _size, _key, _place; the last two from a digest.
+
+    _place is the key's distribution function at quality 1, in 48 bits.
+    """
     text = F.col(f"`{text_col}`")
     digest = F.sha2(F.concat_ws("\x1f", F.lit(str(seed)), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.coalesce(text, F.lit(""))), 256)
     rows = docs.withColumn("_size", words(text))
     # 52 bits, never 0
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    w = quality(text, F.col("_size")) if quality_col is None else F.col(f"`{quality_col}`")
-    rows = rows.withColumn("_key", -F.log(u) / w)
+    given = None if quality_col is None else F.col(f"`{quality_col}`").cast("double")
+    w = quality(text, F.col("_size")) if given is None else F.when(given.isNull() | F.isnan(given), 1.0).otherwise(given)
+    rows = rows.withColumn("_key", F.when(w > 0, -F.log(u) / w).otherwise(F.lit(float("inf"))))
     src = F.when(F.col(f"`{source_col}`").isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col(f"`{source_col}`").cast("string")))
-    # w is 1 at least, so this is below 1 and its density is bounded by w
-    return rows.withColumns({"_src": src, "_cdf": 1 - F.exp(-F.col("_key"))})
+    most = 1 << (LEVEL_BITS * LEVELS)
+    place = F.least(F.floor((1 - F.exp(-F.col("_key"))) * F.lit(float(most))), F.lit(most - 1)).cast("long")
+    return rows.withColumns({"_src": src, "_place": place})
 
 
 def weighted(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -87,14 +96,30 @@ def targets(sources: DataFrame, share: float = SHARE, most: float = MOST) -> Dat
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
-    """Per source: source_size, target, _epochs, _rest (words beyond epochs), _buckets."""
-    sources = rows.groupBy("_src").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_docs"))
+    """Per source: source_size, target, _epochs, _rest (words beyond epochs)."""
+    sources = rows.groupBy("_src").agg(F.sum("_size").alias("source_size"))
     sources = stored(weighted(stored(sources, "mix-sources"), weights), "mix-weights")
     size = F.greatest(F.col("source_size"), F.lit(1))
     epochs = F.floor(F.col("target") / size)
     out = targets(sources, share, most).withColumn("_epochs", epochs)
     rest = F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long")
-    return stored(out.withColumns({"_rest": rest, "_buckets": F.ceil(F.col("_docs") / BUCKET_ROWS)}), "mix-plan")
+    return stored(out.withColumn("_rest", rest), "mix-plan")
+
+
+def cuts(slim: DataFrame, sources: DataFrame) -> tuple[DataFrame, int]:
+    """(_src, _end, _before): the bucket in which a source's rest ends, the words before it; and how
+    many low bits of _place are within a bucket. Each round cuts the buckets of the one before."""
+    found = sources.select("_src", "_rest", F.lit(0).cast("long").alias("_end"), F.lit(0).cast("long").alias("_before"))
+    shift = LEVEL_BITS * LEVELS
+    while True:
+        inside = slim.join(found, "_src").where(F.shiftright("_place", shift) == F.col("_end"))
+        shift -= LEVEL_BITS
+        sums = inside.groupBy("_src", F.shiftright("_place", shift).alias("_bucket"), "_rest", "_before").agg(F.sum("_size").alias("_sum"), F.count("*").alias("_n"))
+        before = F.sum("_sum").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("_sum") + F.col("_before")
+        sums = sums.withColumn("_until", before).where((F.col("_until") < F.col("_rest")) & (F.col("_until") + F.col("_sum") >= F.col("_rest")))
+        found = stored(sums.select("_src", "_rest", F.col("_bucket").alias("_end"), F.col("_until").alias("_before"), "_n"), "mix-ends")
+        if not shift or (found.agg(F.max("_n")).first()[0] or 0) <= LAST_ROWS:
+            return found.select("_src", "_end", "_before"), shift
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, quality_col: str | None = None, seed: int = 0) -> DataFrame:
@@ -105,21 +130,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     out = keep if keep is not None else [c for c in given if c.lower() not in ("size", "source_size", "target", "taken")]
     held = [F.col(inner[c.lower()]) for c in out]
     rows = sized(docs.toDF(*inner.values()), inner[id_col.lower()], inner[text_col.lower()], inner[source_col.lower()], inner[quality_col.lower()] if quality_col else None, seed)
-    own = ["_src", "_size", "_key", "_cdf"]
+    own = ["_src", "_size", "_key", "_place"]
     if keep is not None and text_col not in keep:
         # without texts the rows are small: read and counted once
         rows = slim = stored(rows.select(*held, *own), "mix-rows")
     else:
         slim = stored(rows.select(*own), "mix-keys")
     sources = plan(slim, weights, share, most)
-    bucket = F.floor(F.col("_cdf") * F.col("_buckets"))
-    placed = slim.select(*own).join(sources, "_src").withColumn("_bucket", bucket)
-    sums = placed.groupBy("_src", "_bucket", "_rest").agg(F.sum("_size").alias("_sum"))
-    before = F.sum("_sum").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("_sum")
-    ends = sums.select("_src", "_bucket", "_sum", "_rest", before.alias("_before"))
-    ends = ends.where((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_sum") >= F.col("_rest")))
-    ends = stored(ends.select("_src", F.col("_bucket").alias("_end"), "_before"), "mix-ends")
+    ends, shift = cuts(slim.select("_src", "_size", "_place"), sources)
     sources = stored(sources.join(ends, "_src", "left"), "mix-cuts")
+    bucket = F.shiftright("_place", shift)
     # in the bucket where the rest ends: words before each (key, size), of all rows that share it
     last = slim.select(*own).join(sources, "_src").where(bucket == F.col("_end"))
     ranked = last.groupBy("_src", "_key", "_size", "_before").agg(F.sum("_size").alias("_sum"))

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltbed.llm import mixing
 
@@ -56,9 +57,10 @@ def corpus(n):
     return [*rows, (n, None, "b"), (n + 1, "", "empty"), (n + 2, " \t\n", "empty"), (None, "a null id", "z"), (n + 3, "long " * 20_000, "long")]
 
 
-@pytest.mark.parametrize("bucket_rows", [20_000, 7])
-def test_matches_brute_force(spark, monkeypatch, bucket_rows):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+@pytest.mark.parametrize("bits, last_rows", [(12, 1000), (2, 3)])
+def test_matches_brute_force(spark, monkeypatch, bits, last_rows):
+    monkeypatch.setattr(mixing, "LEVEL_BITS", bits)
+    monkeypatch.setattr(mixing, "LAST_ROWS", last_rows)
     rows = corpus(400)
     df = spark.createDataFrame([(*r, 7, "x") for r in rows], SCHEMA)
     got = mixing.mix(df, keep=["doc_id"]).collect()
@@ -95,3 +97,19 @@ def test_the_mix_itself(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
+
+
+def test_any_quality_meets_the_targets(spark):
+    r = random.Random(2)
+    odd = [None, float("nan"), 0.0, -3.0, 1e9, 1e-9, 1.0, float("inf")]
+    rows = [(i, "word " * r.randint(1, 9), r.choice("ab"), r.choice(odd)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, q double").withColumns({"_src": F.lit(1), "_place": F.lit("x"), "taken": F.lit(2)})
+    got = mixing.mix(df, quality_col="q", keep=["doc_id", "_src", "_place", "q"]).collect()
+    assert len(got) == len(rows) and got[0].__fields__[:4] == ["doc_id", "_src", "_place", "q"]
+    for source in {x.target for x in got}:
+        own = [x for x in got if x.target == source]
+        assert sum(x.taken for x in own) == round(source)
+        epochs = int(source // own[0].source_size)
+        best = [x for x in own if x.q == 1e9]
+        worst = [x for x in own if x.q in (0.0, -3.0)]
+        assert sum(x.taken - epochs * x.size for x in best) / sum(x.size for x in best) >= sum(x.taken - epochs * x.size for x in worst) / sum(x.size for x in worst)
