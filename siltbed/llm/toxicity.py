@@ -1,7 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, and document scores.
 
 Fitting (driver, numpy) sees a bounded sample of labelled rows: `most_toxic` and
-`most_clean` rows by least digest of their id. A token of a toxic document is
+`most_clean` rows by least digest of their id, and has `most_features` weights at
+most, those of the features that tell most; all three are parameters of train(). A token of a toxic document is
 labelled toxic when one of its features (the word, its beginnings, its ends)
 occurs in toxic documents more often than chance allows; all other tokens are
 labelled clean. The field has two states, weights for the selected features and
@@ -17,6 +18,9 @@ Defined results: null and empty texts get the score of a text without toxic
 tokens; without labels of both classes the score is the share of toxic ones (0
 if there are none); null ids and null labels are never fitted to; repeated rows
 repeat; very long texts are scored whole; an empty table gives an empty table.
+Ties: of ids with equal digests the lesser is sampled first, of rows of one id the
+least text; a score equal to the threshold is toxic. Columns of the caller named
+score or toxic_spans give way, all other names are free.
 """
 
 from __future__ import annotations
@@ -35,8 +39,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import without
-
 WORD = re.compile(r"\w+")
 THRESHOLD = 0.7
 MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1200, 2400, 4000
@@ -325,22 +327,29 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Model:
-    """Fits to a bounded sample of the labelled rows that are not held out."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, most_features: int = MOST_FEATURES) -> Model:
+    """Fits to a bounded sample of the labelled rows that are not held out.
+
+    The driver holds most_toxic + most_clean texts and most_features weights at most;
+    of rows that share an id, the one with the least text is read.
+    """
+    known = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label_col}`").isNotNull() & ~held_out(id_col)).groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(f"`{label_col}`").alias("_y"))
     pick = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, most_toxic), (0, most_clean))]
     ids = pick[0].union(pick[1])  # most_toxic + most_clean rows at most
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(ids), "_id").select("_id", "_text", "_y").limit(2 * (most_toxic + most_clean)).collect()
-    rows.sort(key=lambda r: (r._id, r._text or ""))
-    return fit([r._text for r in rows], [r._y for r in rows])
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(ids), "_id")
+    rows = rows.groupBy("_id", "_y").agg(F.min("_text").alias("_text")).collect()  # a row for each id of the sample
+    rows.sort(key=lambda r: r._id)
+    return fit([r._text for r in rows], [r._y for r in rows], most_features)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all if None), score and toxic_spans; columns of these names give way."""
-    held = [F.col(f"`{c}`") for c in keep] if keep is not None else without(docs, "score", "toxic_spans")
-    rows = docs.select(*held, F.col(f"`{text_col}`").alias("_text"))
+    names = [c for c in docs.columns if c.lower() not in ("score", "toxic_spans")] if keep is None else keep
+    # internal names, so that no column of docs can clash
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)], F.col(f"`{text_col}`").alias("_text"))
     kind = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("toxic_spans", T.StringType())])
-    return rows.mapInArrow(partial(_score, model=model, text_at=len(rows.columns) - 1, names=kind.names), kind).drop("_text")
+    found = rows.mapInArrow(partial(_score, model=model, text_at=len(rows.columns) - 1, names=kind.names), kind)
+    return found.drop("_text").toDF(*names, "score", "toxic_spans")
 
 
 def predictions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -79,3 +79,43 @@ def test_later_rows_of_the_sample_are_fitted_to():
     assert model.weights["=zub"] > 0 and model.weights["=qix"] > 0.5
     scores, _ = toxicity.score_texts(model, ["there qix stou", "there stou"])
     assert scores[0] > toxicity.THRESHOLD > scores[1]
+
+
+def test_ids_that_repeat_and_clashing_columns(spark):
+    rows, labels = corpus()
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t, *_ in rows], "doc_id long, text string, _text string, `a.b` string, Score int")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    again = docs.union(docs.selectExpr("doc_id", "'zzz other words'", "_text", "`a.b`", "Score"))
+    model = toxicity.train(again.repartition(5), known)
+    assert model.mark == toxicity.train(again.repartition(2), known).mark
+    few = toxicity.train(docs, known, most_toxic=20, most_clean=30, most_features=3)
+    assert len(few.weights) <= 3
+    got = toxicity.score(docs, model)
+    assert got.columns == ["doc_id", "text", "_text", "a.b", "score", "toxic_spans"] and got.count() == docs.count()
+    assert toxicity.drop_toxic(docs, known).columns == docs.columns
+
+
+def test_scores_match_a_plain_version():
+    rows, labels = corpus()
+    truth = {i: t for i, _, t in labels}
+    known = [(t, truth[i]) for i, t, *_ in rows if i in truth]
+    model = toxicity.fit([t for t, _ in known], [y for _, y in known])
+    texts = [*(t for _, t, *_ in rows[:60]), "", "moron", "one moron two"]
+    scores, _ = toxicity.score_texts(model, texts)
+    for text, got in zip(texts, scores):
+        odds = [model.odds(w) for w in toxicity.WORD.findall(text)]
+        x = [0.0, 0.0]
+        if odds:
+            # forward and backward messages, one token after the other
+            pot, emit, n = np.exp(model.trans), np.exp(np.array([[0.0, e] for e in odds])), len(odds)
+            alpha, beta = [emit[0] / emit[0].sum()], [np.ones(2)]
+            for k in range(1, n):
+                a = (alpha[-1] @ pot) * emit[k]
+                alpha.append(a / a.sum())
+            for k in range(n - 1, 0, -1):
+                b = pot @ (emit[k] * beta[-1])
+                beta.append(b / b.sum())
+            p = np.array([(a * b / (a * b).sum())[1] for a, b in zip(alpha, beta[::-1])])
+            x = [p.max(), np.log1p(p.sum())]
+        z = model.curve[0] + (model.curve[1:] @ x)
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-6
