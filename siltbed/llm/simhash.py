@@ -12,25 +12,34 @@ units as its bucket has pieces, so the filter takes larger ones. A unit gives th
 it finds, not all pairs.
 
 Filtering (`drop_near_duplicates`) is to catch copies of similarity 0.8 and more
-on word shingles, which differ in far more than four of 64 bits. There a
-document has a SimHash of 256 bits, and eight keys, each of two minima of hashed
-shingles, take the place of the bit blocks: copies of similarity s share a key
-with chance 1 - (1 - s^2)^8, over 0.999 from 0.8 on. The comparison within
-buckets is the same, but gives candidates only. Candidates that hang together
-meet a second time with their sets of distinct shingle hashes, cut into units of
-bounded size like buckets, and two of them link if at least 0.8 of their distinct
-shingles are common, counted exactly. Texts without words are copies of each other.
+on word shingles, which differ in far more than four of 64 bits. Similarity there
+is what a SimHash estimates, the cosine: common distinct shingles by the root of
+the product of both counts (two texts of one length and similarity 0.8 share two
+thirds of all their shingles). Words are runs of letters, digits and underscores,
+case ignored, so a lost comma changes no shingle. A document has a SimHash of 256
+bits, and KEYS keys, each of two minima of hashed shingles, take the place of the
+bit blocks: copies that share the part j of their shingles share a key with chance
+1 - (1 - j^2)^16, over 0.9997 from a cosine of 0.8 on (j is 0.64 at least). The
+comparison within buckets is the same, but gives candidates only. Candidates that
+hang together meet a second time with their sets of distinct shingle hashes, cut
+into units of bounded size like buckets, and two of them link if their similarity
+is 0.8 or more, counted exactly. Texts without words are copies of each other.
 SimHash and keys are of distinct shingles as well, so lines that repeat do not
-count. Of 256 bits, copies of similarity 0.8 differ in 31 to 41 on average, in 48
-where four shingles stand against five (deviation about 6); the radius is 80.
+count. Of 256 bits, copies of cosine 0.8 differ in 52 on average (deviation about
+6.5); the radius is 96.
 
 Defined results: null and empty texts have the fingerprint 0 and link like any
 other; repeated rows keep their own rows; rows whose id is null join components
-but never name them; an empty table gives an empty table.
+but never name them; an empty table gives an empty table; very long texts are
+hashed whole. Ties: of a group's rows with the least id, the one with the least
+digest of its text stays; a bit set in exactly half of the hashes is 0. Columns of
+the caller may have any name: near_duplicates returns its own three only, and
+drop_near_duplicates works under names of its own and gives all columns back.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 from itertools import accumulate, combinations
@@ -42,19 +51,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import stored
+from siltbed.llm.common import forget, looked_up, stored
 from siltbed.llm.components import components
 
 #: Fixed values of the fingerprint: A-Z to a-z, XXH64's seed, words a shingle.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED, SHINGLE = 42, 4
+LOOSE = re.compile(r"\w+")
 BITS = 64
 SLICE_CHARS = 1 << 20
 
 
-def shingle_hashes(text: str | None, width: int) -> np.ndarray:
-    """XXH64 of each shingle, repeats included; of the whole sequence if it is shorter."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+def shingle_hashes(text: str | None, width: int, loose: bool = False) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; of the whole sequence if it is shorter.
+
+    loose: words are runs of letters, digits and underscores, without regard to case.
+    """
+    if loose:
+        words = [w.encode("utf-8", "surrogatepass") for w in LOOSE.findall((text or "").lower())]
+    else:
+        words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
         return np.empty(0, "<u8")
     joined = b" ".join(words)
@@ -80,9 +96,9 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 #: Odd multipliers, by rule: they make further hashes of a hash.
-ODD = np.random.default_rng(42).integers(0, 1 << 63, 32, np.uint64) * np.uint64(2) + np.uint64(1)
-WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 8, 80
-#: Share of common distinct shingles from which texts are copies.
+ODD = np.random.default_rng(42).integers(0, 1 << 63, 48, np.uint64) * np.uint64(2) + np.uint64(1)
+WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 16, 96
+#: Cosine of the sets of distinct shingles from which texts are copies.
 COPIES = 0.8
 #: Members of sets in a unit that checks candidates, about.
 SET_TILE = 1 << 20
@@ -90,7 +106,7 @@ SET_TILE = 1 << 20
 
 def wide_fingerprint(text: str | None, width: int) -> tuple[list[int], list[int]]:
     """Of the distinct shingles: a SimHash of WIDE_WORDS 64-bit words, WIDE_KEYS keys of two minima each."""
-    h = np.unique(shingle_hashes(text, width))
+    h = np.unique(shingle_hashes(text, width, True))
     if not len(h):
         return [0] * WIDE_WORDS, [0] * WIDE_KEYS
     mixed = [h * m for m in ODD[: WIDE_WORDS - 1]]
@@ -107,13 +123,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
 
 
 def _digest(text_col: str) -> Column:
-    """Tells texts apart; null is not the empty text."""
-    return F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{text_col}`").isNull())
+    """128 bits that tell texts apart; null is not the empty text."""
+    return F.coalesce(F.md5(F.col(f"`{text_col}`").cast("binary")), F.lit(""))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """(id, h, fp) for each row; h tells texts apart."""
-    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.LongType()), T.StructField("fp", T.LongType())])
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.StringType()), T.StructField("fp", T.LongType())])
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), _digest(text_col).alias("h"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(partial(_fingerprints, width=width), kind)
 
@@ -135,19 +151,21 @@ def blocks_for(n: int, radius: int) -> int:
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether the share of common members of two sorted sets is `least` or more; 1 for two empty ones."""
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
+    """Whether the cosine of two sorted sets is `least` or more; 1 for two empty ones."""
+    low, high = sorted((len(a), len(b)))
+    bound = least * least * high * (1 - 1e-12)
+    if low < bound:
         return False
     both = np.sort(np.concatenate([a, b]), kind="stable")
     common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common >= least * (len(both) - common)
+    return common * common >= bound * low
 
 
 def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0) -> np.ndarray:
     """Links (place, place of root) that span what lies within the radius.
 
     words: a row of 64-bit words for each entry; sets: its sorted set, if a link
-    also needs `least` of the members in common.
+    also needs a cosine of `least`.
     """
     pops = np.bitwise_count(words).sum(axis=1, dtype=np.int32)
     order = np.argsort(pops, kind="stable")
@@ -192,45 +210,39 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
 def _linked(batches: Iterator[pa.RecordBatch], radius: int, least: float = 0.0) -> Iterator[pa.RecordBatch]:
     """Rows (unit, node, words, and a set if there is one), sorted by unit, to links. A unit may go over several batches."""
 
-    def links(held: list[np.ndarray], sets: list[np.ndarray]) -> np.ndarray:
-        rows = np.concatenate(held)
-        return rows[:, 0][spanning_links(np.ascontiguousarray(rows[:, 1:]).view(np.uint64), radius, sets=sets or None, least=least)]
-
-    def give(parts: list[np.ndarray]) -> pa.RecordBatch:
-        uv = np.concatenate([np.empty((0, 2), np.int64), *parts])
-        return pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], ["u", "v"])
+    def links(held: list[tuple[pa.Array, np.ndarray]], sets: list[np.ndarray]) -> pa.RecordBatch:
+        nodes, words = pa.concat_arrays([n for n, _ in held]), np.concatenate([w for _, w in held])
+        uv = spanning_links(np.ascontiguousarray(words).view(np.uint64), radius, sets=sets or None, least=least)
+        return pa.RecordBatch.from_arrays([nodes.take(pa.array(uv[:, 0])), nodes.take(pa.array(uv[:, 1]))], ["u", "v"])
 
     now, held, sets = None, [], []
     for batch in batches:
         if not batch.num_rows:
             continue
         cut = batch.schema.get_field_index("node")
-        table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c, n in zip(batch.columns, batch.schema.names) if n != "set"], axis=1)
-        own = []
+        unit, rows = (np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in part], axis=1) for part in (batch.columns[:cut], [c for c, n in zip(batch.columns, batch.schema.names) if n[0] == "w"]))
+        nodes, own = batch.column("node"), []
         if "set" in batch.schema.names:
             members = batch.column("set")
             flat, ends = members.flatten().to_numpy(zero_copy_only=False), np.cumsum(members.value_lengths().to_numpy(zero_copy_only=False))
             own = np.split(flat, ends[:-1])
-        unit, rows = table[:, :cut], table[:, cut:]
         cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
-        out = []
         for a, b in zip(cuts, cuts[1:]):
             if (key := unit[a].tolist()) != now:
-                if sum(map(len, held)) > 1:
-                    out.append(links(held, sets))
+                if sum(len(n) for n, _ in held) > 1:
+                    yield links(held, sets)
                 now, held, sets = key, [], []
-            held.append(rows[a:b])
+            held.append((nodes.slice(a, b - a), rows[a:b]))
             sets += own[a:b]
-        yield give(out)
-    if sum(map(len, held)) > 1:
-        yield give([links(held, sets)])
+    if sum(len(n) for n, _ in held) > 1:
+        yield links(held, sets)
 
 
 def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, least: float | None = None) -> DataFrame:
     """Rows (c, k, node, words) to links (u, v) of nodes within the radius that share a bucket (c, k).
 
-    With `least`, rows have a sorted set too, of which linked nodes share at least
-    that part; the tile then counts members of sets.
+    With `least`, rows have a sorted set too, and linked nodes a cosine of that or
+    more; the tile then counts members of sets.
     """
     held = [*words, "set"] if least is not None else words
     weight = F.sum(F.size("set") + 16) if least is not None else F.count("*")
@@ -241,7 +253,8 @@ def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, lea
     # neighbouring population counts share a bin of about `tile` entries; a key has 64 counts a word at most
     before = F.sum("n").over(Window.partitionBy("c", "k").orderBy("p")) - F.col("n")
     hot = stored(counts.join(hot_keys, ["c", "k"]).withColumn("bin", F.floor(before / tile).cast("int")), "hot-buckets")
-    out, link = "u long, v long", partial(_linked, radius=radius, least=least or 0.0)
+    node = keyed.schema["node"].dataType
+    out, link = T.StructType([T.StructField("u", node), T.StructField("v", node)]), partial(_linked, radius=radius, least=least or 0.0)
     cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *held)
     links = cold.repartition("c", "k").sortWithinPartitions("c", "k").mapInArrow(link, out)
     if hot.isEmpty():
@@ -283,7 +296,7 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int, names: list[str
     for b in batches:
         texts = b.column(b.num_columns - 1).to_pylist()
         for i, j in slices([t or "" for t in texts], SLICE_CHARS):
-            sets = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in texts[i:j]]
+            sets = [np.unique(shingle_hashes(t, width, True)).view(np.int64) for t in texts[i:j]]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             members = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
             yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns[:-1], members], names)
@@ -291,17 +304,17 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int, names: list[str
 
 def _checked(candidates: DataFrame, named: DataFrame, docs: DataFrame, text_col: str, words: list[str], width: int) -> DataFrame:
     """Links (u, v) of candidates (node, root) of one root that are copies by their sets of shingles."""
-    near = candidates.join(named, candidates.node == named.h).select(F.lit(0).alias("c"), F.col("root").alias("k"), "node", *words)
+    near = candidates.join(named, candidates.node == named.h).select(F.xxhash64("root").alias("c"), F.xxhash64(F.lit(1), "root").alias("k"), "node", *words)
     texts = docs.select(_digest(text_col).alias("node"), F.col(f"`{text_col}`").alias("text")).join(candidates.select("node"), "node", "left_semi")
     texts = texts.groupBy("node").agg(F.min("text").alias("text"))
-    sets = texts.mapInArrow(partial(_shingle_sets, width=width, names=["node", "set"]), "node long, set array<long>")
+    sets = texts.mapInArrow(partial(_shingle_sets, width=width, names=["node", "set"]), "node string, set array<long>")
     keyed = stored(near.join(sets, "node"), "copies-sets")
     return bucket_links(keyed, words, WIDE_RADIUS, SET_TILE, COPIES)
 
 
 def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int) -> DataFrame:
     """(id, h) of the first row, by id (null last), of each class of copies."""
-    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.LongType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.StringType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), _digest(text_col).alias("h"), F.col(f"`{text_col}`").alias("text"))
     words = [f"w{i}" for i in range(WIDE_WORDS)]
     rows = stored(rows.mapInArrow(partial(_wide_fingerprints, width=width, names=kind.names), kind), "copies")
@@ -318,19 +331,20 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, radius: int, width: in
     """Rows (id, h, fp), and for each fp the first row (null ids last) of its component."""
     fps = stored(fingerprints(docs, id_col, text_col, width), "simhash")
     row = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))
-    named = stored(fps.groupBy("fp").agg(F.min(row).alias("best")), "simhash-distinct")
+    named = stored(fps.groupBy("fp").agg(F.min(row).alias("best"), F.count("*").alias("n")), "simhash-distinct")
     joined = stored(components(near_links(named.select("fp"), radius, tile)), "simhash-components")
     rooted = joined.join(named, joined.node == named.fp)
     best = rooted.groupBy("root").agg(F.min("best").alias("first"))
     linked = rooted.join(best, "root").select("fp", "first")
-    return fps, named.join(linked, "fp", "left").select("fp", F.coalesce("first", "best").alias("first"))
+    return fps, named.join(linked, "fp", "left").select("fp", F.coalesce("first", "best").alias("first"), "n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = SHINGLE, tile: int = 4096) -> DataFrame:
     """(id, fingerprint as 16 hex digits, component_id) for each row of docs."""
     fps, classes = _classes(docs, id_col, text_col, radius, width, tile)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return fps.join(classes, "fp").select(F.col("id").alias(id_col), hexed, F.col("first.id").alias("component_id"))
+    found = looked_up(fps, classes, "fp", "n", F.struct("id", "h"))
+    return found.select(F.col("id").alias(id_col), hexed, F.col("first.id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 32768) -> DataFrame:
@@ -339,6 +353,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows that share an id are told apart by their text; of equal rows one stays.
     The join is on id and text digest, so no group of copies meets in one task.
     """
-    best = _first_of_copies(docs, id_col, text_col, width, tile).select(F.col("id").alias("_id"), F.col("h").alias("_h"))
-    kept = docs.withColumn("_key", _digest(text_col)).join(best, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_semi")
-    return kept.dropDuplicates([id_col, "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    at = {c.lower(): n for c, n in zip(docs.columns, names)}
+    rows, own_id, own_text = docs.toDF(*names), at[id_col.lower()], at[text_col.lower()]
+    best = _first_of_copies(rows, own_id, own_text, width, tile)
+    # the same three keys for the join and for equal rows: texts move once
+    keys = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_i"), F.col("id").isNull().alias("_n"), F.col("h").alias("_h")]
+    keyed = rows.select(F.col(own_id).alias("id"), _digest(own_text).alias("h"), *names).select(*keys, *names)
+    kept = keyed.join(best.select(*keys), ["_i", "_n", "_h"], "left_semi").dropDuplicates(["_i", "_n", "_h"])
+    return kept.select(*names).toDF(*docs.columns)

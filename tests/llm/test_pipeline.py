@@ -42,13 +42,13 @@ def brute(rows, labels):
     kept = [r for r, s in zip(rows, scores) if s < 0.7]
     grams = []
     for _, t, *_ in kept:
-        w = (t or "").lower().split()
+        w = re.findall(r"\w+", (t or "").lower())
         grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
     root = list(range(len(kept)))
     for a in range(len(kept)):
         for b in range(a):
             x, y = grams[a], grams[b]
-            if (x or y) and len(x & y) >= 0.8 * len(x | y) or not x and not y:
+            if x and y and len(x & y) >= 0.8 * (len(x) * len(y)) ** 0.5 or not x and not y:
                 root[a] = min(root[a], root[b])
     kept = [r for k, r in enumerate(kept) if root[k] == k]
     kept = [(i, pii.redact(t), s) for i, t, _, s, _ in kept]
