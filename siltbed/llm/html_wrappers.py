@@ -16,7 +16,10 @@ says for each slot whether it is main text: the slots within the article (or
 main, or the like) of most pages, or else within the container with the most
 text and what stands beside it and its ancestors (blocks with most of their text
 in links excepted), without menus, headers, footers, sidebars, notices, adverts, forms and
-comments. A page's text is then read by aligning its own stream with its host's
+comments. Texts are compared as well: a whole block that most pages of a host have word
+for word is template, the constant part of a slot, and goes whatever its marks; where
+texts differ they are data, and headings always are. These counts are exact sums over all pages, whatever
+partitions they lie in. A page's text is then read by aligning its own stream with its host's
 wrapper; a page that leaves no main text this way decides by itself.
 
 Defined results: null and empty html, and html without text, give the empty
@@ -24,7 +27,10 @@ text; pages without a host form a host of their own; character references are
 decoded, white space in a block is one space, blocks are joined by an empty line;
 a comment or script that never ends runs to the end of the page; repeated rows
 repeat; very long pages are read whole, deep nests too: elements below 60 others
-that no mark tells apart give their contents to the one above; an empty table gives an empty table.
+that no mark tells apart give their contents to the one above; an empty table gives an
+empty table. Ties: of places that hold as many pages the first of PLACES is taken, of
+items with equal labels the next in order. Columns of the caller may have any name: the
+result has id, url, text and n_chars only.
 """
 
 import html
@@ -33,16 +39,23 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import stored
+from siltbed.llm.common import looked_up, stored
 
 FAN_IN, WIDEST, MOST_HOSTS, DEEPEST, DEEPEST_MARKED = 64, 48, 500, 60, 160
+MOST_TEXTS = 200_000
+#: When a text is template: share of pages, pages at least, share of all text at most.
+CONSTANT_SHARE, LEAST_PAGES, CONSTANT_MASS = 0.6, 5, 0.2
+PARTIAL = "host string, part long, wrapper string, key long, n long, chars long"
+PARTIAL_ARROW = pa.schema([(x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in PARTIAL.split(", ")])
 #: Elements of HTML by how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes".split())
@@ -59,7 +72,11 @@ DROPPED_WORDS = frozenset(
 )
 CONTENT_WORDS = frozenset("article articlebody post entry story content maincontent postcontent entrycontent articlecontent main bodytext".split())
 LEXER = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
-MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+MARKS = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+END, HEAD = "\n\n", "\n\n#"
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Words beside those that tell a dropped place in an id; an id with others is an anchor's name.
+ID_WORDS = frozenset("site page the my main top bottom left right inner outer primary secondary global section box block container wrapper wrap area list bar panel column col row content body".split())
 SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 UNSEEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -92,13 +109,24 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def label(tag: str, attributes: str) -> str:
-    """The tag, with what its class, id and role tell about the place, if anything."""
+    """The tag, with what its class, id and role tell about the place, if anything.
+
+    Headings tell nothing but that they are hidden, paragraphs nothing by their id,
+    and an id is a place to drop only if all its words say so: "site-footer" is, the
+    anchor "related-work" is not.
+    """
     if not attributes or "=" not in attributes:
         return tag
-    marks = [m[1] or m[2] or m[3] or "" for m in MARKS.finditer(attributes)]
-    words = {w for m in marks for w in SPLIT.split(CAMEL.sub(" ", m).lower())}
-    joined = {SPLIT.sub("", m.lower()) for m in marks}
-    good, bad = bool((words | joined) & CONTENT_WORDS), bool(words & DROPPED_WORDS) or bool(UNSEEN.search(attributes))
+    unseen = bool(UNSEEN.search(attributes))
+    if tag in HEADINGS:
+        return f"{tag}-" if unseen else tag
+    good, bad = False, unseen
+    for m in MARKS.finditer(attributes):
+        mark = m[2] or m[3] or m[4] or ""
+        words = {w for w in SPLIT.split(CAMEL.sub(" ", mark).lower()) if w}
+        good = good or bool((words | {SPLIT.sub("", mark.lower())}) & CONTENT_WORDS)
+        told = bool(words & DROPPED_WORDS)
+        bad = bad or told and (m[1].lower() != "id" or tag != "p" and words <= DROPPED_WORDS | ID_WORDS)
     if good != bad and not (bad and tag in ("html", "body", "main", "article")):
         return f"{tag}+" if good else f"{tag}-"
     return tag
@@ -349,8 +377,13 @@ def mark(items: list, where: str, inside: bool = False) -> list:
     return out
 
 
+def edge(name: str) -> str:
+    """What separates an element's text from what is beside it."""
+    return (HEAD if tag_of(name) in HEADINGS else END) if tag_of(name) in BLOCK else " " if name == "br" else ""
+
+
 def blocks(node: Node, marked: list) -> Iterator[str]:
-    """Main texts of a page's element, aligned with marked items, and "\n" at block ends."""
+    """Main texts of a page's element, aligned with marked items, and END or HEAD at the edges of blocks."""
     flat = [x for top in marked for x in (top[2] if top[0] == "()" else [top])]
     at = 0
     for c in node.children:
@@ -369,26 +402,48 @@ def blocks(node: Node, marked: list) -> Iterator[str]:
             if main:
                 yield c
             continue
-        if tag_of(name) in BLOCK:
-            yield "\n\n"
-        elif name == "br":
-            yield " "
+        yield edge(name)
         yield from blocks(c, inner)
         if tag_of(name) in BLOCK:
-            yield "\n\n"
+            yield END
 
 
-def joined(parts: Iterator[str]) -> str:
-    text, out = [], []
-    for p in [*parts, "\n\n"]:
-        if p == "\n\n":
+def unmarked_texts(node: Node) -> Iterator[str]:
+    """Like blocks, but all texts of a page that no mark drops."""
+    for c in node.children:
+        if isinstance(c, str):
+            yield c
+        elif not is_dropped(c.label, True):
+            yield edge(c.label)
+            yield from unmarked_texts(c)
+            if tag_of(c.label) in BLOCK:
+                yield END
+
+
+def divided(parts: Iterator[str]) -> Iterator[tuple[str, bool]]:
+    """(text, whether it is a heading) of each block."""
+    text, heading = [], False
+    for p in chain(parts, [END]):
+        if p is END or p is HEAD:
             block = " ".join(html.unescape("".join(text)).split())
             if block:
-                out.append(block)
-            text = []
+                yield block, heading
+            text, heading = [], p is HEAD
         else:
             text.append(p)
-    return "\n\n".join(out)
+
+
+def text_key(block: str) -> int:
+    return xxhash.xxh64_intdigest(block.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def text_keys(root: Node) -> dict[int, int]:
+    """Keys and lengths of a page's blocks that no mark drops, headings apart."""
+    return {text_key(b): len(b) for b, heading in divided(unmarked_texts(root)) if not heading}
+
+
+def joined(parts: Iterator[str], constant: frozenset[int] = frozenset()) -> str:
+    return "\n\n".join(b for b, heading in divided(parts) if heading or not constant or text_key(b) not in constant)
 
 
 @lru_cache(maxsize=256)
@@ -396,12 +451,12 @@ def _loaded(wrapper: str) -> list:
     return json.loads(wrapper)
 
 
-def main_text(page: str | None, wrapper: str | None) -> str:
-    """The main text of a page, by its host's marked wrapper."""
+def main_text(page: str | None, wrapper: str | None, constant: list[int] | None = None) -> str:
+    """The main text of a page, by its host's marked wrapper and constant texts."""
     if not page:
         return ""
     root = parse(page)
-    text = joined(blocks(root, _loaded(wrapper))) if wrapper else ""
+    text = joined(blocks(root, _loaded(wrapper)), frozenset(constant or ())) if wrapper else ""
     if not text:
         own = items_of(root)
         text = joined(blocks(root, mark(own, place(own, 1)))) or joined(blocks(root, mark(own, "densest")))
@@ -418,27 +473,60 @@ def merge(wrappers: list[str]) -> tuple[str, int]:
 
 
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host, part, wrapper) and rows (host, key, pages, chars) of texts, summed up as far as memory is to go."""
     held: dict[str, list] = {}
+    texts: dict[tuple[str, int], list[int]] = {}
     part = TaskContext.get().partitionId()
 
-    def give() -> pa.RecordBatch:
-        rows = [(h, part, json.dumps(w, separators=(",", ":"))) for h, w in held.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))], ["host", "part", "wrapper"])
+    def give(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PARTIAL_ARROW)], schema=PARTIAL_ARROW)
+
+    def wrappers() -> list[tuple]:
+        return [(h, part, json.dumps(w, separators=(",", ":")), None, None, None) for h, w in held.items()]
+
+    def strings() -> list[tuple]:
+        return [(h, None, None, k, n, chars) for (h, k), (n, chars) in texts.items()]
 
     for b in batches:
         for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if not page:
                 continue
-            own = items_of(parse(page))
+            root = parse(page)
+            own = items_of(root)
+            for k, size in text_keys(root).items():
+                seen = texts.setdefault((host, k), [0, 0])
+                seen[0] += 1
+                seen[1] += size
             if host in held:
                 held[host] = [held[host][0] + 1, align(held[host][1], own)]
             else:
                 held[host] = [1, own]
             if len(held) > MOST_HOSTS:
-                yield give()
+                yield give(wrappers())
                 held = {}
+            if len(texts) > MOST_TEXTS:
+                yield give(strings())
+                texts = {}
     if held:
-        yield give()
+        yield give(wrappers())
+    if texts:
+        yield give(strings())
+
+
+def constants(strings: DataFrame, pages: DataFrame) -> DataFrame:
+    """(host, constant): keys of the texts that are template rather than data.
+
+    A block's text is constant where most (CONSTANT_SHARE) of a host's pages, LEAST_PAGES
+    at least, have it, headings apart, unless such texts are more than CONSTANT_MASS of all text: then the
+    pages are copies of each other. Counted over all pages; a host's list is no longer
+    than a page or two, since each member stands in most of them.
+    """
+    counted = strings.groupBy("host", "key").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+    often = (F.col("n") >= F.col("pages") * CONSTANT_SHARE) & (F.col("pages") >= LEAST_PAGES)
+    found = counted.join(pages.select("host", "pages"), "host").groupBy("host").agg(
+        F.collect_list(F.when(often, F.col("key"))).alias("constant"), F.sum(F.when(often, F.col("chars"))).alias("same"), F.sum("chars").alias("all")
+    )
+    return found.where(F.col("same") <= F.col("all") * CONSTANT_MASS).select("host", F.array_sort("constant").alias("constant"))
 
 
 def host_of(url: str) -> "F.Column":
@@ -447,9 +535,10 @@ def host_of(url: str) -> "F.Column":
 
 
 def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, pages, wrapper, marked) of each host: its expression, and what is main text in it."""
+    """(host, pages, wrapper, marked, constant) of each host: its expression, what is main text in it, what is template text."""
     rows = pages.select(host_of(f"`{url_col}`").alias("host"), F.col(f"`{html_col}`").alias("html"))
-    partial_ones = stored(rows.mapInArrow(_infer, "host string, part long, wrapper string"), "wrappers")
+    partials = stored(rows.mapInArrow(_infer, PARTIAL), "wrappers")
+    partial_ones = partials.where("wrapper is not null").select("host", "part", "wrapper")
 
     def merged(pdf):
         import pandas as pd
@@ -466,21 +555,22 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
     while (partial_ones.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > FAN_IN:
         grouped = partial_ones.groupBy("host", F.floor(F.col("part") / FAN_IN).alias("group"))
         partial_ones = stored(grouped.applyInPandas(merged, "host string, part long, wrapper string").withColumn("part", F.floor(F.col("part") / FAN_IN)), "wrappers")
-    return stored(partial_ones.groupBy("host").applyInPandas(finished, "host string, pages long, wrapper string, marked string"), "host-wrappers")
+    found = stored(partial_ones.groupBy("host").applyInPandas(finished, "host string, pages long, wrapper string, marked string"), "host-wrappers")
+    same = constants(partials.where("key is not null").select("host", "key", "n", "chars"), found)
+    return stored(found.join(same, "host", "left"), "host-templates")
 
 
 def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        pages, marked = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-        text = [main_text(p, w) for p, w in zip(pages, marked)]
-        yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(text, pa.string())], names)
+        text = pa.array((main_text(*row) for row in zip(*(c.to_pylist() for c in b.columns[-3:]))), pa.string(), size=b.num_rows)
+        yield pa.RecordBatch.from_arrays([*b.columns[:-3], text], names)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of each page."""
-    wrappers = infer(pages, url_col, html_col).select("host", "marked")
+    wrappers = infer(pages, url_col, html_col).select("host", "pages", "marked", "constant")
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(f"`{url_col}`").alias("host"), F.col(f"`{html_col}`").alias("html"))
-    rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "marked")
+    rows = looked_up(rows, wrappers, "host", "pages", F.struct("page_id", "url")).select("page_id", "url", "html", "marked", "constant")
     kind = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, T.StringType()), T.StructField("text", T.StringType())])
     found = rows.mapInArrow(partial(_extract, names=kind.names), kind)
     return found.withColumn("n_chars", F.char_length("text").cast("long"))

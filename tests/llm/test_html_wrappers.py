@@ -102,3 +102,41 @@ def test_text_beside_the_densest_container_stays(spark):
     by = {x.page_id: x.text.split("\n\n") for x in hw.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(by[i] == ["Title", "lead", *paras, "second one"] for i in range(5))
     assert by[5] == ["Other", ("all of it here " * 30).strip(), "less", "more"]
+
+
+def test_marks_of_anchors_and_headings_drop_nothing():
+    page = '<body><article><h2 id="related-work">Related work</h2><p id="share">one</p><h2 id=search class=header>Search</h2><section id="notice-period"><p>two</p></section><div id="site-footer">gone</div><div id=comments>gone</div><h3 style="display:none">gone</h3></article></body>'
+    assert hw.main_text(page, None) == "Related work\n\none\n\nSearch\n\ntwo"
+
+
+def test_template_texts_go_and_data_stays(spark):
+    r = random.Random(3)
+    text = lambda: " ".join(r.choice(["alpha", "beta", "gamma", "delta"]) + str(r.randrange(99)) for _ in range(20))
+    rows, want = [], {}
+    for i in range(40):  # lines of a template without marks, a bold word and a heading that recur
+        own = [text() for _ in range(r.randint(2, 5))]
+        body = "".join(f"<p>{t} <b>bold</b></p>" for t in own)
+        rows.append((i, f"https://a.example.com/{i}", f"<body><article><p>Subscribe now</p><h2>Summary</h2>{body}<p>All rights reserved by Example Ltd</p></article></body>", "x", 1))
+        want[i] = "\n\n".join(["Summary", *(f"{t} bold" for t in own)])
+    same = text()
+    for i in range(100, 140):  # copies of one page
+        rows.append((i, f"https://b.example.com/{i}", f"<body><article><p>{same}</p><p>{same}</p></article></body>", "x", 1))
+        want[i] = f"{same}\n\n{same}"
+    for i in range(200, 203):  # a host of few pages
+        rows.append((i, f"https://c.example.com/{i}", f"<body><article><p>short</p><p>{text()}</p></article></body>", "x", 1))
+    df = spark.createDataFrame(rows, SCHEMA)
+    for parts in (1, 7):
+        got = {x.page_id: x.text for x in hw.extract(df.repartition(parts)).collect()}
+        assert {i: t for i, t in got.items() if i in want} == want
+        assert all(got[i].startswith("short\n\n") for i in range(200, 203))
+
+
+def test_hot_hosts_change_nothing(spark, monkeypatch):
+    from siltbed.llm import common
+
+    r = random.Random(5)
+    df = spark.createDataFrame([(i, f"https://host{i % 3}.example.com/{i}", page(r, i % 3)[0], "x", 1) for i in range(30)] + [(None, None, None, None, None)], SCHEMA)
+    want = sorted(map(str, hw.extract(df).collect()))
+    for share in (1, 10**9):
+        monkeypatch.setattr(common, "HOT_SHARE", share)
+        assert sorted(map(str, hw.extract(df).collect())) == want
