@@ -3,12 +3,16 @@
 A payload becomes 24 x 24 grey frames, one byte a sample ("uncv"), 16 frames a
 chunk, the first frame of each chunk a random access point. Containers are
 written to the shared folder by Spark and read back. The prober walks the nested
-boxes, decodes the sample tables (stts, stsc, stsz, stco or co64, stss) and gives
-codec, duration and the byte ranges of keyframes, without touching the payload.
+boxes and takes each track's own sample tables (stts, stsc, stsz or stz2, stco or
+co64, stss) or, in fragmented files, its runs (tfhd, tfdt, trun with the defaults of
+trex), and gives codec, duration and the byte ranges of keyframes, without touching
+the payload.
 
 Defined results: null and empty texts have one frame of padding; repeated rows
 repeat; very long texts have as many frames as they need; bytes that are no
-container raise ValueError in the prober; an empty table gives an empty table.
+container raise ValueError in the prober; an empty table gives an empty table. Ties:
+tracks are in the order of the file, the first is the one that is read back. Columns
+of the caller may have any name: the result has the id and what is probed only.
 """
 
 from __future__ import annotations
@@ -126,37 +130,116 @@ class Track:
         return b"".join(data[a:b] for a, b in zip(self.offsets[first], ends[last]))
 
 
-def probe(data: bytes) -> Track:
-    """The first track of a container."""
-    boxes: dict[bytes, tuple[int, int]] = {}
+def rows_of(data: bytes, at: int, width: int, word: str = ">u4") -> np.ndarray:
+    """The rows of a full box with a count."""
+    (n,) = struct.unpack_from(">I", data, at + 4)
+    return np.frombuffer(data, word, n * width, at + 8).reshape(n, width).astype(np.int64)
+
+
+def sample_sizes(data: bytes, boxes: dict[bytes, int]) -> np.ndarray:
+    if (at := boxes.get(b"stsz")) is not None:
+        size, n = struct.unpack_from(">II", data, at + 4)
+        return np.full(n, size, np.int64) if size else np.frombuffer(data, ">u4", n, at + 12).astype(np.int64)
+    width, n = struct.unpack_from(">BI", data, boxes[b"stz2"] + 7)
+    if width == 4:
+        return np.frombuffer(data, np.uint8, -(-n // 2), boxes[b"stz2"] + 12).repeat(2).astype(np.int64)[:n] >> np.where(np.arange(n) % 2, 0, 4) & 15
+    return np.frombuffer(data, f">u{width // 8}", n, boxes[b"stz2"] + 12).astype(np.int64)
+
+
+def fragment_samples(data: bytes, at: int, end: int, base: int, known: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """Offsets, sizes, whether each is a keyframe, duration and end of the data of one trun.
+
+    known: a sample's duration, size and flags where the run says nothing.
+    """
+    flags, n = struct.unpack_from(">II", data, at)
+    flags &= 0xFFFFFF
+    at += 8
+    first = None
+    if flags & 1:
+        base += struct.unpack_from(">i", data, at)[0]
+        at += 4
+    if flags & 4:
+        (first,) = struct.unpack_from(">I", data, at)
+        at += 4
+    held = [k for k, bit in enumerate((0x100, 0x200, 0x400, 0x800)) if flags & bit]
+    if at + 4 * n * len(held) > end:
+        raise ValueError("a run of samples that ends too early")
+    given = np.frombuffer(data, ">u4", n * len(held), at).reshape(n, len(held)).astype(np.int64)
+    value = [given[:, held.index(k)] if k in held else np.full(n, known[k], np.int64) for k in range(3)]
+    if first is not None and n:
+        value[2] = np.r_[first, value[2][1:]]
+    offsets = base + np.cumsum(value[1]) - value[1]
+    return offsets, value[1], value[2] & 0x10000 == 0, int(value[0].sum()), base + int(value[1].sum())
+
+
+def probe_tracks(data: bytes) -> list[Track]:
+    """All tracks of a container, in the order of the file."""
+    tracks: list[dict[bytes, int]] = []
+    defaults: dict[int, tuple[int, ...]] = {}
+    runs: dict[int, list] = {}
+    moof = base = end_of_last = 0
+    now, known = 0, [0, 0, 0]
     for path, a, b in walk(data):
-        if len(path) > 1 and path[-2] in (b"mdia", b"stbl"):
-            boxes.setdefault(path[-1], (a, b))
-    if not {b"mdhd", b"stsd", b"stts", b"stsc", b"stsz"} <= boxes.keys():
+        if path[-1] == b"trak":
+            tracks.append({})
+        elif len(path) > 1 and path[-2] in (b"trak", b"mdia", b"stbl") and tracks:
+            tracks[-1].setdefault(path[-1], a)
+        elif path[-1] == b"trex":
+            track, _, *rest = struct.unpack_from(">5I", data, a + 4)
+            defaults[track] = tuple(rest)
+        elif path[-1] == b"moof":
+            moof = end_of_last = a - 8
+        elif path[-1] == b"tfhd":
+            flags, now = struct.unpack_from(">II", data, a)
+            at, base, known = a + 8, end_of_last if not flags & 0x20000 else moof, list(defaults.get(now, (0, 0, 0)))
+            if flags & 1:
+                (base,) = struct.unpack_from(">Q", data, at)
+                at += 8
+            at += 4 if flags & 2 else 0
+            first = True
+            for k, bit in enumerate((8, 0x10, 0x20)):
+                if flags & bit:
+                    (known[k],) = struct.unpack_from(">I", data, at)
+                    at += 4
+        elif path[-1] == b"trun":
+            # without an offset of its own a run follows the one before
+            found = fragment_samples(data, a, b, base if data[a + 3] & 1 or first else end_of_last, known)
+            first, end_of_last = False, found[-1]
+            runs.setdefault(now, []).append(found)
+    out = [_track(data, boxes, runs.get(struct.unpack_from(">I", data, boxes[b"tkhd"] + (20 if data[boxes[b"tkhd"]] else 12))[0], []) if b"tkhd" in boxes else []) for boxes in tracks]
+    if not out:
         raise ValueError("no track with sample tables")
+    return out
 
-    def rows(kind: bytes, width: int, word: str = ">u4") -> np.ndarray:
-        a, _ = boxes[kind]
-        (n,) = struct.unpack_from(">I", data, a + 4)
-        return np.frombuffer(data, word, n * width, a + 8).reshape(n, width).astype(np.int64)
 
-    a, _ = boxes[b"mdhd"]
+def _track(data: bytes, boxes: dict[bytes, int], runs: list) -> Track:
+    if not {b"mdhd", b"stsd", b"stts", b"stsc"} <= boxes.keys() or not boxes.keys() & {b"stsz", b"stz2"}:
+        raise ValueError("no track with sample tables")
+    a = boxes[b"mdhd"]
     timescale, duration = struct.unpack_from(">IQ", data, a + 20) if data[a] else struct.unpack_from(">II", data, a + 12)
-    a, _ = boxes[b"stsd"]
+    a = boxes[b"stsd"]
     codec = data[a + 12 : a + 16].decode("latin-1")
-    a, _ = boxes[b"stsz"]
-    size, n = struct.unpack_from(">II", data, a + 4)
-    sizes = np.full(n, size, np.int64) if size else np.frombuffer(data, ">u4", n, a + 12).astype(np.int64)
-    chunk = (rows(b"co64", 1, ">u8") if b"co64" in boxes else rows(b"stco", 1))[:, 0]
-    runs = rows(b"stsc", 3)
-    per_chunk = np.repeat(runs[:, 1], np.diff(np.r_[runs[:, 0] - 1, len(chunk)]))
-    if per_chunk.sum() != n or rows(b"stts", 2)[:, 0].sum() != n:
+    sizes = sample_sizes(data, boxes)
+    n = len(sizes)
+    chunk = (rows_of(data, boxes[b"co64"], 1, ">u8") if b"co64" in boxes else rows_of(data, boxes[b"stco"], 1) if b"stco" in boxes else np.empty((0, 1), np.int64))[:, 0]
+    per = rows_of(data, boxes[b"stsc"], 3)
+    per_chunk = np.repeat(per[:, 1], np.diff(np.r_[per[:, 0] - 1, len(chunk)]))
+    if per_chunk.sum() != n or rows_of(data, boxes[b"stts"], 2)[:, 0].sum() != n:
         raise ValueError("sample tables that disagree")
     owner = np.repeat(np.arange(len(chunk)), per_chunk)
     before = np.cumsum(sizes) - sizes
-    first = before[np.cumsum(per_chunk) - per_chunk]
-    keys = rows(b"stss", 1)[:, 0] - 1 if b"stss" in boxes else np.arange(n)
-    return Track(codec, timescale, duration, chunk[owner] + before - first[owner], sizes, keys)
+    first = before[(np.cumsum(per_chunk) - per_chunk)[per_chunk > 0]] if n else before
+    offsets = chunk[owner] + before - np.repeat(first, per_chunk[per_chunk > 0])
+    keys = rows_of(data, boxes[b"stss"], 1)[:, 0] - 1 if b"stss" in boxes else np.arange(n)
+    for more, own, key, time, _ in runs:
+        keys = np.r_[keys, len(offsets) + np.flatnonzero(key)]
+        offsets, sizes, duration = np.r_[offsets, more], np.r_[sizes, own], duration + time
+    return Track(codec, timescale, duration, offsets, sizes, keys)
+
+
+def probe(data: bytes) -> Track:
+    """The first track of a container."""
+    return probe_tracks(data)[0]
 
 
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

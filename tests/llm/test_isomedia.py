@@ -43,6 +43,56 @@ def test_probe_of_other_layouts():
         isomedia.probe(isomedia.box(b"ftyp", b"isom"))
 
 
+def track(codec, number, sizes, offset, keys=None, fragmented=False):
+    n = len(sizes)
+    tables = [
+        isomedia.full(b"stsd", struct.pack(">I", 1), isomedia.box(codec, bytes(78))),
+        isomedia.table(b"stts", np.array([(n, 10)] if n else np.empty((0, 2)))),
+        isomedia.table(b"stsc", np.array([(1, n, 1)] if n else np.empty((0, 3)))),
+        isomedia.full(b"stsz", struct.pack(f">II{n}I", 0, n, *sizes)),
+        isomedia.table(b"stco", np.array([offset] if n else [])),
+    ]
+    tables += [isomedia.table(b"stss", np.array(keys))] if keys else []
+    mdhd = isomedia.full(b"mdhd", struct.pack(">IIIIHH", 0, 0, 1000, 10 * n, 0, 0))
+    tkhd = isomedia.full(b"tkhd", struct.pack(">IIIII", 0, 0, number, 0, 0), bytes(60))
+    return isomedia.box(b"trak", tkhd, isomedia.box(b"mdia", mdhd, isomedia.box(b"minf", isomedia.box(b"stbl", *tables))))
+
+
+def test_tracks_keep_their_own_tables():
+    media = isomedia.box(b"mdat", b"aabbccVIDEO") + isomedia.box(b"moov", track(b"mp4a", 1, [2, 2, 2], 8), track(b"avc1", 2, [1, 4], 14, [1]))
+    audio, video = isomedia.probe_tracks(media)
+    assert (audio.codec, audio.ranges().tolist()) == ("mp4a", [[8, 10], [10, 12], [12, 14]])
+    assert (video.codec, video.ranges().tolist(), video.payload(media)) == ("avc1", [[14, 15]], b"VIDEO")
+
+
+def test_fragmented_files():
+    trex = isomedia.box(b"mvex", *(isomedia.full(b"trex", struct.pack(">IIIII", k, 1, 7, 3, 0x10000)) for k in (1, 2)))
+    head = isomedia.box(b"moov", track(b"avc1", 1, [], 0), track(b"mp4a", 2, [], 0), trex)
+
+    def fragment(at, data):
+        def moof(offset):
+            one = isomedia.full(b"trun", struct.pack(">IiIIIII", 2, offset, 0, 5, 0x10000, 2, 0x10000), flags=0x1 | 0x4 | 0x200 | 0x400)
+            more = isomedia.full(b"trun", struct.pack(">I", 1))  # follows the run before, sizes by default
+            own = isomedia.full(b"trun", struct.pack(">Ii", 2, offset + 10), flags=1)
+            return isomedia.box(b"moof", isomedia.box(b"traf", isomedia.full(b"tfhd", struct.pack(">I", 1), flags=0x20000), one, more), isomedia.box(b"traf", isomedia.full(b"tfhd", struct.pack(">III", 2, 4, 0), flags=0x20000 | 0x8 | 0x20), own))
+
+        return moof(len(moof(0)) + 8) + isomedia.box(b"mdat", data)
+
+    media = head
+    for k in range(2):
+        media += fragment(len(media), b"KKKKKppDDD" + b"aaabbb")
+    video, audio = isomedia.probe_tracks(media)
+    assert video.payload(media) == b"KKKKKppDDD" * 2 and audio.payload(media) == b"aaabbb" * 2
+    assert [media[a:b] for a, b in video.ranges()] == [b"KKKKK"] * 2 and len(audio.ranges()) == 4
+    assert (video.duration, audio.duration) == (6 * 7, 4 * 4)
+
+
+def test_compact_sizes():
+    for width, packed in ((4, bytes([0x12, 0x30])), (8, bytes([1, 2, 3])), (16, bytes([0, 1, 0, 2, 0, 3]))):
+        data = struct.pack(">IBBBBI", 0, 0, 0, 0, width, 3) + packed
+        assert isomedia.sample_sizes(data, {b"stz2": 0}).tolist() == [1, 2, 3]
+
+
 def test_features_match_brute_force(spark):
     texts = ["", None, "a", "é" * 288, "x" * 576, "x" * 577, "long ünï " * 20_000, "a"]
     df = spark.createDataFrame([(i, t, "m", 1) for i, t in enumerate(texts)] + [(None, "z", None, 0)], "doc_id long, text string, media string, id int")
