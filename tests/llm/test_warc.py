@@ -28,9 +28,9 @@ def test_loser_tree_merges_like_a_heap():
         assert list(warc.loser_tree([iter(x) for x in runs], key=lambda e: e)) == list(heapq.merge(*runs))
 
 
-@pytest.mark.parametrize("archive_bytes", [8 << 20, 2000])
-def test_matches_brute_force(spark, monkeypatch, archive_bytes):
-    monkeypatch.setattr(warc, "ARCHIVE_BYTES", archive_bytes)
+def test_matches_brute_force(spark, monkeypatch):
+    from siltbed.llm import common
+
     r = random.Random(4)
     rows = [(i, r.choice(["http://www.b.org/x?q=1", "https://a.example.com/é ü", f"http://h{i % 9}.com:8080/{i}", None, "no url", "http://[bad"]), r.choice(["<p>same</p>", f"<p>{i} é</p>", None, "", "\r\n\r\n"])) for i in range(200)]
     rows += [(300, "http://z.com/", "long " * 100_000), (None, "http://z.com/", "<p>same</p>"), (None, "http://z.com/", "only here"), (5, rows[5][1], rows[5][2])]
@@ -41,6 +41,15 @@ def test_matches_brute_force(spark, monkeypatch, archive_bytes):
         assert sorted([tuple(x)[:5] for x in got], key=str) == brute(rows, least)
         keys = [(x.url_key, x.timestamp, x.page_id is not None, x.page_id or 0) for x in got]
         assert keys == sorted(keys)
+        # many small archives, two passes of merges or more, ranges that cut blocks; all payloads hot
+        monkeypatch.setattr(common, "HOT_SHARE", 10**9)
+        archives = warc.write(df, min_bytes=least, archive_bytes=2000)
+        assert archives.count() > 20
+        again = warc.history(warc.runs(archives, 3), fan_in=4, range_rows=10, block_rows=4).collect()
+        assert sorted([(x.page_id, x.payload_bytes, x.payload_digest, x.record_type, x.refers_to) for x in again], key=str) == brute(rows, least)
+        keys = [(x.url_key, x.timestamp, x.page_id is not None, x.page_id or 0) for x in again]
+        assert keys == sorted(keys)
+        monkeypatch.undo()
 
 
 def test_archives_are_plain_warc(spark):
@@ -53,6 +62,11 @@ def test_archives_are_plain_warc(spark):
         list(warc.members(data[:-5]))
 
 
+def test_ids_must_be_integers(spark):
+    with pytest.raises(TypeError):
+        warc.captures(spark.createDataFrame([("a", "u", "h")], "page_id string, url string, html string"))
+
+
 def test_keys_and_empty_table(spark):
     assert warc.url_key("HTTP://WWW.Example.COM:80/A?b=1#f") == "com,example)/A?b=1"
     assert warc.url_key("https://a.b.org") == "org,b,a)/" and warc.url_key(None) == ""
