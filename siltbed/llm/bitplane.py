@@ -13,7 +13,9 @@ part that come before the file; a sum over the parts makes it a global place.
 
 Defined results: null and empty texts have the end id only; repeated rows
 repeat; very long documents fill a file of their own; an empty table gives no
-file.
+file. Ids are integers or strings, TypeError else. Ties: rows of one id and one text
+are equal, so their order shows nowhere. Columns of the caller may have any name: files
+hold ids and tokens only.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from siltbed.llm.bpe import Pool, library_pool, slices
 from siltbed.llm.common import stored
@@ -135,6 +138,8 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bits: bool
 def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, bits: bool = False) -> DataFrame:
     """Encodes whole texts and writes them as files in ascending order of ids; returns the files' rows."""
     spark = docs.sparkSession
+    if not isinstance(docs.schema[id_col].dataType, (T.IntegralType, T.StringType)):
+        raise TypeError(f"{id_col} must be an integer or string column")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     key = [F.col("id"), F.xxhash64("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -155,7 +160,9 @@ def read(files: DataFrame, id_type: T.DataType = T.LongType(), id_col: str = "do
     offsets = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("offset"))
     placed = files.join(offsets, "part").select((F.col("offset") + F.col("before")).alias("start"), "data")
     kind = T.StructType([T.StructField(id_col, id_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    arrow = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[id_type]
+    if not isinstance(id_type, (T.IntegralType, T.StringType)):
+        raise TypeError(f"{id_col} must be an integer or string column")
+    arrow = to_arrow_type(id_type)
     kinds = pa.schema([(id_col, arrow), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
     return placed.mapInArrow(partial(_read, names=kind.names, kinds=kinds), kind)
 

@@ -18,8 +18,10 @@ as well.
 
 Defined results: null and empty texts have no pieces, and are like one another
 (likeness 1); ids descend, null last, rows that share an id follow the digest of
-their text; of a table of one row the next document is itself; an empty table
-gives an empty table.
+their text; of a table of one row the next document is itself; very long texts are
+read whole; an empty table gives an empty table. Ids must be integers (TypeError
+else). Ties: rows of one id and one text are equal, so their order shows nowhere.
+Columns of the caller may have any name: the result has its own only.
 """
 
 import base64

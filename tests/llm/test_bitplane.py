@@ -44,3 +44,11 @@ def test_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a b"), (1, "c")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.start) for r in bitplane.digests(df, PATH).collect()) == [(0, 0), (1, 3)]
     assert bitplane.digests(df.limit(0), PATH).count() == 0
+
+
+def test_kinds_of_ids(spark):
+    for kind in ("short", "int", "string"):
+        got = bitplane.digests(spark.createDataFrame([(1, "a b", 0), (2, None, 0)], "doc_id long, text string, data int").selectExpr(f"cast(doc_id as {kind}) doc_id", "text", "data"), PATH)
+        assert got.schema["doc_id"].dataType.simpleString().replace("smallint", "short") == kind and got.count() == 2
+    with pytest.raises(TypeError):
+        bitplane.digests(spark.createDataFrame([(1.5, "a")], "doc_id double, text string"), PATH)

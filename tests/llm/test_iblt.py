@@ -67,3 +67,12 @@ def test_small_tables(spark):
     same = iblt.compared(df.union(df).union(df)).collect()
     assert len(same) == 3 and len(set(same)) == 1
     assert iblt.compared(df.limit(0)).count() == 0
+
+
+def test_ids_must_be_integers(spark):
+    import pytest
+
+    with pytest.raises(TypeError):
+        iblt.compared(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+    clash = spark.createDataFrame([(1, "x. y", 1, "h", 2), (1, "x. y", 1, "h", 2)], "doc_id int, text string, range int, h string, guest int")
+    assert [r.near_next for r in iblt.compared(clash).collect()] == [1.0, 1.0]
