@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltbed.functions.messages import error_code, is_retryable, scrubbed
 from siltbed.operators.dedup import top_per_key
 
 SUCCEEDED, FAILED, CANCELLED, PARTIAL = "SUCCEEDED", "FAILED", "CANCELLED", "PARTIAL_SUCCESS"
@@ -53,14 +54,36 @@ def hours_crossed(start: Column, end: Column) -> Column:
     return F.timestamp_diff("HOUR", F.date_trunc("HOUR", start), F.date_trunc("HOUR", end))
 
 
+#: The statuses that say a file was read by a run.
+PROCESSED = ("PROCESSED", "REPLAYED")
+
+
 def file_upsert(files: DataFrame, events: DataFrame, keys: Sequence[str], value: str, at: str) -> DataFrame:
-    """Files after events: the last event of a (container, path), NULL parts included, sets status and time."""
+    """Files after events: the last event of a (container, path), NULL parts included, sets status and time.
+
+    `file_processing` gives the run and time by which a file was read.
+    """
     latest = top_per_key(events, keys, [F.col(at).desc(), F.col(value)]).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_v"), F.col(at).alias("_t"), F.lit(True).alias("_new"))
     out = files.join(latest, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "full_outer")
     new = F.col("_new").isNotNull()
     return out.select(*[F.when(new, F.col(f"_k{i}")).otherwise(F.col(k)).alias(k) for i, k in enumerate(keys)], F.when(new, F.col("_v")).otherwise(F.col(value)).alias(value), F.when(new, F.col("_t")).otherwise(F.col(at)).alias(at))
 
 
+def file_processing(events: DataFrame, keys: Sequence[str], status: str, at: str, run: str, processed_run: str | None = None) -> DataFrame:
+    """processed_run_id and processed_datetime of each file: of its last PROCESSED or REPLAYED event,
+    the run that the event names, or else its own; NULL for files that no run has read."""
+    own = F.coalesce(F.col(processed_run), F.col(run)) if processed_run else F.col(run)
+    when = F.when(F.col(status).isin(*PROCESSED), F.struct(F.col(at), F.col(run)))
+    return events.groupBy(*keys).agg(F.max_by(own, when).alias("processed_run_id"), F.max(when)[at].alias("processed_datetime"))
+
+
+def error_rows(failures: DataFrame, run: str, entity: str, stage: str, message: str, at: str) -> DataFrame:
+    """Rows to append to an error table: run, entity, stage, error code, scrubbed message, whether a retry is
+    worth it (in doubt not), and time. The code and the retry are read before the message is scrubbed."""
+    code = error_code(F.col(message))
+    return failures.select(run, entity, F.col(stage).alias("stage"), code.alias("error_code"), scrubbed(F.col(message)).alias("error_message"), F.coalesce(is_retryable(code, F.col(message)), F.lit(False)).alias("is_retryable"), at)
+
+
 def baseline(entity_runs: DataFrame, keys: Sequence[str], end: str, staged: str, source: str, exclude: Column | None = None) -> DataFrame:
     """baseline_rows of each entity's last success: rows staged, or else rows read."""
     rows = entity_runs if exclude is None else entity_runs.where(~exclude)

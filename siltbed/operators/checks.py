@@ -81,11 +81,20 @@ def grid_gaps(rows: DataFrame, a: str, b: str) -> DataFrame:
 def visible_rows(df: DataFrame, access: DataFrame, user: str, on: Mapping[str, str]) -> DataFrame:
     """Rows that an active access row of the user opens; a NULL key opens all.
 
-    on: row column to access column. A user's access rows are few; Spark chooses
-    the join by their measured size.
+    on: row column to access column. Access rows are grouped by which of their keys
+    are NULL; each pattern that occurs (2 to the number of keys at most) is an equality
+    join, and the rows are read once for all of them.
     """
+    names = list(on)
     own = access.where((F.col("user_name") == user) & F.col("is_active")).select(*[F.col(a).alias(f"_a{i}") for i, a in enumerate(on.values())]).distinct()
-    cond = F.lit(True)
-    for i, c in enumerate(on):
-        cond = cond & (F.col(f"_a{i}").isNull() | (F.col(f"_a{i}") == F.col(c)))
-    return df.join(own, cond, "left_semi")
+    pattern = F.concat(*[F.when(F.col(f"_a{i}").isNull(), "0").otherwise("1") for i in range(len(names))])
+    found = sorted(r[0] for r in own.select(pattern).distinct().collect())
+    if "0" * len(names) in found:
+        return df
+    opened, out = F.lit(False), df
+    for n, bits in enumerate(found):
+        used = [i for i, b in enumerate(bits) if b == "1"]
+        side = own.where(pattern == bits).select(*[F.col(f"_a{i}").alias(f"_p{n}_{i}") for i in used], F.lit(True).alias(f"_open{n}"))
+        out = out.join(side, [F.col(names[i]) == F.col(f"_p{n}_{i}") for i in used], "left")
+        opened = opened | F.col(f"_open{n}").isNotNull()
+    return out.where(opened).select(*df.columns)

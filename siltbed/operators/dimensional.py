@@ -11,12 +11,33 @@ from siltbed.operators.dedup import top_per_key
 
 
 def looked_up(df: DataFrame, reference: DataFrame, on: Mapping[str, str], value: str, default: Column, out: str) -> DataFrame:
-    """df with the reference's value, or the default; on: column of df to column of the reference."""
+    """df with the reference's value, or the default; on: column of df to column of the reference.
+
+    What a mandatory lookup misses is told by `lookup_misses`.
+    """
     ref = reference.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(on.values())], F.col(value).alias("_value"))
     joined = df.join(ref, [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(on)], "left")
     return joined.select(*df.columns, F.coalesce("_value", default).alias(out))
 
 
+def lookup_misses(df: DataFrame, reference: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Rows of df that a mandatory lookup finds nothing for; a NULL key finds nothing."""
+    ref = reference.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(on.values())]).distinct()
+    return df.join(ref, [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(on)], "left_anti")
+
+
+def overwritten(dimension: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A dimension without history (type 1): the batch's rows replace those of their keys, others stay."""
+    d, b = dimension.alias("d"), batch.withColumn("_new", F.lit(True)).alias("b")
+    joined = d.join(b, [F.col(f"d.{k}") == F.col(f"b.{k}") for k in keys], "full_outer")
+    return joined.select(*[F.when(F.col("_new"), F.col(f"b.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in dimension.columns])
+
+
+def fact_aggregate(facts: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """Facts by their dimensions' keys, with n_facts and the measures, aggregates by name."""
+    return facts.groupBy(*by).agg(F.count("*").alias("n_facts"), *[c.alias(n) for n, c in measures.items()])
+
+
 def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str], operation: str, order: Sequence[str]) -> DataFrame:
     """target after a feed of INSERT, UPDATE and DELETE rows; the last operation of a key counts."""
     last = top_per_key(feed, keys, [F.col(c).desc() for c in order])
@@ -36,6 +57,16 @@ def surrogate_key(*columns: str) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256)
 
 
+def standardised(df: DataFrame, renames: Mapping[str, str] | None = None, casts: Mapping[str, str] | None = None, trims: Sequence[str] = (), empty_as_null: Sequence[str] = (), defaults: Mapping[str, object] | None = None, derived: Mapping[str, str] | None = None, keys: Sequence[str] = (), order: Sequence[Column] = ()) -> DataFrame:
+    """Columns renamed, cast (NULL if impossible), cleansed and derived, in this order, then one row a key:
+    the first by `order`. Names after renaming count; projections only, but for the keys' grouping."""
+    out = df.withColumnsRenamed(dict(renames or {}))
+    out = out.withColumns({n: F.col(n).try_cast(t) for n, t in (casts or {}).items()})
+    out = cleansed(out, trims, empty_as_null, defaults)
+    out = out.withColumns({n: F.expr(e) for n, e in (derived or {}).items()})
+    return top_per_key(out, keys, list(order)) if keys else out
+
+
 def cleansed(df: DataFrame, trims: Sequence[str] = (), empty_as_null: Sequence[str] = (), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Texts trimmed, empty ones NULL, NULLs by default values: one projection."""
     names = dict.fromkeys([*trims, *empty_as_null, *(defaults or {})])

@@ -20,12 +20,12 @@ def candidates(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     now = target.where(CURRENT).select(*keys, F.col(HASH).alias("_seed"), F.col(FROM).alias("_since"))
     later = F.col("_since").isNull() | (F.col(FROM) > F.col("_since")) | ((F.col(FROM) == F.col("_since")) & (F.col(HASH) != F.col("_seed")))
     # what passes that test and is a version already began with the current one and ended
-    # at once, or is undated; few are. Joined on the key alone, so nothing is dealt anew
-    known = target.where(F.col(FROM).eqNullSafe(F.col(TO)) | F.col(FROM).isNull())
-    known = known.groupBy(*keys).agg(F.collect_set(F.struct(F.col(FROM).alias("since"), F.col(HASH).alias("hash"))).alias("_known"))
-    again = F.exists("_known", lambda v: v["since"].eqNullSafe(F.col(FROM)) & v["hash"].eqNullSafe(F.col(HASH)))
-    out = batch.join(now, list(keys), "left").where(later).join(known, list(keys), "left")
-    return out.where(~F.coalesce(again, F.lit(False))).drop("_since", "_known")
+    # at once, or is undated. The key deals the rows out, as in the join before
+    known = target.where(F.col(FROM).eqNullSafe(F.col(TO)) | F.col(FROM).isNull()).select(*keys, F.col(FROM).alias("_from"), F.col(HASH).alias("_hash"))
+    out = batch.join(now, list(keys), "left").where(later)
+    same = [F.col(f"b.{k}") == F.col(f"k.{k}") for k in keys]
+    again = [F.col(f"b.{FROM}").eqNullSafe(F.col("_from")), F.col(f"b.{HASH}").eqNullSafe(F.col("_hash"))]
+    return out.alias("b").join(known.alias("k"), [*same, *again], "left_anti").drop("_since")
 
 
 def collapse(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = HASH, seed: str | None = None) -> DataFrame:

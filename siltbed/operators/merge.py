@@ -7,7 +7,7 @@ is in `_action`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +25,14 @@ def changed(new: str = "s", old: str = "t") -> Column:
     return old_hash.isNull() | (old_hash != F.col(f"{new}.{HASH}")) | ~F.col(f"{old}.{STATUS}").eqNullSafe(ACTIVE)
 
 
-def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_load: bool = False, soft_delete: bool = False, detect: bool = True) -> DataFrame:
+def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_load: bool = False, soft_delete: bool = False, detect: bool = True, stamp: Mapping[str, object] | None = None) -> DataFrame:
     """target after the batch, and `_action` of each row: INSERT, UPDATE, DELETE or KEEP.
 
     Updates take every column of the batch but the time of creation; columns that
     the batch lacks keep their values. Keys that a full load lacks are marked
-    DELETED if soft_delete. NULL keys match nothing: check them before.
+    DELETED if soft_delete, and get the batch's run and time: `stamp`, or the largest
+    in the batch if it is not given (one more pass over it). NULL keys match nothing:
+    check them before.
     """
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = batch.withColumn("_in_batch", F.lit(True)).alias("s")
@@ -40,7 +42,7 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_load: b
     gone = there & ~here & (F.col(f"t.{STATUS}") == ACTIVE) if full_load and soft_delete else F.lit(False)
     action = F.when(~there, "INSERT").when(here & (changed() if detect else F.lit(True)), "UPDATE").when(gone, "DELETE").otherwise("KEEP")
     batch_columns = {c.lower() for c in batch.columns}
-    batch_run = batch.select(*[F.max(c).alias(c) for c in (*RUN_COLUMNS, UPDATED) if c in batch.columns])
+    runs = [c for c in (*RUN_COLUMNS, UPDATED) if c in batch.columns] if full_load and soft_delete else []
 
     def value(name: str) -> Column:
         old = F.col(f"t.{quoted(name)}")
@@ -52,13 +54,14 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_load: b
             out = out.when(F.col("_action") == "UPDATE", new)
         if name == STATUS:
             out = out.when(F.col("_action") == "DELETE", F.lit(DELETED))
-        if name in (*RUN_COLUMNS, UPDATED) and full_load and soft_delete:
-            out = out.when(F.col("_action") == "DELETE", F.col(f"r.{name}"))
+        if name in runs:
+            given = F.col(f"r.{name}") if stamp is None else F.lit(stamp[name]).cast(target.schema[name].dataType)
+            out = out.when(F.col("_action") == "DELETE", given)
         return out.otherwise(old)
 
     joined = joined.withColumn("_action", action)
-    if full_load and soft_delete and batch_run.columns:
-        joined = joined.join(F.broadcast(batch_run.alias("r")))  # one row
+    if runs and stamp is None:
+        joined = joined.join(F.broadcast(batch.select(*[F.max(c).alias(c) for c in runs]).alias("r")))  # one row
     return joined.select(*[value(c).alias(c) for c in target.columns], "_action")
 
 

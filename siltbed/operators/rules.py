@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,13 +12,21 @@ from siltbed.functions.canonical import quoted
 from siltbed.operators.dedup import surplus
 from siltbed.operators.shape import ColumnSpec, missing_columns
 
-PK_NULL, DUPLICATE, MANDATORY, MISSING, TYPE, MARK, ROW_COUNT, CUSTOM = "PRIMARY_KEY_NULL", "DUPLICATE_PRIMARY_KEY", "MANDATORY_COLUMN_NULL", "COLUMN_MISSING", "DATA_TYPE_MISMATCH", "WATERMARK_INVALID", "ROW_COUNT_ANOMALY", "CUSTOM"
+PK_NULL, DUPLICATE, MANDATORY, MISSING, TYPE, MARK, ROW_COUNT, CUSTOM, UNIQUE, LOOKUP = "PRIMARY_KEY_NULL", "DUPLICATE_PRIMARY_KEY", "MANDATORY_COLUMN_NULL", "COLUMN_MISSING", "DATA_TYPE_MISMATCH", "WATERMARK_INVALID", "ROW_COUNT_ANOMALY", "CUSTOM", "UNIQUE", "LOOKUP"
+PRE, POST, BOTH = "PRE", "POST", "BOTH"
+#: Column of rows typed beforehand: the target columns that could not be converted.
+TYPE_FAILED = "_type_failed"
 FAIL, REJECT, WARN, IGNORE = "FAIL", "REJECT", "WARN", "IGNORE"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule on a column, an expression or the row count; what its failure does."""
+    """A rule on a column, an expression or the row count; what its failure does.
+
+    stage: PRE is checked on the batch before the write, POST on the target after it.
+    UNIQUE is on `columns`; LOOKUP asks for the column's values in another table's
+    (`reference`, a name, and `columns`, one column of it).
+    """
 
     name: str
     type: str
@@ -26,6 +34,20 @@ class Rule:
     expression: str | None = None
     action: str = FAIL
     threshold: float = 50.0
+    stage: str = PRE
+    columns: tuple[str, ...] = ()
+    reference: str | None = None
+
+
+def at_stage(rules: Sequence[Rule], stage: str) -> list[Rule]:
+    """The rules that are checked at a stage, in their order."""
+    return [r for r in rules if r.stage in (stage, BOTH)]
+
+
+def unmatched(df: DataFrame, column: str, reference: DataFrame, other: str) -> DataFrame:
+    """Rows whose value is there and stands nowhere in the other table's column."""
+    known = reference.select(F.col(quoted(other)).alias("_known")).distinct()
+    return df.where(F.col(quoted(column)).isNotNull()).join(known, F.col(quoted(column)) == F.col("_known"), "left_anti")
 
 
 def pattern(name: str, column: str, regex: str, action: str = FAIL) -> Rule:
@@ -84,6 +106,13 @@ def type_failure(column: ColumnSpec) -> Column:
     return raw.isNotNull() & value.try_cast(column.type).isNull()
 
 
+def type_failures(columns: Sequence[ColumnSpec], raw: DataFrame) -> Column:
+    """On raw rows: the target columns whose value is there and can't be converted."""
+    absent = missing_columns(raw, [c.source for c in columns if not c.mapping])
+    typed = [c for c in columns if c.type.lower() != "string" and c.source not in absent]
+    return F.array_compact(F.array(*[F.when(type_failure(c), F.lit(c.target)) for c in typed])) if typed else F.array().cast("array<string>")
+
+
 def row_count_change(current: Column, previous: Column) -> Column:
     """Per cent against the last success; 0 before is 0 or 100; NULL if there is none."""
     return F.when(previous == 0, F.when(current == 0, 0.0).otherwise(100.0)).otherwise((current - previous) * 100.0 / previous)
@@ -99,11 +128,12 @@ def status(failed: Column, action: Column) -> Column:
     return F.when(failed == 0, "PASSED").when(action == FAIL, "FAILED").when(action == WARN, "WARNING").otherwise("IGNORED")
 
 
-def report(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], columns: Sequence[ColumnSpec] = (), raw: DataFrame | None = None, mark: str | None = None, floor: Column | None = None, previous_rows: int | None = None) -> DataFrame:
+def report(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], columns: Sequence[ColumnSpec] = (), raw: DataFrame | None = None, mark: str | None = None, floor: Column | None = None, previous_rows: int | None = None, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """rule_name, rule_type, status, failed_row_count of each rule.
 
     All rules on single rows are one aggregate over df, type rules one over the raw
-    rows, the duplicate rule one grouping; nothing is scanned once per rule.
+    rows, a rule on duplicates one grouping; nothing is scanned once per rule. Rows
+    that have TYPE_FAILED say themselves what could not be converted.
     """
     spark = df.sparkSession
     raw = df if raw is None else raw
@@ -115,12 +145,16 @@ def report(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], columns: S
             per_row[i] = F.lit(len(missing_columns(raw, names))).cast("long")
         elif r.type == TYPE:
             own = [c for c in columns if (c.target == r.column if r.column else c.type.lower() != "string") and c.source not in absent]
+            told = TYPE_FAILED in df.columns
             bad = F.lit(0).cast("long")
             for c in own:
-                bad = bad + F.count_if(type_failure(c))
-            per_raw[i] = bad if own else F.max(F.lit(0)).cast("long")
-        elif r.type == DUPLICATE:
-            parts.append(surplus(df, keys).select(F.lit(i).alias("i"), F.col("surplus_rows").alias("n")))
+                bad = bad + F.count_if(F.array_contains(TYPE_FAILED, c.target) if told else type_failure(c))
+            (per_row if told else per_raw)[i] = bad if own else F.max(F.lit(0)).cast("long")
+        elif r.type in (DUPLICATE, UNIQUE):
+            parts.append(surplus(df, keys if r.type == DUPLICATE else r.columns).select(F.lit(i).alias("i"), F.col("surplus_rows").alias("n")))
+        elif r.type == LOOKUP:
+            lost = unmatched(df, r.column, references[r.reference], r.columns[0])
+            parts.append(lost.agg(F.count("*").alias("n")).select(F.lit(i).alias("i"), "n"))
         elif r.type == ROW_COUNT:
             change = row_count_change(F.count("*").cast("double"), F.lit(previous_rows).cast("double"))
             per_row[i] = F.when(F.abs(change) > r.threshold, 1).otherwise(0).cast("long")
@@ -140,9 +174,14 @@ def report(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], columns: S
     return out.select("rule_name", "rule_type", "status", F.col("n").cast("long").alias("failed_row_count"))
 
 
+def is_blocking(state: Column) -> Column:
+    """Whether a rule's status stops the load."""
+    return state == "FAILED"
+
+
 def blocks(reported: DataFrame, fail_on_error: bool = True) -> bool:
     """Whether a rule failed that stops the load; reads one row a rule."""
-    return fail_on_error and not reported.where("status = 'FAILED'").isEmpty()
+    return fail_on_error and not reported.where(is_blocking(F.col("status"))).isEmpty()
 
 
 def band(failed: Column, total: Column) -> Column:

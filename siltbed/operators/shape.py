@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,8 +39,8 @@ def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n.lower() not in have]
 
 
-def project(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
-    """Renames, maps and types each column once; what can't be converted is NULL."""
+def projections(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
+    """The columns of project()."""
     have = {c.lower(): c for c in df.columns}
     out = []
     for c in columns:
@@ -51,7 +51,12 @@ def project(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
         else:
             value = F.lit(None)
         out.append(value.try_cast(c.type).alias(c.target))
-    return df.select(*out)
+    return out
+
+
+def project(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
+    """Renames, maps and types each column once; what can't be converted is NULL."""
+    return df.select(*projections(df, columns))
 
 
 def with_technical(df: DataFrame, run_id: str, entity_run_id: str, now: str, source_system: str, source_table: str) -> DataFrame:

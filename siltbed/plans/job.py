@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.canonical import record_hash
+from siltbed.functions.marks import advanced, mark_text, parsed_mark
 from siltbed.functions.masking import anonymise
 from siltbed.operators import history, merge, rules
 from siltbed.operators.dedup import deduplicate
-from siltbed.operators.shape import VERSIONED, evolve, project, with_technical
-from siltbed.operators.state import batch_max
+from siltbed.operators.shape import VERSIONED, evolve, projections, table_schema, with_technical
+from siltbed.operators.state import batch_max, commit
 from siltbed.plans.spec import APPEND, HISTORY, MERGE, EntitySpec
+from siltbed.sources import landing
 
 
 @dataclass(frozen=True)
@@ -26,9 +28,21 @@ class Load:
     hash_columns: tuple[str, ...]
 
 
-def prepared(spec: EntitySpec, raw: DataFrame, run_id: str, entity_run_id: str, now: str, salts: dict[str, str] | None = None, masking: bool = False) -> DataFrame:
-    """Typed, deduplicated, anonymised, hashed rows with technical columns."""
-    rows = deduplicate(project(raw, spec.columns), spec.keys, spec.mark, spec.history)
+def typed_rows(spec: EntitySpec, raw: DataFrame) -> DataFrame:
+    """Raw rows typed once, and TYPE_FAILED: rules and load need no more of the raw rows."""
+    failed = rules.type_failures(spec.columns, raw).alias(rules.TYPE_FAILED)
+    kept = [c for c in spec.sequence if c.lower() not in {x.target.lower() for x in spec.columns}]
+    return raw.select(*projections(raw, spec.columns), *kept, failed)
+
+
+def prepared(spec: EntitySpec, typed: DataFrame, run_id: str, entity_run_id: str, now: str, salts: dict[str, str] | None = None, masking: bool = False) -> DataFrame:
+    """Deduplicated, anonymised, hashed rows with technical columns."""
+    names = [c.target for c in spec.columns]
+    if spec.history:
+        kept = [c for c in spec.sequence if c not in names]
+        rows = deduplicate(typed.select(*names, *kept), spec.keys, spec.mark, True)
+    else:
+        rows = deduplicate(typed.drop(rules.TYPE_FAILED), spec.keys, spec.mark, False, spec.sequence).select(*names)
     rows = anonymise(rows, spec.masks, salts, masking)
     rows = rows.withColumn("bronze_record_hash", record_hash(rows, spec.hash_columns))
     rows = with_technical(rows, run_id, entity_run_id, now, spec.source_system, spec.source_table)
@@ -38,29 +52,95 @@ def prepared(spec: EntitySpec, raw: DataFrame, run_id: str, entity_run_id: str,
     return rows
 
 
-def applied(spec: EntitySpec, target: DataFrame, rows: DataFrame, entity_run_id: str) -> DataFrame:
+def applied(spec: EntitySpec, target: DataFrame, rows: DataFrame, run_id: str, entity_run_id: str, now: str) -> DataFrame:
     """The target after the rows, by the entity's strategy; new columns of the rows are added."""
-    wanted = {f.name: f.dataType.simpleString() for f in rows.schema} | (VERSIONED if spec.history else {})
+    business = {c.target for c in spec.columns}
+    wanted = {f.name: f.dataType.simpleString() for f in rows.schema if f.name in business or f.name.startswith("bronze_")} | (VERSIONED if spec.history else {})
     target = evolve(target, wanted)
     if spec.strategy == HISTORY:
-        return history.apply(target, rows, spec.keys)
+        return history.apply(target, rows, spec.keys, [c for c in spec.sequence if c in rows.columns])
     if spec.strategy == MERGE:
-        return merge.merge(target, rows, spec.keys, spec.full_load, spec.soft_delete).drop("_action")
+        stamp = {"bronze_run_id": run_id, "bronze_entity_run_id": entity_run_id, merge.UPDATED: now}
+        return merge.merge(target, rows, spec.keys, spec.full_load, spec.soft_delete, stamp=stamp).drop("_action")
     if spec.strategy == APPEND:
         return merge.append(target, rows, entity_run_id)
     return merge.replace(target, rows)
 
 
-def process(spec: EntitySpec, raw: DataFrame, target: DataFrame, run_id: str, entity_run_id: str, now: str, salts: dict[str, str] | None = None, masking: bool = False, previous_rows: int | None = None, before: object = None) -> Load:
+def process(spec: EntitySpec, raw: DataFrame, target: DataFrame, run_id: str, entity_run_id: str, now: str, salts: dict[str, str] | None = None, masking: bool = False, previous_rows: int | None = None, before: object = None, staging: str | None = None, references: dict[str, DataFrame] | None = None) -> Load:
     """Checks, then applies a batch. Order matters: the mark is read before masking, the
-    hash is of masked values, and the caller commits the mark last, after its write."""
+    hash is of masked values, and the caller commits the mark last, after its write.
+
+    With `staging`, a path, the typed rows are written there first, stamped with the run,
+    and rules and load read them back: the raw batch is read once.
+    """
     if wrong := spec.problems():
         raise ValueError(f"{spec.source_table}: " + "; ".join(wrong))
-    typed = project(raw, spec.columns)
+    typed = typed_rows(spec, raw)
+    if staging:
+        landing.stage(typed, staging, run_id)
+        typed = landing.staged(raw.sparkSession.read.parquet(staging), run_id).drop(landing.RUN_COLUMN)
     floor = F.lit(before).cast(typed.schema[spec.mark].dataType) if spec.mark and before is not None else None
-    found = rules.report(typed, rules.effective_rules(spec.rules, bool(spec.keys)), spec.keys, spec.columns, raw, spec.mark, floor, previous_rows)
+    checked = rules.at_stage(rules.effective_rules(spec.rules, bool(spec.keys)), rules.PRE)
+    found = rules.report(typed, checked, spec.keys, spec.columns, raw, spec.mark, floor, previous_rows, references)
     if rules.blocks(found):
         return Load(None, found, None, tuple(spec.hash_columns))
     mark = batch_max(typed, spec.mark) if spec.mark else None
-    rows = prepared(spec, raw, run_id, entity_run_id, now, salts, masking)
-    return Load(applied(spec, target, rows, entity_run_id), found, mark, tuple(spec.hash_columns))
+    rows = prepared(spec, typed, run_id, entity_run_id, now, salts, masking)
+    return Load(applied(spec, target, rows, run_id, entity_run_id, now), found, mark, tuple(spec.hash_columns))
+
+
+def post_report(spec: EntitySpec, target: DataFrame, references: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """The report of the POST rules on a written target; None if there are none."""
+    checked = rules.at_stage(spec.rules, rules.POST)
+    return rules.report(target, checked, spec.keys, spec.columns, None, spec.mark, references=references) if checked else None
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """The written target (the old one if a rule stopped the load), its reports, and the marks after it."""
+
+    target: DataFrame | None
+    report: DataFrame
+    post: DataFrame | None
+    marks: DataFrame
+    succeeded: bool
+
+
+def load(spec: EntitySpec, raw: DataFrame, root: str, marks: DataFrame, run_id: str, entity_run_id: str, now: str, **options) -> Loaded:
+    """One entity's whole load below `root`: stage, PRE rules, a new snapshot of the target,
+    POST rules on it, and last the mark in marks (entity, mark), if nothing failed.
+
+    A run that stops anywhere can be repeated: staging is overwritten, a snapshot is seen
+    when it is complete, and the mark moves only from what it was.
+    """
+    spark, home = raw.sparkSession, f"{root.rstrip('/')}/target"
+    target = landing.read_snapshot(spark, home)
+    if target is None:
+        target = spark.createDataFrame([], table_schema(spec.columns, spec.history))
+    done = process(spec, raw, target, run_id, entity_run_id, now, staging=f"{root.rstrip('/')}/staging", **options)
+    report = _kept(done.report)
+    if done.target is None:
+        return Loaded(landing.read_snapshot(spark, home), report, None, marks, False)
+    written = spark.read.parquet(landing.write_snapshot(done.target, home))
+    post = post_report(spec, written, options.get("references"))
+    good = post is None or not rules.blocks(post)
+    if good and done.batch_mark is not None:
+        marks = committed(spec, marks, _kept(done.batch_mark))
+    return Loaded(written, report, post, marks, good)
+
+
+def _kept(few: DataFrame) -> DataFrame:
+    """A frame of a row a rule, or of one mark, as values: staging, which it is from, is overwritten by the next run."""
+    return few.sparkSession.createDataFrame(few.collect(), few.schema)
+
+
+def committed(spec: EntitySpec, marks: DataFrame, batch_mark: DataFrame) -> DataFrame:
+    """marks (entity, mark) after a batch: advanced, never back, and only where the mark is still what was read."""
+    own = marks.where(F.col("entity") == spec.entity_id).select("mark")
+    kind = batch_mark.schema["batch_mark"].dataType
+    known = batch_mark.select(F.lit(None).cast("string").alias("mark"), "batch_mark").union(own.select("mark", F.lit(None).cast(kind)))
+    known = known.agg(F.max("mark").alias("mark"), F.max("batch_mark").alias("batch_mark"))  # of one row each
+    new = advanced(parsed_mark(F.col("mark"), spec.mark_type).cast(kind), F.col("batch_mark"))
+    proposal = known.select(F.lit(spec.entity_id).cast("long").alias("entity"), F.col("mark").alias("expected"), mark_text(new, spec.mark_type).alias("proposed"))
+    return commit(marks, proposal).select("entity", "mark")

@@ -197,9 +197,9 @@ def _audit(t):
     return t.events.select("event_id", F.col("user_id").alias("entity_id"), F.date_format("ts", "yyyyMMdd").alias("run_id"), status.alias("status"), "ts", F.col("value").cast(MONEY).alias("n"))
 
 
-@query("audit_run_fold", _E + "SELECT run_id, CASE WHEN count(*) > 1 THEN 'RUNNING' ELSE 'STARTED' END AS status, min(ts) AS start_datetime FROM e WHERE entity_id = 1 GROUP BY run_id")
+@query("audit_run_fold", _E + "SELECT run_id, CASE WHEN count(*) > 1 THEN 'RUNNING' ELSE 'STARTED' END AS status, min(ts) AS start_datetime FROM (SELECT run_id || '-' || entity_id AS run_id, ts FROM e) GROUP BY run_id")
 def audit_run_fold(spark, d):
-    return audit.run_fold(_audit(Tables(spark, d)).where("entity_id = 1"), "run_id", "ts")
+    return audit.run_fold(_audit(Tables(spark, d)).withColumn("run_id", F.concat("run_id", F.lit("-"), F.col("entity_id"))), "run_id", "ts")
 
 
 @query("audit_run_rollup", _E + ", c AS (SELECT run_id, entity_id % 40 AS g, count(*) FILTER (status = 'SUCCEEDED') AS succeeded, count(*) FILTER (status = 'FAILED') AS failed, count(*) FILTER (status = 'CANCELLED') AS cancelled, count(*) AS entities FROM e GROUP BY ALL) SELECT run_id || '-' || g AS run, succeeded, failed, cancelled, entities, CASE WHEN failed > 0 AND succeeded > 0 THEN 'PARTIAL_SUCCESS' WHEN failed > 0 THEN 'FAILED' WHEN cancelled > 0 THEN 'CANCELLED' ELSE 'SUCCEEDED' END AS run_status FROM c")
@@ -248,10 +248,10 @@ def _runs(e):
     return e.groupBy("run_id").agg(F.min("ts").alias("start_datetime"), F.max(F.when(F.col("run_id") < "20240129", F.col("ts"))).alias("end_datetime"))
 
 
-@query("vw_run_summary", _E + _RUNS + "SELECT r.run_id, start_datetime, end_datetime, CASE WHEN end_datetime IS NULL THEN 1 ELSE 0 END AS is_executing, date_sub('second', start_datetime, end_datetime) AS duration_seconds, coalesce(x.n, 0) AS error_count FROM r LEFT JOIN (SELECT run_id, count(*) AS n FROM e WHERE status = 'FAILED' AND entity_id < 50 GROUP BY 1) x ON r.run_id = x.run_id")
+@query("vw_run_summary", _E + _RUNS + "SELECT r.run_id, start_datetime, end_datetime, CASE WHEN end_datetime IS NULL THEN 1 ELSE 0 END AS is_executing, date_sub('second', start_datetime, end_datetime) AS duration_seconds, coalesce(x.n, 0) AS error_count FROM r LEFT JOIN (SELECT run_id, count(*) AS n FROM e WHERE status = 'FAILED' GROUP BY 1) x ON r.run_id = x.run_id")
 def vw_run_summary(spark, d):
     e = _audit(Tables(spark, d))
-    return audit.run_summary(_runs(e), e.where("status = 'FAILED' and entity_id < 50"))
+    return audit.run_summary(_runs(e), e.where("status = 'FAILED'"))
 
 
 @query("vw_entity_status", _E + "SELECT entity_id, run_id, status, ts FROM e QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY ts DESC) = 1")
@@ -265,9 +265,9 @@ def vw_recent_errors(spark, d):
     return audit.recent(e, "ts", _asof()).select("event_id", "entity_id", "run_id", "ts")
 
 
-@query("vw_watermark_status", _E + f", s AS (SELECT entity_id, ts, CASE WHEN entity_id % 10 = 0 THEN 'same' WHEN event_id % 3 > 0 THEN run_id END AS mark, row_number() OVER (PARTITION BY entity_id ORDER BY ts DESC) AS rn FROM e WHERE status = 'SUCCEEDED' AND entity_id % 7 > 0 OR event_id % 1000 = 1), h AS (SELECT entity_id, max(mark) FILTER (rn = 1) AS latest_watermark, max(ts) AS last_success_datetime, count(DISTINCT mark) AS m, count(*) AS n FROM s WHERE rn <= 5 GROUP BY entity_id) SELECT entity_id, latest_watermark, last_success_datetime, date_diff('hour', last_success_datetime, TIMESTAMP '{AS_OF}') AS hours_since_last_success, CAST(date_diff('hour', last_success_datetime, TIMESTAMP '{AS_OF}') > 24 AS INTEGER) AS is_not_loaded_recently, CAST(m = 1 AND n = 5 AS INTEGER) AS is_watermark_stale FROM h")
+@query("vw_watermark_status", _E + f", s AS (SELECT entity_id, ts, CASE WHEN entity_id % 10 = 0 THEN 'same' WHEN event_id % 3 > 0 THEN run_id END AS mark, row_number() OVER (PARTITION BY entity_id ORDER BY ts DESC) AS rn FROM e WHERE status = 'SUCCEEDED'), h AS (SELECT entity_id, max(mark) FILTER (rn = 1) AS latest_watermark, max(ts) AS last_success_datetime, count(DISTINCT mark) AS m, count(*) AS n FROM s WHERE rn <= 5 GROUP BY entity_id) SELECT entity_id, latest_watermark, last_success_datetime, date_diff('hour', last_success_datetime, TIMESTAMP '{AS_OF}') AS hours_since_last_success, CAST(date_diff('hour', last_success_datetime, TIMESTAMP '{AS_OF}') > 24 AS INTEGER) AS is_not_loaded_recently, CAST(m = 1 AND n = 5 AS INTEGER) AS is_watermark_stale FROM h")
 def vw_watermark_status(spark, d):
-    e = _audit(Tables(spark, d)).where("status = 'SUCCEEDED' and entity_id % 7 > 0 or event_id % 1000 = 1")
+    e = _audit(Tables(spark, d)).where("status = 'SUCCEEDED'")
     e = e.withColumn("mark", F.when(F.col("entity_id") % 10 == 0, "same").when(F.col("event_id") % 3 > 0, F.col("run_id")))
     return audit.mark_status(e, ["entity_id"], "ts", "mark", _asof())
 
@@ -421,11 +421,11 @@ _L_HASH = "sha256(concat_ws(chr(31), CAST(l_quantity AS VARCHAR), CAST(l_extende
 
 @query("entity_e2e", f"SELECT *, {_L_HASH} AS bronze_record_hash, 'ACTIVE' AS bronze_record_status, 'run-2' AS bronze_run_id FROM ({_L}) QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_partkey DESC) = 1")
 def entity_e2e(spark, d):
-    """Text rows through rules, dedup, hash and merge into an empty target."""
+    """Text rows through staging, rules, dedup, hash and merge into an empty target."""
     line = Tables(spark, d).lineitem
     raw = line.select(*[F.col(c).cast("string").alias(c) for c in line.columns])
     target = spark.createDataFrame([], shape.table_schema(LINE_SPEC.columns))
-    load = job.process(LINE_SPEC, raw, target, "run-2", "run-2-E1", NOW)
+    load = job.process(LINE_SPEC, raw, target, "run-2", "run-2-E1", NOW, staging=_scratch(spark, "staging"))
     return load.target.select(*[c.target for c in LINE_SPEC.columns], "bronze_record_hash", "bronze_record_status", "bronze_run_id")
 
 

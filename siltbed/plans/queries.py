@@ -52,10 +52,15 @@ text_time = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 def _scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, for queries that write files and read them back."""
+    import re
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="siltbed-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="siltbed-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -66,7 +71,7 @@ def landing_json_scan(spark, d):
     return landing.read_landing(spark, path, ["event_id", "user_id", "event_type", "props", "absent"])
 
 
-@query("landing_json_sink")
+@query("landing_json_sink", "SELECT CASE WHEN event_id % 2 = 0 THEN '20240201000000' ELSE '20240202000000' END AS stamp, count(*) AS n FROM events GROUP BY 1")
 def landing_json_sink(spark, d):
     root = _scratch(spark, "landing")
     e = Tables(spark, d).events

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ class EntitySpec:
     merging: bool = True
     soft_delete: bool = False
     mark_type: str | None = None
+    #: columns that break ties of the mark, the largest wins; of the batch, not the target
+    sequence: Sequence[str] = ()
     rules: Sequence[Rule] = ()
     masks: Mapping[str, MaskRule] = field(default_factory=dict)
 
@@ -70,10 +73,43 @@ class EntitySpec:
         out += [f"rule {r.name} is on unknown column {r.column}" for r in self.rules if r.column and r.column.lower() not in names]
         out += [f"a mask is on unknown column {c}" for c in self.masks if c.lower() not in names]
         out += [f"rule {r.name} has no expression" for r in self.rules if r.type == "CUSTOM" and not r.expression]
+        out += [f"rule {r.name} is on unknown column {c}" for r in self.rules if r.type == "UNIQUE" for c in r.columns if c.lower() not in names]
+        out += [f"unknown stage {r.stage!r} of rule {r.name}" for r in self.rules if r.stage not in ("PRE", "POST", "BOTH")]
         out += [f"unknown action {r.action!r} of rule {r.name}" for r in self.rules if r.action not in ("FAIL", "WARN", "IGNORE")]
         return out
 
 
+def set_problems(specs: Sequence[EntitySpec]) -> list[str]:
+    """All that is wrong with a control set: each entity's problems, and what two of them share."""
+    out = [f"entity {s.entity_id} ({s.source_system}.{s.source_table}): {p}" for s in specs for p in s.problems()]
+    for what, value in (("id", lambda s: s.entity_id), ("source", lambda s: f"{s.source_system}.{s.source_table}".lower())):
+        counts = Counter(map(value, specs))
+        out += [f"{what} {v} occurs {n} times" for v, n in sorted(counts.items(), key=str) if n > 1]
+    return out
+
+
+def control_problems(entities: DataFrame, columns: DataFrame, entity: str = "entity_id") -> DataFrame:
+    """(entity, problem) over control tables of any size: entities (with load_type, has_history, is_merged)
+    without columns, merged or versioned without a key, incremental without a mark, with an unknown load
+    type, or twice there; columns (with target, is_key, is_mark) that occur twice or have no entity."""
+    own = columns.groupBy(entity, F.lower("target").alias("_t")).agg(F.count("*").alias("_n"), F.max("is_key").alias("_key"), F.max("is_mark").alias("_mark"))
+    own = own.groupBy(entity).agg(F.count_if(F.col("_n") > 1).alias("_twice"), F.max("_key").alias("_key"), F.max("_mark").alias("_mark"), F.lit(True).alias("_any"))
+    rows = entities.groupBy(entity).agg(F.count("*").alias("_rows"), F.max("load_type").alias("_load"), F.max("has_history").alias("_history"), F.max("is_merged").alias("_merged"))
+    both = rows.join(own, entity, "full_outer")
+    there, no = F.col("_rows").isNotNull(), lambda c: ~F.coalesce(c, F.lit(False))
+    found = {
+        "columns of no entity": ~there,
+        "no columns": there & no(F.col("_any")),
+        "the entity occurs twice": F.col("_rows") > 1,
+        "a target column occurs twice": F.col("_twice") > 0,
+        "no key": there & (F.col("_history") | F.col("_merged")) & no(F.col("_key")),
+        "no mark": there & (F.col("_load") == "INCREMENTAL") & ~F.col("_history") & no(F.col("_mark")),
+        "unknown load type": there & no(F.col("_load").isin("FULL", "INCREMENTAL")),
+    }
+    problems = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(p)) for p, c in found.items()]))
+    return both.select(entity, F.explode(problems).alias("problem"))
+
+
 def ordered_list(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str = ", ") -> DataFrame:
     """Each key's values as one text, in order: `listed`. A key's values are a table's columns or the like, few."""
     ranked = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))

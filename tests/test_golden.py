@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,3 +215,40 @@ def test_visible_rows_without_access(spark):
     access = spark.createDataFrame([("ann", False, None)], "user_name string, is_active boolean, k int")
     assert checks.visible_rows(df, access, "ann", {"k": "k"}).count() == 0
     assert checks.visible_rows(df, access.withColumn("is_active", F.lit(True)), "ann", {"k": "k"}).count() == 1
+
+
+def test_a_whole_load_reads_the_raw_batch_once(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "Pen", "1.00", "2026-09-01 00:00:00"), ("2", "Ink", "x", "2026-09-02 00:00:00")], "ProductId string, ProductName string, ListPrice string, ModifiedDate string")
+    rows.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    marks_ = spark.createDataFrame([], "entity long, mark string")
+    stopped = job.load(PRODUCT, raw, f"{tmp_path}/load", marks_, "r1", "r1-E2", "2026-09-03 00:00:00")
+    assert stopped.target is None and not stopped.succeeded and stopped.marks.isEmpty()
+    assert {(r.rule_type, r.failed_row_count) for r in stopped.report.where("status = 'FAILED'").collect()} == {("DATA_TYPE_MISMATCH", 1)}
+    lenient = replace(PRODUCT, rules=[Rule("types", rules.TYPE, action=rules.WARN), Rule("few", rules.CUSTOM, expression="ProductId < 2", stage=rules.POST, action=rules.WARN)])
+    done = job.process(lenient, raw, spark.createDataFrame([], shape.table_schema(PRODUCT.columns)), "r2", "r2-E2", "2026-09-03 00:00:00", staging=f"{tmp_path}/staging")
+    for frame in (done.target, done.report, done.batch_mark):
+        files = frame.inputFiles()
+        assert files and all("/staging/" in f for f in files)
+    out = job.load(lenient, raw, f"{tmp_path}/load", marks_, "r2", "r2-E2", "2026-09-03 00:00:00")
+    assert out.succeeded and out.target.count() == 2
+    assert [(r.rule_name, r.failed_row_count) for r in out.post.collect()] == [("few", 1)]
+    assert [tuple(r) for r in out.marks.collect()] == [(2, "2026-09-02 00:00:00.000000")]
+    hard = replace(lenient, rules=[*lenient.rules, Rule("none", rules.CUSTOM, expression="false", stage=rules.POST)])
+    late = job.load(hard, raw, f"{tmp_path}/load", marks_, "r3", "r3-E2", "2026-09-04 00:00:00")
+    assert not late.succeeded and late.marks.isEmpty()  # what a POST rule finds leaves the mark where it was
+
+
+def test_control_sets(spark):
+    assert spec.set_problems([PRODUCT, CUSTOMER]) == []
+    found = spec.set_problems([PRODUCT, replace(PRODUCT, rules=[Rule("u", rules.UNIQUE, columns=("nowhere",)), Rule("s", rules.MARK, stage="LATE")])])
+    assert len(found) == 4 and any("id 2 occurs 2 times" in p for p in found)
+
+
+def test_visible_rows_by_patterns(spark):
+    df = spark.createDataFrame([(i, i % 3, i % 2) for i in range(12)], "id int, a int, b int")
+    access = spark.createDataFrame([("ann", True, 0, None), ("ann", True, None, 1), ("ann", True, 0, 1), ("ann", False, None, None), ("bob", True, None, None), ("cy", True, 2, 0), ("cy", True, 2, 0)], "user_name string, is_active boolean, a int, b int")
+    on = {"a": "a", "b": "b"}
+    seen = lambda u: sorted(r.id for r in checks.visible_rows(df, access, u, on).collect())
+    assert seen("ann") == [i for i in range(12) if i % 3 == 0 or i % 2 == 1]
+    assert seen("bob") == list(range(12)) and seen("cy") == [2, 8] and seen("dee") == []

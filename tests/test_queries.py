@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from siltbed.plans import more_queries  # noqa: F401
+from siltbed.plans import load_queries, more_queries  # noqa: F401
 from siltbed.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
