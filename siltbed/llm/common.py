@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 _own: dict[str, str] = {}
+#: Paths that stored() has written and nothing has removed.
+_written: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,15 +44,29 @@ def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.option("compression", compression).parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(spark: SparkSession, df: DataFrame) -> None:
     """Removes the files of a stored() frame that nothing will read again."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(hadoop).delete(path, True)
+        _remove(spark, name)
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _written[:] = [w for w in _written if w.rsplit("/", 1)[-1] != name.rsplit("/", 1)[-1]]
+
+
+@contextmanager
+def last_kept(spark: SparkSession) -> Iterator[None]:
+    """Of what stored() writes within, the last table stays; the others, which it was made from, go."""
+    before = set(_written)
+    yield
+    for path in [w for w in _written if w not in before][:-1]:
+        _remove(spark, path)
 
 
 def without(df: DataFrame, *names: str) -> list[Column]:
