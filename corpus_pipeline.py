@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltbed.llm import bpe, mixing, pii, simhash, toxicity
-from siltbed.llm.common import stored, table
+from siltbed.llm.common import forget, last_kept, stored, table
 from siltbed.llm.queries import vocabulary
 
 
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies stays: five words, 0.8 or more."""
+    """The document with the least id of each group of near copies stays: shingles of five words, cosine of 0.8 or more."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -54,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with last_kept(spark):
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            forget(spark, before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
