@@ -4,8 +4,9 @@ The pre-tokenizer's pattern cuts a slice of documents into words, and Arrow tell
 the distinct ones apart. Those not met before merge together: their symbols lie
 in one flat array, a pair's rank is found by binary search over the sorted pair
 keys, and in each round every word merges all its occurrences of its
-lowest-ranked pair. Ids of words are kept per Python worker up to `KEPT` words,
-then forgotten; memory is bounded, results do not change. A text of over
+lowest-ranked pair. Ids of words are kept per Python worker: beyond `KEPT` words a
+new generation begins, which takes what it meets again from the one before, and that
+one's predecessor goes; memory is bounded, results do not change. A text of over
 `SLICE_CHARS` code points is cut where words always end, and its parts follow
 one another.
 
@@ -38,9 +39,9 @@ from siltbed.llm.common import without
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 400_000
+KEPT = 200_000
 SLICE_CHARS, SLICE_ROWS = 1 << 21, 1024
-LONGEST_KEPT = 64
+LONGEST_KEPT, TOGETHER = 64, 512
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -190,7 +191,7 @@ class Splitter:
 
 
 class Pool:
-    """Ids of the words met so far, in one flat array, up to KEPT words.
+    """Ids of the words met of late, in one flat array; two generations of about KEPT words.
 
     learn: words to their flat ids, and how many each has.
     """
@@ -202,13 +203,27 @@ class Pool:
         self.forget()
 
     def forget(self) -> None:
+        self.renew()
+        self.old = ({}, self.flat, self.start, self.length)
+
+    def renew(self) -> None:
+        """Begins a generation."""
+        if hasattr(self, "codes"):
+            self.old = (self.codes, self.flat, self.start, self.length)
         self.codes: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.int32)
         self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.used = 0
 
     def _learn(self, words: list[str]) -> None:
-        flat, length = self.learn(words)
+        codes, flat, start, length = self.old
+        again = [(w, c) for w in words if (c := codes.get(w)) is not None] if codes else []
+        fresh = [w for w in words if w not in codes] if again else words
+        at = np.array([c for _, c in again], np.int64)
+        parts = [(flat[spread(start[at], length[at])], length[at])] if again else []
+        parts += [self.learn(fresh)] if fresh else []
+        words = [*(w for w, _ in again), *fresh]
+        flat, length = (np.concatenate(x) for x in zip(*parts))
         self.codes.update(zip(words, range(len(self.start), len(self.start) + len(words))))
         self.start = np.concatenate([self.start, self.used + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
@@ -219,7 +234,7 @@ class Pool:
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.codes) > KEPT:
-            self.forget()
+            self.renew()
         split = [self.split(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         words = list(chain.from_iterable(split))
@@ -268,17 +283,38 @@ class Pool:
 
 
 def library_pool(path: str) -> Pool:
-    """A pool whose words the tokenizers library encodes, each distinct one once."""
+    """A pool whose words the tokenizers library encodes, each distinct one once.
+
+    Words that are a space and letters go to it many at a time, end to end: it cuts them
+    apart again where each begins. Where it counts other words than were given (letters of
+    another Unicode version), and all other words, it gets one by one.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     library = Tokenizer.from_file(path)
     library.no_truncation()
     library.no_padding()
 
-    def learn(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def one_by_one(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
 
+    def learn(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((w[0] == " " and w[1:].isalpha() for w in words), bool, len(words))
+        where = np.flatnonzero(plain)
+        places, parts = [np.flatnonzero(~plain)], [one_by_one([w for w, p in zip(words, plain) if not p])]
+        for k in range(0, len(where), TOGETHER):
+            at = where[k : k + TOGETHER]
+            own = [words[i] for i in at.tolist()]
+            found = library.encode("".join(own), add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(own))
+            places.append(at)
+            parts.append((np.array(found.ids, np.int32), sizes) if len(sizes) == len(own) else one_by_one(own))
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        # back to the order of the words
+        order = np.argsort(np.concatenate(places))
+        return flat[spread((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
+
     return Pool(learn, {t.content: i for i, t in library.get_added_tokens_decoder().items()})
 
 

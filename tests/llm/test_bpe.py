@@ -37,8 +37,10 @@ def test_same_ids_as_the_library(spark):
 def test_letters_of_later_unicode_versions():
     own, lib = bpe.Bpe(PATH), Tokenizer.from_file(PATH)
     odd = ["a" + c + "1" + c + "!" + c for c in map(chr, [0x558, 0x1C89, 0xA7CB, 0xA7CE, 0x105C0, 0x10940, 0x18F48, 0x1E849, 0x2B32A, 0x378, 0x10FFFF])]
-    ids, counts = own.encode_batch(odd)
-    assert ids.tolist() == [i for t in odd for i in lib.encode(t, add_special_tokens=False).ids] and len(counts) == len(odd)
+    odd += [" " + c + "b " + c + c + " word" for c in map(chr, [0x558, 0x1C89, 0xA7CB, 0x105C0, 0x1E849, 0x2B32A, 0x378, 0xAA, 0x2160, 0x300])]
+    for pool in (own, bpe.library_pool(PATH)):
+        ids, counts = pool.encode_batch(odd)
+        assert ids.tolist() == [i for t in odd for i in lib.encode(t, add_special_tokens=False).ids] and len(counts) == len(odd)
 
 
 def test_forgetting_changes_nothing():
