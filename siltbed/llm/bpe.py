@@ -39,8 +39,8 @@ from siltbed.llm.common import without
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 200_000
-SLICE_CHARS, SLICE_ROWS = 1 << 21, 1024
+KEPT = 100_000
+SLICE_CHARS, SLICE_ROWS = 1 << 20, 512
 LONGEST_KEPT, TOGETHER = 64, 512
 NO_RANK = np.iinfo(np.int32).max
 
@@ -56,7 +56,9 @@ def byte_letters() -> list[str]:
 def spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The positions of runs of these lengths from these starts, end to end."""
     ends = np.cumsum(length)
-    return np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+    out = np.repeat((start - (ends - length)).astype(start.dtype), length)
+    out += np.arange(len(out), dtype=start.dtype)
+    return out
 
 
 class Bpe:
@@ -82,7 +84,7 @@ class Bpe:
         self.token_bytes |= {i: t.encode() for t, i in added.items()}
         tokens = [self.token_bytes.get(i, b"") for i in range(1 + max(self.token_bytes))]
         self.token_length = np.array([*map(len, tokens), 0], np.int64)
-        self.token_start = np.cumsum(self.token_length) - self.token_length
+        self.token_start = (np.cumsum(self.token_length) - self.token_length).astype(np.int32)
         self.token_flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.pool = Pool(self.merge, added)
 
@@ -138,22 +140,23 @@ class Bpe:
     def decode_batch(self, lists: pa.ListArray) -> pa.Array:
         """The text of each row's ids; of a null row the empty one."""
         counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
         none = len(self.token_length) - 1
         ids = np.where((ids >= 0) & (ids < none), ids, none)
         length = self.token_length[ids]
-        flat = self.token_flat[spread(self.token_start[ids], length)]
+        start = self.token_start[ids]
+        flat = self.token_flat[spread(start if length.sum() < 1 << 31 else start.astype(np.int64), length)]
         ends = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum(counts)]]
-        data = flat.tobytes()
+        data = memoryview(flat)
         if len(data) < 1 << 31 and valid(data, flat, ends):
-            return pa.StringArray.from_buffers(len(counts), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
-        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
+            return pa.StringArray.from_buffers(len(counts), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat))
+        return pa.array([str(data[a:b], "utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
 
 
-def valid(data: bytes, flat: np.ndarray, ends: np.ndarray) -> bool:
+def valid(data: memoryview, flat: np.ndarray, ends: np.ndarray) -> bool:
     """Whether each stretch between ends is UTF-8: all of it is, and no character lies across an end."""
     try:
-        data.decode("utf-8")
+        str(data, "utf-8")
     except UnicodeDecodeError:
         return False
     inner = ends[ends < len(flat)]
@@ -351,6 +354,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, decoding: bool = False
                     columns.append(bpe.decode_batch(lists))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:

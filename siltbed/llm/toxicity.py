@@ -43,7 +43,7 @@ WORD = re.compile(r"\w+")
 THRESHOLD = 0.7
 MOST_TOXIC, MOST_CLEAN, MOST_FEATURES = 1200, 2400, 4000
 FALSE_SHARE = 0.01
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 SLICE_CHARS = 1 << 20
 STEPS = 40
 
