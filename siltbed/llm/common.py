@@ -91,7 +91,9 @@ def looked_up(rows: DataFrame, lookup: DataFrame, key: str, count: str, spread:
     hot = F.col(count) * HOT_SHARE > F.lit(total)
     packed = F.struct(*values)
     known = F.broadcast(lookup.where(hot).select(F.col(key).alias("__key"), packed.alias("__hot")))
-    rest = lookup.where(~hot).select(F.col(key).alias("__key"), F.lit(0).cast("long").alias("__salt"), packed.alias("__cold"))
+    # 0 in all rows, but no literal: the optimizer would take that out of the join's keys
+    zero = F.pmod(F.xxhash64(F.col(key)), F.lit(1)).cast("long")
+    rest = lookup.where(~hot).select(F.col(key).alias("__key"), zero.alias("__salt"), packed.alias("__cold"))
     dealt = rows.join(known, F.col(key) == F.col("__key"), "left").drop("__key")
     dealt = dealt.withColumn("__salt", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.xxhash64(spread)).cast("long"))
     found = dealt.withColumnRenamed(key, "__key").join(rest, ["__key", "__salt"], "left")
