@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltbed.operators import ordered
 from siltbed.operators.dedup import top_per_key
 
 
@@ -45,11 +46,25 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str], opera
     return kept.unionByName(last.where(F.col(operation) != "DELETE").select(*target.columns))
 
 
-def as_of_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, since: str, until: str) -> DataFrame:
-    """Each fact with the version of its key that is valid at its time; facts without one stay."""
-    v = versions.select(*[F.col(k).alias(f"_v_{k}") for k in keys], *[F.col(c) for c in versions.columns if c not in keys])
-    cond = [F.col(k) == F.col(f"_v_{k}") for k in keys] + [F.col(at) >= F.col(since), F.col(until).isNull() | (F.col(at) < F.col(until))]
-    return facts.join(v, cond, "left").drop(*[f"_v_{k}" for k in keys])
+def as_of_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, since: str, until: str, least: int = ordered.LEAST) -> DataFrame:
+    """Each fact with the version of its key that is valid at its time; facts without one stay.
+
+    Versions of a key do not overlap. Facts and versions are sorted together and the last
+    version is carried forward, so a fact meets one version, however many its key has;
+    keys with very many rows are cut by time. NULL keys and times match nothing.
+    """
+    kept = [c for c in versions.columns if c not in keys]
+    f = facts.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col(f"`{at}`").alias("_at"), F.struct(*facts.columns).alias("_fact"), F.lit(None).alias("_version"))
+    v = versions.where(F.col(since).isNotNull()).select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col(f"`{since}`").alias("_at"), F.lit(None).alias("_fact"), F.struct(*kept).alias("_version"))
+    own = [f"_k{i}" for i in range(len(keys))]
+    # versions come before the facts of their instant; of versions of one instant an empty one first
+    rows = f.unionByName(v).withColumns({"_is_fact": F.col("_fact").isNotNull(), "_end": F.coalesce(F.col(f"_version.`{until}`") > F.col("_at"), F.lit(True))})
+    found = ordered.filled(rows, own, ["_at", "_is_fact", "_end"], "_version", "_found", ordered.cuts(rows, own, ["_at"], least)).where("_is_fact")
+    end, no = F.col(f"_found.`{until}`"), F.lit(False)
+    for k in own:
+        no = no | F.col(k).isNull()
+    valid = ~no & F.col("_at").isNotNull() & (end.isNull() | (F.col("_at") < end))
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_found.`{c}`")).alias(c) for c in kept])
 
 
 def surrogate_key(*columns: str) -> Column:

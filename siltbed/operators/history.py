@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltbed.operators import ordered
+from siltbed.operators.ordered import Cuts
+
 HASH, FROM, TO, CURRENT, UPDATED = "bronze_record_hash", "bronze_valid_from", "bronze_valid_to", "bronze_is_current", "bronze_updated_datetime"
 
 
@@ -28,18 +31,19 @@ def candidates(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return out.alias("b").join(known.alias("k"), [*same, *again], "left_anti").drop("_since")
 
 
-def collapse(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = HASH, seed: str | None = None) -> DataFrame:
-    """Rows whose value differs from that of the row before; the seed comes before the first."""
-    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
-    if seed:
-        before = F.coalesce(before, F.col(seed))
-    return df.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != F.col(value))).drop("_before")
+def collapse(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = HASH, seed: str | None = None, known: Cuts | None = None) -> DataFrame:
+    """Rows whose value differs from that of the row before; the seed comes before the first.
+
+    known: the cuts of hot keys, if the caller has them."""
+    rows = ordered.before(df, keys, order, {"_before": value}, known)
+    last = F.coalesce("_before", seed) if seed else F.col("_before")
+    return rows.where(last.isNull() | (last != F.col(value))).drop("_before")
 
 
-def intervals(df: DataFrame, keys: Sequence[str], order: Sequence[str], since: str = FROM, until: str = TO, current: str = CURRENT) -> DataFrame:
+def intervals(df: DataFrame, keys: Sequence[str], order: Sequence[str], since: str = FROM, until: str = TO, current: str = CURRENT, known: Cuts | None = None) -> DataFrame:
     """Each row is valid until the next one begins; the last is current."""
-    following = F.lead(since).over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(until, following).withColumn(current, F.col(until).isNull())
+    rows = ordered.after(df.drop(until, current), keys, order, {until: since}, known)
+    return rows.withColumn(current, F.col(until).isNull())
 
 
 def versions(batch: DataFrame, target: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ()) -> DataFrame:
