@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from siltbed.functions.canonical import quoted
 
+KINDS = ("HASH", "MASK", "REDACT", "TOKENIZE", "NULLIFY", "CUSTOM")
+
 
 @dataclass(frozen=True)
 class MaskRule:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siltbed.functions.messages import error_code, is_retryable, scrubbed
 from siltbed.operators.dedup import top_per_key
+from siltbed.operators.ordered import listed, pieces
 
 SUCCEEDED, FAILED, CANCELLED, PARTIAL = "SUCCEEDED", "FAILED", "CANCELLED", "PARTIAL_SUCCESS"
 #: The activities that write a target.
@@ -131,8 +132,24 @@ def load_performance(entity_runs: DataFrame, activities: DataFrame, run: str) ->
 def summary_json(entity_runs: DataFrame, run: str, entity: str, status: str) -> DataFrame:
     """Each run's counts and its entities, sorted, as JSON.
 
-    The list is a run's own entities: it is what the caller asks for.
+    The list is a run's own entities, what the caller asks for: an error beyond ordered.LISTED rows,
+    where summary_pieces() goes on.
     """
-    detail = F.sort_array(F.collect_list(F.struct(F.col(entity).alias("entity_id"), F.col(status).alias("status"))))
-    out = entity_runs.groupBy(run).agg(F.count_if(F.col(status) == SUCCEEDED).alias("succeeded"), F.count_if(F.col(status) == FAILED).alias("failed"), detail.alias("entities"))
-    return out.select(run, F.to_json(F.struct("succeeded", "failed", "entities")).alias("summary"))
+    rows = entity_runs.select(run, F.col(entity).alias("entity_id"), F.col(status).alias("status"))
+    detail = listed(rows, [run], ["entity_id", "status"], ["entity_id", "status"])
+    out = _run_counts(rows, run).join(detail, F.col(run).eqNullSafe(F.col("_run")))
+    return out.select(run, F.to_json(F.struct("succeeded", "failed", F.col("rows").alias("entities"))).alias("summary"))
+
+
+def _run_counts(rows: DataFrame, run: str) -> DataFrame:
+    return rows.groupBy(F.col(run).alias("_run")).agg(F.count_if(F.col("status") == SUCCEEDED).alias("succeeded"), F.count_if(F.col("status") == FAILED).alias("failed"))
+
+
+def summary_pieces(entity_runs: DataFrame, run: str, entity: str, status: str, most: int = 1000) -> DataFrame:
+    """Each run's summary as JSON in pieces of `most` entities at most: piece 0 has the run's counts, too."""
+    rows = entity_runs.select(run, F.col(entity).alias("entity_id"), F.col(status).alias("status"))
+    parts = pieces(rows, [run], ["entity_id", "status"], ["entity_id", "status"], most)
+    out = parts.join(_run_counts(rows, run), F.col(run).eqNullSafe(F.col("_run")))
+    first = F.col("piece") == 0
+    counted = F.struct(F.when(first, F.col("succeeded")).alias("succeeded"), F.when(first, F.col("failed")).alias("failed"), F.col("rows").alias("entities"))
+    return out.select(run, "piece", F.to_json(counted).alias("summary"))

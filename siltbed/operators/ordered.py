@@ -134,12 +134,29 @@ def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
     return rows.select(*s.columns, F.coalesce(out, "_carried").alias(out))
 
 
-def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], most: int = 1000, known: Cuts | None = None, least: int = LEAST) -> DataFrame:
+def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], most: int = 1000, known: Cuts | None = None, least: int = LEAST, limit: int | None = None) -> DataFrame:
     """Each key's values in order, `most` rows at most in a piece: keys, piece (from 0), rows (an array of structs of values).
 
-    A piece, not a key, is what one task gathers.
+    A piece, not a key, is what one task gathers. limit: a key with more rows than that is an error.
     """
     rows = numbered(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, "_at", known, least)
+    if limit is not None:
+        said = F.concat(F.lit(f"a list of more than {limit} rows: "), F.to_json(F.struct(*keys)))
+        rows = rows.withColumn("_at", F.when(F.col("_at") > limit, F.raise_error(said).cast("long")).otherwise(F.col("_at")))
     piece = F.floor((F.col("_at") - 1) / most).cast("long").alias("piece")
     inside = F.sort_array(F.collect_list(F.struct("_at", F.struct(*values).alias("v"))))
     return rows.groupBy(*keys, piece).agg(F.transform(inside, lambda x: x["v"]).alias("rows"))
+
+
+#: Rows of a list that is one value.
+LISTED = 1_000_000
+
+
+def listed(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], limit: int = LISTED) -> DataFrame:
+    """Each key's values in order as one array, `rows`: for keys whose lists are a value's size.
+
+    The pieces of a list are put together; a key of more than `limit` rows is an error before that: use pieces().
+    """
+    parts = pieces(df, keys, order, values, limit=limit)
+    inside = F.sort_array(F.collect_list(F.struct("piece", "rows")))
+    return parts.groupBy(*keys).agg(F.flatten(F.transform(inside, lambda x: x["rows"])).alias("rows"))

@@ -13,6 +13,7 @@ from siltbed.operators.dedup import surplus
 from siltbed.operators.shape import ColumnSpec, missing_columns
 
 PK_NULL, DUPLICATE, MANDATORY, MISSING, TYPE, MARK, ROW_COUNT, CUSTOM, UNIQUE, LOOKUP = "PRIMARY_KEY_NULL", "DUPLICATE_PRIMARY_KEY", "MANDATORY_COLUMN_NULL", "COLUMN_MISSING", "DATA_TYPE_MISMATCH", "WATERMARK_INVALID", "ROW_COUNT_ANOMALY", "CUSTOM", "UNIQUE", "LOOKUP"
+STAGING = "STAGING_INTEGRITY"
 PRE, POST, BOTH = "PRE", "POST", "BOTH"
 #: Column of rows typed beforehand: the target columns that could not be converted.
 TYPE_FAILED = "_type_failed"
@@ -124,6 +125,14 @@ def staging_integrity(staged: DataFrame, run_id: str, expected: int, run_column:
     return out.withColumn("is_consistent", (F.col("total_rows") == F.col("run_rows")) & (F.col("run_rows") == expected))
 
 
+def integrity_row(staged: DataFrame, run_id: str, expected: int, run_column: str = "_staging_run_id") -> DataFrame:
+    """staging_integrity() as a row of a report: how many rows are of another run, lacking or too many; any of them is a failure."""
+    found = staging_integrity(staged, run_id, expected, run_column)
+    off = F.col("total_rows") - F.col("run_rows") + F.abs(F.col("run_rows") - F.lit(expected))
+    state = F.when(F.col("is_consistent"), "PASSED").otherwise("FAILED")
+    return found.select(F.lit("staging_integrity").alias("rule_name"), F.lit(STAGING).alias("rule_type"), state.alias("status"), off.cast("long").alias("failed_row_count"))
+
+
 def status(failed: Column, action: Column) -> Column:
     return F.when(failed == 0, "PASSED").when(action == FAIL, "FAILED").when(action == WARN, "WARNING").otherwise("IGNORED")
 

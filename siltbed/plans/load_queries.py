@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import functions as F
 
@@ -187,6 +187,45 @@ def load_post_rules(spark, d):
     return _loads(spark, d, ORDER_SPEC).post
 
 
+@query("load_metrics", _B + ", n AS (SELECT (SELECT count(*) FROM two) AS r, (SELECT count(*) FROM two WHERE m >= 8) AS i, (SELECT count(*) FROM two WHERE m = 6) AS u, (SELECT count(*) FROM two WHERE m IN (5, 7)) AS s, (SELECT count(*) FROM one WHERE m < 5) AS d) SELECT x.* FROM n, LATERAL (VALUES ('MERGE', r, 0, i, u, 0, s), ('SOFT DELETE', r, 0, i, u, d, s), ('NONE', r, 0, i, u + s, 0, 0), ('APPEND', r, 0, r, 0, 0, 0), ('REPLACE', r, 0, r, 0, 0, 0), ('HISTORY', r, 0, i + u, u, 0, s)) x(strategy, read, rejected, inserted, updated, deleted, unchanged)")
+def load_metrics(spark, d):
+    """What the second load did, by strategy, as its write observed it."""
+    entities = {"MERGE": ORDER_SPEC, "SOFT DELETE": replace(ORDER_SPEC, full_load=True, soft_delete=True), "NONE": replace(ORDER_SPEC, change_detection="NONE"), "APPEND": replace(ORDER_SPEC, merging=False), "REPLACE": replace(ORDER_SPEC, merging=False, full_load=True), "HISTORY": replace(ORDER_SPEC, history=True, rules=[])}
+    rows = [(name, *asdict(_loads(spark, d, entity).metrics).values()) for name, entity in entities.items()]
+    return spark.createDataFrame(rows, "strategy string, read long, rejected long, inserted long, updated long, deleted long, unchanged long")
+
+
+@query("load_change_detection_none", _B + _MERGED.replace("STATUS", "'ACTIVE'").replace("GONE", "two.o_orderkey IS NOT NULL"))
+def load_change_detection_none(spark, d):
+    """Without change detection every matched row is updated."""
+    return _loads(spark, d, replace(ORDER_SPEC, change_detection="NONE")).target.select(*_SHOWN)
+
+
+@query("load_staging_integrity", _B + "SELECT 'staging_integrity' AS rule_name, 'STAGING_INTEGRITY' AS rule_type, 'PASSED' AS status, CAST(0 AS BIGINT) AS failed_row_count UNION ALL SELECT 'staging_integrity', 'STAGING_INTEGRITY', 'FAILED', 1")
+def load_staging_integrity(spark, d):
+    """The staged rows of a load are those that were written; and they are one fewer than an extract said."""
+    good = _loads(spark, d, replace(ORDER_SPEC, merging=False)).report
+    o = Tables(spark, d).orders
+    raw = o.select(*[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")])
+    marks = spark.createDataFrame([], "entity long, mark string")
+    bad = job.load(replace(ORDER_SPEC, merging=False), raw, _scratch(spark, "loads"), marks, "run-1", "run-1-E7", NOW, expected_rows=o.count() + 1).report
+    return good.union(bad).where("rule_type = 'STAGING_INTEGRITY'")
+
+
+@query("control_mask_problems", "SELECT o_custkey AS entity_id, 'column ' || o_orderpriority || ' names unknown mask rule ' || CAST(o_orderkey % 3000 AS VARCHAR) AS problem FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3000 NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)")
+def control_mask_problems(spark, d):
+    t = Tables(spark, d)
+    columns = t.orders.select(F.col("o_custkey").alias("entity_id"), F.col("o_orderpriority").alias("target"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 3000).alias("mask_id"))
+    return spec.mask_problems(columns, t.part.select(F.col("p_partkey").alias("mask_id"), (F.col("p_size") > 10).alias("is_active")))
+
+
+@query("control_method_problems", "WITH e AS (SELECT c_custkey AS entity_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'NONE' WHEN 'MACHINERY' THEN 'OTHER' ELSE 'HASH' END AS m, c_nationkey < 5 AS h FROM customer) SELECT entity_id, 'unknown change detection' AS problem FROM e WHERE m = 'OTHER' UNION ALL SELECT entity_id, 'HISTORY needs change detection HASH' FROM e WHERE h AND m <> 'HASH'")
+def control_method_problems(spark, d):
+    method = F.when(F.col("c_mktsegment") == "BUILDING", "NONE").when(F.col("c_mktsegment") == "MACHINERY", "OTHER").otherwise("HASH")
+    e = Tables(spark, d).customer.select(F.col("c_custkey").alias("entity_id"), method.alias("change_detection"), (F.col("c_nationkey") < 5).alias("has_history"))
+    return spec.method_problems(e)
+
+
 # ---- audit and dimensions ---------------------------------------------------------
 
 

@@ -295,9 +295,9 @@ def vw_repeated_failures(spark, d):
     return audit.repeated_failures(_audit(Tables(spark, d)).where("status = 'FAILED'"), ["entity_id"], "ts", _asof())
 
 
-@query("vw_landing_files", _FILES + "SELECT g.container, g.path, g.status, g.at AS at, g.status IN ('CREATED', 'FAILED') AS is_replayable FROM g")
+@query("vw_landing_files", _E + ", g AS (SELECT nullif(entity_id, 3) AS container, run_id AS path, arg_max(status, ts) AS status, max(ts) AS at FROM e GROUP BY ALL) SELECT g.container, g.path, g.status, g.at AS at, g.status IN ('CREATED', 'FAILED') AS is_replayable FROM g")
 def vw_landing_files(spark, d):
-    e = _audit(Tables(spark, d)).where("ts >= timestamp_ntz'2024-01-10'").groupBy(F.expr("nullif(entity_id, 3L)").alias("container"), F.col("run_id").alias("path")).agg(F.max_by("status", "ts").alias("status"), F.max("ts").alias("at"))
+    e = _audit(Tables(spark, d)).groupBy(F.expr("nullif(entity_id, 3L)").alias("container"), F.col("run_id").alias("path")).agg(F.max_by("status", "ts").alias("status"), F.max("ts").alias("at"))
     return e.withColumn("is_replayable", F.col("status").isin("CREATED", "FAILED"))
 
 
@@ -445,3 +445,30 @@ def landing_stream(spark, d):
         stream = streams.landing_stream(spark, f"{root}/in/*", ["event_id", "event_type"])
         streams.load_available(stream, f"{root}/checkpoint", load).awaitTermination()
     return spark.read.parquet(path).select("event_id", "event_type", F.col("bronze_entity_run_id").cast("string"))
+
+
+@query("landing_stream_load", "SELECT event_id, event_type, CASE WHEN event_id % 6 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts, CASE WHEN event_id % 6 = 0 OR event_id % 2 = 1 THEN 'batch-00000001' ELSE 'batch-00000000' END AS bronze_run_id FROM (SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'again' ELSE event_type END AS event_type, ts FROM events)")
+def landing_stream_load(spark, d):
+    """Two landing files, one micro-batch each, both through a whole load: staging, rules, merge, mark."""
+    root = _scratch(spark, "stream")
+    e = Tables(spark, d).events.select("event_id", "event_type", "ts")
+    text = lambda df: df.select(F.col("event_id").cast("string").alias("event_id"), "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    again = e.where("event_id % 6 = 0").withColumns({"event_type": F.lit("again"), "ts": F.col("ts") + F.make_dt_interval(F.lit(1))})
+    for n, rows in enumerate((e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1").union(again))):
+        text(rows).write.json(f"{root}/in/part={n}")
+        stream = streams.landing_stream(spark, f"{root}/in/*", ["event_id", "event_type", "ts"])
+        streams.load_stream(EVENT_SPEC, stream, f"{root}/load", f"{root}/checkpoint", lambda run: NOW).awaitTermination()
+    return job.current_target(EVENT_SPEC, spark, f"{root}/load/target").select("event_id", "event_type", "ts", "bronze_run_id")
+
+
+EVENT_SPEC = spec.EntitySpec(
+    3, "app", "events",
+    [ColumnSpec("event_id", "event_id", "bigint", key=True), ColumnSpec("event_type", "event_type", "string"), ColumnSpec("ts", "ts", "timestamp_ntz", mark=True, hashed=False)],
+    mark_type="DATETIME",
+)
+
+
+@query("run_summary_pieces", _E + ", r AS (SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY entity_id, status) - 1) // 50 AS piece FROM e), c AS (SELECT run_id, count(*) FILTER (status = 'SUCCEEDED') AS s, count(*) FILTER (status = 'FAILED') AS f FROM e GROUP BY 1) SELECT run_id, CAST(piece AS BIGINT) AS piece, '{' || CASE WHEN piece = 0 THEN '\"succeeded\":' || any_value(s) || ',\"failed\":' || any_value(f) || ',' ELSE '' END || '\"entities\":[' || string_agg('{\"entity_id\":' || entity_id || ',\"status\":\"' || status || '\"}', ',' ORDER BY entity_id, status) || ']}' AS summary FROM r JOIN c USING (run_id) GROUP BY run_id, piece")
+def run_summary_pieces(spark, d):
+    """Summaries of runs of any number of entities, in pieces of 50."""
+    return audit.summary_pieces(_audit(Tables(spark, d)), "run_id", "entity_id", "status", 50)

@@ -137,6 +137,40 @@ def incremental_extract_string(spark, d):
     return landing.extract(Tables(spark, d).orders, ["o_orderkey", "o_orderpriority"], "o_orderpriority", "3")
 
 
+#: Statements of the metadata's own, as they stand there, and the same in SQL with the literal.
+_OVERRIDE = "SELECT o_orderkey, {0} AS mark FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey WHERE {0} > {{watermark}} AND c_acctbal > 0"
+_OVERRIDE_SQL = "SELECT o_orderkey, {0} AS mark FROM orders JOIN customer ON o_custkey = c_custkey WHERE {0} > {1} AND c_acctbal > 0"
+
+
+def _override(spark, d, column, kind, mark):
+    t = Tables(spark, d)
+    return landing.extract_override(spark, _OVERRIDE.format(column), kind, mark, orders=t.orders, customer=t.customer)
+
+
+@query("incremental_extract_override_datetime", _OVERRIDE_SQL.format("o_orderdate", "TIMESTAMP '1998-01-01'"))
+def incremental_extract_override_datetime(spark, d):
+    return _override(spark, d, "o_orderdate", marks.DATETIME, "1998-01-01 00:00:00.000000")
+
+
+@query("incremental_extract_override_numeric", _OVERRIDE_SQL.format("o_orderkey", "7500"))
+def incremental_extract_override_numeric(spark, d):
+    return _override(spark, d, "o_orderkey", marks.NUMERIC, "7500")
+
+
+@query("incremental_extract_override_string", _OVERRIDE_SQL.format("o_orderpriority", "'3'"))
+def incremental_extract_override_string(spark, d):
+    return _override(spark, d, "o_orderpriority", marks.STRING, "3")
+
+
+@query("incremental_extract_override_floor", " UNION ALL ".join("SELECT o_orderkey, CAST({0} AS VARCHAR) AS mark FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0".format(c) for c in ("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderkey", "o_orderpriority")))
+def incremental_extract_override_floor(spark, d):
+    """Without a mark the floor of each kind is bound: all rows."""
+    text = {"o_orderdate": F.date_format("mark", "yyyy-MM-dd HH:mm:ss"), "o_orderkey": F.col("mark").cast("string"), "o_orderpriority": F.col("mark")}
+    kinds = {"o_orderdate": marks.DATETIME, "o_orderkey": marks.NUMERIC, "o_orderpriority": marks.STRING}
+    one, two, three = (_override(spark, d, c, k, None).select("o_orderkey", text[c].alias("mark")) for c, k in kinds.items())
+    return one.union(two).union(three)
+
+
 @query("backfill_extract", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'")
 def backfill_extract(spark, d):
     return landing.extract(Tables(spark, d).orders, ["o_orderkey", "o_orderdate"], "o_orderdate", "2000-01-01 00:00:00", inclusive=True)
@@ -226,6 +260,12 @@ def ordered_list_agg(spark, d):
     return spec.ordered_list(Tables(spark, d).part, ["p_brand"], ["p_size", "p_partkey"], "p_name")
 
 
+@query("ordered_list_pieces", "SELECT p_brand, CAST(piece AS BIGINT) AS piece, string_agg(p_name, ', ' ORDER BY p_size, p_partkey) AS listed FROM (SELECT *, (row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) - 1) // 20 AS piece FROM part) GROUP BY ALL")
+def ordered_list_pieces(spark, d):
+    """Lists of any length, in pieces of 20."""
+    return spec.ordered_pieces(Tables(spark, d).part, ["p_brand"], ["p_size", "p_partkey"], "p_name", most=20)
+
+
 @query("work_items", "SELECT o_orderkey AS entity_id, c_nationkey AS priority FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0 AND o_orderstatus = 'P'")
 def work_items(spark, d):
     t = Tables(spark, d)
@@ -433,10 +473,12 @@ def watermark_format(spark, d):
     return e.select("event_id", text.alias("time_mark"), marks.mark_text(F.col("event_id") * 10, marks.NUMERIC).alias("number_mark"), marks.parsed_mark(F.replace(text, F.lit(" "), F.lit("T")), marks.DATETIME).alias("parsed"))
 
 
-@query("watermark_commit", "WITH s AS (SELECT user_id AS entity, CAST(max(event_id) AS VARCHAR) AS mark FROM events WHERE user_id % 5 <> 0 GROUP BY 1), p AS (SELECT user_id AS entity, CAST(max(event_id) - (user_id % 2) AS VARCHAR) AS expected, CASE WHEN user_id % 3 <> 0 THEN CAST(max(event_id) + 1 AS VARCHAR) END AS proposed FROM events WHERE user_id % 7 <> 0 GROUP BY user_id), j AS (SELECT coalesce(p.entity, s.entity) AS entity, p.entity AS pe, s.entity AS se, expected, proposed, mark FROM p FULL JOIN s ON p.entity = s.entity), o AS (SELECT *, CASE WHEN pe IS NULL THEN 'untouched' WHEN se IS NULL THEN 'inserted' WHEN proposed IS NULL OR proposed = mark THEN 'noop' WHEN mark = expected THEN 'committed' ELSE 'conflict' END AS outcome FROM j) SELECT entity, CASE WHEN outcome IN ('inserted', 'committed') THEN proposed ELSE mark END AS mark, outcome FROM o")
+@query("watermark_commit", "WITH s AS (SELECT user_id AS entity, CAST(max(event_id) AS VARCHAR) AS mark FROM events WHERE event_type <> 'purchase' GROUP BY 1), p AS (SELECT user_id AS entity, CAST(max(event_id) FILTER (event_type <> 'purchase') AS VARCHAR) AS expected, CASE WHEN user_id % 3 <> 0 THEN CAST(max(event_id) + user_id % 2 AS VARCHAR) END AS proposed FROM events WHERE event_type <> 'error' GROUP BY user_id), j AS (SELECT coalesce(p.entity, s.entity) AS entity, p.entity AS pe, s.entity AS se, expected, proposed, mark FROM p FULL JOIN s ON p.entity = s.entity), o AS (SELECT *, CASE WHEN pe IS NULL THEN 'untouched' WHEN se IS NULL THEN 'inserted' WHEN proposed IS NULL OR proposed = mark THEN 'noop' WHEN mark = expected THEN 'committed' ELSE 'conflict' END AS outcome FROM j) SELECT entity, CASE WHEN outcome IN ('inserted', 'committed') THEN proposed ELSE mark END AS mark, outcome FROM o")
 def watermark_commit(spark, d):
+    """Marks of users by their events but purchases; proposals by all but errors, which saw a later or an older mark or none."""
     e = Tables(spark, d).events
-    s = e.where("user_id % 5 <> 0").groupBy(F.col("user_id").alias("entity")).agg(F.max("event_id").cast("string").alias("mark"))
-    p = e.where("user_id % 7 <> 0").groupBy(F.col("user_id").alias("entity")).agg(F.max("event_id").alias("m"))
-    p = p.select("entity", (F.col("m") - F.col("entity") % 2).cast("string").alias("expected"), F.when(F.col("entity") % 3 != 0, (F.col("m") + 1).cast("string")).alias("proposed"))
+    bought = F.col("event_type") == "purchase"
+    s = e.where(~bought).groupBy(F.col("user_id").alias("entity")).agg(F.max("event_id").cast("string").alias("mark"))
+    p = e.where("event_type <> 'error'").groupBy(F.col("user_id").alias("entity")).agg(F.max("event_id").alias("m"), F.max(F.when(~bought, F.col("event_id"))).alias("old"))
+    p = p.select("entity", F.col("old").cast("string").alias("expected"), F.when(F.col("entity") % 3 != 0, (F.col("m") + F.col("entity") % 2).cast("string")).alias("proposed"))
     return state.commit(s, p)

@@ -9,11 +9,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions.masking import MaskRule
+from siltbed.functions.masking import KINDS, MaskRule
+from siltbed.operators.ordered import LISTED, listed, pieces
 from siltbed.operators.rules import Rule
 from siltbed.operators.shape import ColumnSpec
 
 HISTORY, MERGE, REPLACE, APPEND = "HISTORY", "MERGE", "REPLACE", "APPEND"
+DETECT_HASH, DETECT_NONE = "HASH", "NONE"
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,16 @@ class EntitySpec:
     sequence: Sequence[str] = ()
     rules: Sequence[Rule] = ()
     masks: Mapping[str, MaskRule] = field(default_factory=dict)
+    #: columns masked by a rule of the catalogue, by its name
+    mask_names: Mapping[str, str] = field(default_factory=dict)
+    catalogue: Mapping[str, MaskRule] = field(default_factory=dict)
+    #: HASH: matched rows are updated where the record's hash differs; NONE: always
+    change_detection: str = "HASH"
+
+    @property
+    def all_masks(self) -> dict[str, MaskRule]:
+        """Masks by column: those named in the catalogue, and the entity's own, which come first."""
+        return {c: self.catalogue[n] for c, n in self.mask_names.items() if n in self.catalogue} | dict(self.masks)
 
     @property
     def strategy(self) -> str:
@@ -71,7 +83,13 @@ class EntitySpec:
         if self.mark and self.mark_type not in ("DATETIME", "NUMERIC", "STRING"):
             out.append(f"unknown mark type {self.mark_type!r}")
         out += [f"rule {r.name} is on unknown column {r.column}" for r in self.rules if r.column and r.column.lower() not in names]
-        out += [f"a mask is on unknown column {c}" for c in self.masks if c.lower() not in names]
+        if self.change_detection not in (DETECT_HASH, DETECT_NONE):
+            out.append(f"unknown change detection {self.change_detection!r}")
+        if self.history and self.change_detection == DETECT_NONE:
+            out.append("HISTORY needs change detection HASH")
+        out += [f"a mask is on unknown column {c}" for c in (*self.masks, *self.mask_names) if c.lower() not in names]
+        out += [f"column {c} names unknown mask rule {n}" for c, n in self.mask_names.items() if n not in self.catalogue]
+        out += [f"column {c} has a mask of unknown type {m.rule_type!r}" for c, m in self.all_masks.items() if m.rule_type.upper() not in KINDS]
         out += [f"rule {r.name} has no expression" for r in self.rules if r.type == "CUSTOM" and not r.expression]
         out += [f"rule {r.name} is on unknown column {c}" for r in self.rules if r.type == "UNIQUE" for c in r.columns if c.lower() not in names]
         out += [f"unknown stage {r.stage!r} of rule {r.name}" for r in self.rules if r.stage not in ("PRE", "POST", "BOTH")]
@@ -88,6 +106,21 @@ def set_problems(specs: Sequence[EntitySpec]) -> list[str]:
     return out
 
 
+def mask_problems(columns: DataFrame, masks: DataFrame, entity: str = "entity_id", mask: str = "mask_id", active: str = "is_active") -> DataFrame:
+    """(entity, problem) of columns (with target and mask) that name a mask rule which is not there or not active."""
+    known = masks.where(F.col(active)).select(F.col(mask).alias("_mask")).distinct()
+    lost = columns.where(F.col(mask).isNotNull()).join(known, F.col(mask) == F.col("_mask"), "left_anti")
+    return lost.select(entity, F.concat(F.lit("column "), "target", F.lit(" names unknown mask rule "), F.col(mask).cast("string")).alias("problem"))
+
+
+def method_problems(entities: DataFrame, entity: str = "entity_id", method: str = "change_detection", history: str = "has_history") -> DataFrame:
+    """(entity, problem) of entities with an unknown change detection, or versioned without HASH."""
+    own = F.coalesce(F.col(method), F.lit(""))
+    unknown = F.when(~own.isin(DETECT_HASH, DETECT_NONE), F.lit("unknown change detection"))
+    versioned = F.when(F.col(history) & (own != DETECT_HASH), F.lit("HISTORY needs change detection HASH"))
+    return entities.select(entity, F.explode(F.array_compact(F.array(unknown, versioned))).alias("problem"))
+
+
 def control_problems(entities: DataFrame, columns: DataFrame, entity: str = "entity_id") -> DataFrame:
     """(entity, problem) over control tables of any size: entities (with load_type, has_history, is_merged)
     without columns, merged or versioned without a key, incremental without a mark, with an unknown load
@@ -110,17 +143,23 @@ def control_problems(entities: DataFrame, columns: DataFrame, entity: str = "ent
     return both.select(entity, F.explode(problems).alias("problem"))
 
 
-def ordered_list(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str = ", ") -> DataFrame:
-    """Each key's values as one text, in order: `listed`. A key's values are a table's columns or the like, few."""
-    ranked = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(ranked, lambda x: x["_value"]), separator).alias("listed"))
+def ordered_list(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str = ", ", limit: int = LISTED) -> DataFrame:
+    """Each key's values as one text, in order: `listed`. A key of more than `limit` rows is an error; ordered_pieces() has none."""
+    own = listed(df.withColumn("_value", F.col(value)), keys, order, ["_value"], limit)
+    return own.select(*keys, F.array_join("rows._value", separator).alias("listed"))
+
+
+def ordered_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str = ", ", most: int = 1000) -> DataFrame:
+    """Each key's values as texts of `most` values at most, in order: piece (from 0) and listed."""
+    own = pieces(df.withColumn("_value", F.col(value)), keys, order, ["_value"], most)
+    return own.select(*keys, "piece", F.array_join("rows._value", separator).alias("listed"))
 
 
 def assemble(entities: DataFrame, columns: DataFrame, rules: DataFrame, entity: str = "entity_id") -> DataFrame:
     """entities with their columns (by ordinal) and rules (by name) as arrays; one pass each."""
-    cols = columns.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("ordinal", "name"))).alias("columns"))
-    rule = rules.groupBy(entity).agg(F.sort_array(F.collect_list("rule_name")).alias("rules"))
-    return entities.join(cols, entity, "left").join(rule, entity, "left")
+    cols = listed(columns, [entity], ["ordinal", "name"], ["ordinal", "name"]).withColumnRenamed("rows", "columns")
+    rule = listed(rules.where("rule_name is not null"), [entity], ["rule_name"], ["rule_name"])
+    return entities.join(cols, entity, "left").join(rule.select(entity, F.col("rows.rule_name").alias("rules")), entity, "left")
 
 
 def active_entities(entities: DataFrame, ids: Sequence[int] = (), groups: Sequence[str] = (), entity: str = "entity_id", group: str = "load_group", active: str = "is_active") -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siltbed.functions import marks
 from siltbed.functions.canonical import quoted
 
 SEGMENT = re.compile(r"[A-Za-z0-9_.\-]+")
@@ -97,29 +99,108 @@ def extract(df: DataFrame, columns: Sequence[str], mark: str | None = None, afte
     return out.select(*[F.col(quoted(c)) for c in columns])
 
 
-def write_snapshot(df: DataFrame, root: str) -> str:
-    """Writes a new version below root, then points to it; readers see the old or the new one.
+#: What a statement of the metadata's own has where the mark goes.
+PLACEHOLDER = "{watermark}"
+
+
+def extract_override(spark: SparkSession, statement: str, kind: str, mark: str | None, **tables: DataFrame) -> DataFrame:
+    """Rows of a statement that replaces the extract: its `{watermark}` is bound to the mark, typed by its kind.
+
+    mark: canonical text; where there is none yet, the kind's floor is bound. The value is a
+    parameter and never part of the text. Tables are named in braces: `FROM {orders}`.
+    """
+    if kind not in marks.FLOORS:
+        raise ValueError(f"unknown mark type {kind!r}")
+    value = marks.FLOORS[kind] if mark is None else mark
+    # whole numbers bind as such, so that a comparison reaches the scan
+    number = "BIGINT" if re.fullmatch(r"-?\d{1,18}", value) else "DECIMAL(38,10)"
+    typed = {marks.DATETIME: "CAST(:watermark AS TIMESTAMP_NTZ)", marks.NUMERIC: f"CAST(:watermark AS {number})", marks.STRING: ":watermark"}[kind]
+    return spark.sql(statement.replace(PLACEHOLDER, typed), args={"watermark": value}, **tables)
+
+
+def write_snapshot(df: DataFrame, root: str, by: Sequence[str] = ()) -> str:
+    """Writes a new version below root, in folders `by` columns, then points to it; readers see the old or the new one.
 
     A version is a folder of its own, so the plan that is being read is never
-    overwritten. The pointer is the newest complete folder (with _SUCCESS).
+    overwritten. The pointer is the newest complete folder (with _SUCCESS); one that a
+    failed write left behind is written anew.
     """
     versions = snapshot_versions(df.sparkSession, root)
     path = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 0:08d}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return path
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A path, its file system, and the class of paths."""
+    kind = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = kind(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), kind
+
+
 def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the complete versions below root, ascending."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs, kind = _folder(spark, root)
     if not fs.exists(path):
         return []
     found = [s.getPath() for s in fs.listStatus(path)]
-    return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(hadoop.Path(p, "_SUCCESS")))
+    return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(kind(p, "_SUCCESS")))
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     versions = snapshot_versions(spark, root)
     return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]:08d}") if versions else None
+
+
+def expire_snapshots(spark: SparkSession, root: str, keep: int = 2, only: str | None = None) -> list[str]:
+    """Removes all but the newest `keep` complete versions, or of these older ones only a folder (`state=current`)."""
+    gone = []
+    for v in snapshot_versions(spark, root)[: -max(keep, 1)]:
+        name = f"{root.rstrip('/')}/v={v:08d}" + (f"/{only}" if only else "")
+        path, fs, _ = _folder(spark, name)
+        if fs.exists(path):
+            fs.delete(path, True)
+            gone.append(name)
+    return gone
+
+
+def read_states(spark: SparkSession, root: str, column: str, latest: str, schema: T.StructType | None = None, states: Sequence[str] | None = None) -> DataFrame | None:
+    """Versions below root that are parted by a column: the rows `latest` of the newest, other rows of all of them.
+
+    What one version says of the latest rows the next one replaces; other rows are added
+    and stay. Folders of no use are pruned before files are listed for a scan. states: only these.
+    """
+    versions = snapshot_versions(spark, root)
+    if not versions:
+        return None
+    newest = f"{root.rstrip('/')}/v={versions[-1]:08d}"
+    kind = schema or spark.read.parquet(newest).drop(column).schema
+    parts = T.StructType([T.StructField(column, T.StringType()), T.StructField("v", T.IntegerType())])
+    rows = spark.read.schema(T.StructType([*kind.fields, *parts.fields])).parquet(root)
+    own, v, n = F.col(quoted(column)), F.col("v"), versions[-1]
+    rows = rows.where(((own == latest) & (v == n)) | ((own != latest) & (v <= n)))
+    return (rows.where(own.isin(*states)) if states else rows).drop("v")
+
+
+def write_part(df: DataFrame, root: str, column: str) -> None:
+    """Overwrites only the folders of the column's values that df has: what other runs wrote stays as it is."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+
+
+def clear_part(spark: SparkSession, root: str, column: str, value: str) -> None:
+    """Removes the folder of one value, for a run that has no rows (any more)."""
+    path, fs, kind = _folder(spark, root)
+    if fs.exists(path):
+        escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+        fs.delete(kind(path, f"{column}={escaped}"), True)
+
+
+def read_parts(spark: SparkSession, root: str, column: str) -> DataFrame | None:
+    """A table in folders of a text column; columns that some folders lack are NULL there."""
+    path, fs, _ = _folder(spark, root)
+    if not fs.exists(path) or not any(s.getPath().getName().startswith(f"{column}=") for s in fs.listStatus(path)):
+        return None
+    found = spark.read.option("mergeSchema", True).parquet(root).schema
+    # run ids that look like numbers would be read as such
+    kind = [T.StructField(f.name, T.StringType()) if f.name == column else f for f in found]
+    return spark.read.schema(T.StructType(kind)).parquet(root)
