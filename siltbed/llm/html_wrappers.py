@@ -16,9 +16,13 @@ says for each slot whether it is main text: the slots within the article (or
 main, or the like) of most pages, or else within the container with the most
 text and what stands beside it and its ancestors (blocks with most of their text
 in links excepted), without menus, headers, footers, sidebars, notices, adverts, forms and
-comments. Texts are compared as well: a whole block that most pages of a host have word
-for word is template, the constant part of a slot, and goes whatever its marks; where
-texts differ they are data, and headings always are. These counts are exact sums over all pages, whatever
+comments. A class or id drops an element only if one of its names consists of words that say so
+("site-footer", not "has-sidebar" or "sharing-economy"), header words only outside the main
+place; whatever holds a page's only main place, or its heading and most of its text, stays. Where no
+mark tells the main place, texts are compared as well: a whole block that most
+pages of a host have word for word is template, the constant part of a slot, and goes,
+but headings and what would cost a page half of its text; where texts differ they are data.
+Within a told place nothing else goes. These counts are exact sums over all pages, whatever
 partitions they lie in. A page's text is then read by aligning its own stream with its host's
 wrapper; a page that leaves no main text this way decides by itself.
 
@@ -36,7 +40,8 @@ result has id, url, text and n_chars only.
 import html
 import json
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import chain
@@ -52,8 +57,8 @@ from siltbed.llm.common import looked_up, stored
 
 FAN_IN, WIDEST, MOST_HOSTS, DEEPEST, DEEPEST_MARKED = 64, 48, 500, 60, 160
 MOST_TEXTS = 200_000
-#: When a text is template: share of pages, pages at least, share of all text at most.
-CONSTANT_SHARE, LEAST_PAGES, CONSTANT_MASS = 0.6, 5, 0.2
+#: When a text is template, unless the caller says otherwise: share of pages, and pages at least.
+CONSTANT_SHARE, LEAST_PAGES = 0.6, 5
 PARTIAL = "host string, part long, wrapper string, key long, n long, chars long"
 PARTIAL_ARROW = pa.schema([(x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in PARTIAL.split(", ")])
 #: Elements of HTML by how they behave.
@@ -71,20 +76,22 @@ DROPPED_WORDS = frozenset(
     "related recommended comment comments commentlist reply replies respond discussion disqus pagination pager toolbar copyright legal complementary contentinfo search hidden adverts notices banners menus sidebars footers headers popups widgets disclaimer offcanvas skiplink".split()
 )
 CONTENT_WORDS = frozenset("article articlebody post entry story content maincontent postcontent entrycontent articlecontent main bodytext".split())
-LEXER = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
-MARKS = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Of these, words that drop a place only where it is not within the main one, unless a role says them.
+OUTSIDE_WORDS = frozenset("header headers masthead topbar legal copyright search login complementary contentinfo".split())
+LEXER = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 END, HEAD = "\n\n", "\n\n#"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Words beside those that tell a dropped place in an id; an id with others is an anchor's name.
 ID_WORDS = frozenset("site page the my main top bottom left right inner outer primary secondary global section box block container wrapper wrap area list bar panel column col row content body".split())
 SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-UNSEEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """("open" | "close" | "text", tag or text, attributes)."""
-    at, n = 0, len(page)
+    at, n, ends = 0, len(page), True
     while at < n:
         m = LEXER.search(page, at)
         if not m:
@@ -95,8 +102,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         at = m.end()
         close, name, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not name:
-            if m[0].startswith("<![CDATA["):
-                yield "text", html.escape(m[0][9:-3]), ""
+            if ends and m[0].startswith("<![CDATA["):
+                end = page.find("]]>", m.start() + 9)
+                ends = end >= 0  # one that never ends is a comment, and so are those after it
+                if ends:
+                    yield "text", html.escape(page[m.start() + 9 : end]), ""
+                    at = end + 3
             continue
         name = name.lower()
         yield ("close" if close else "open"), name, rest
@@ -108,28 +119,42 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = end.start() if end else n
 
 
+def told(name: str) -> tuple[bool, str]:
+    """Whether a name of a class, id or role tells main text, and what it drops: "" nothing, "^" outside the main place, "-" everywhere.
+
+    It drops only if all its words say so, with words of position and of content.
+    """
+    words = {w for w in SPLIT.split(CAMEL.sub(" ", name).lower()) if w}
+    bad = words & DROPPED_WORDS
+    if not bad:
+        return bool((words | {SPLIT.sub("", name.lower())}) & CONTENT_WORDS), ""
+    if not words <= DROPPED_WORDS | ID_WORDS | CONTENT_WORDS:
+        return False, ""
+    if words & CONTENT_WORDS and bad <= {"header", "headers"}:
+        return True, ""  # an article's own
+    return False, "-" if bad - OUTSIDE_WORDS else "^"
+
+
 def label(tag: str, attributes: str) -> str:
-    """The tag, with what its class, id and role tell about the place, if anything.
+    """The tag, with what its class, id and role tell about the place, if anything: "+", "-" or "^".
 
-    Headings tell nothing but that they are hidden, paragraphs nothing by their id,
-    and an id is a place to drop only if all its words say so: "site-footer" is, the
-    anchor "related-work" is not.
+    Headings tell nothing but that they are hidden, paragraphs nothing by their id.
     """
-    if not attributes or "=" not in attributes:
+    if not attributes or tag in ("html", "body", "main"):
         return tag
-    unseen = bool(UNSEEN.search(attributes))
-    if tag in HEADINGS:
+    good, bad, unseen = False, "", False
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "style" and UNSEEN.search(value) or name == "aria-hidden" and value.lower() == "true":
+            unseen = True
+        elif name in ("class", "role") or name == "id" and tag != "p":
+            for own in value.split():
+                is_good, drops = told(own)
+                good = good or is_good
+                bad = "-" if "-" in (bad, drops) or drops and name == "role" else bad or drops
+    if unseen or tag in HEADINGS:
         return f"{tag}-" if unseen else tag
-    good, bad = False, unseen
-    for m in MARKS.finditer(attributes):
-        mark = m[2] or m[3] or m[4] or ""
-        words = {w for w in SPLIT.split(CAMEL.sub(" ", mark).lower()) if w}
-        good = good or bool((words | {SPLIT.sub("", mark.lower())}) & CONTENT_WORDS)
-        told = bool(words & DROPPED_WORDS)
-        bad = bad or told and (m[1].lower() != "id" or tag != "p" and words <= DROPPED_WORDS | ID_WORDS)
-    if good != bad and not (bad and tag in ("html", "body", "main", "article")):
-        return f"{tag}+" if good else f"{tag}-"
-    return tag
+    return tag if good and bad else f"{tag}+" if good else f"{tag}{bad}"
 
 
 class Node:
@@ -143,7 +168,7 @@ class Node:
 
 def transparent(name: str) -> bool:
     """Whether a label says nothing of what is main text, so that a deep element may give its contents to its parent."""
-    return not is_dropped(name, False) and not name.endswith("+") and name not in PLACES
+    return not is_dropped(name, False) and not name.endswith("+") and tag_of(name) not in PLACES
 
 
 def parse(page: str) -> Node:
@@ -155,12 +180,18 @@ def parse(page: str) -> Node:
     """
     root = Node("#")
     stack, names, depths = [root], ["#"], [1]
-    open_: Counter[str] = Counter()
+    # places of the open elements by name; of those that end tags are not implied across, all and without cells
+    open_: defaultdict[str, list[int]] = defaultdict(list)
+    scopes, tables = [0], [0]
+    marked = False
 
     def shut(k: int) -> None:
         """Closes the elements from place k on."""
         for j in range(len(names) - 1, k - 1, -1):
-            open_[names[j]] -= 1
+            open_[names[j]].pop()
+            for open_scopes in (scopes, tables):
+                if open_scopes[-1] == j:
+                    open_scopes.pop()
             if names[j] in BLOCK and depths[j] == depths[j - 1]:
                 stack[j - 1].children.append(Node("div"))
         del stack[k:], names[k:], depths[k:]
@@ -169,19 +200,14 @@ def parse(page: str) -> Node:
         if kind == "text":
             stack[-1].children.append(name)
         elif kind == "open":
-            if name in BLOCK and open_["p"]:
-                k = len(names) - 1
-                while names[k] != "p" and names[k] not in SCOPES:
-                    k -= 1
-                if names[k] == "p":
-                    shut(k)
+            if name in BLOCK and open_["p"] and open_["p"][-1] > scopes[-1]:
+                shut(open_["p"][-1])
             if name in CLOSES:
-                k = len(names) - 1
-                while k > 0 and names[k] not in CLOSES[name] and (names[k] not in SCOPES or names[k] in ("td", "th") and name in ("tr", "tbody")):
-                    k -= 1
-                if k > 0 and names[k] in CLOSES[name]:
+                k = max((open_[x][-1] for x in CLOSES[name] if open_[x]), default=0)
+                if k and k >= (tables if name in ("tr", "tbody") else scopes)[-1]:
                     shut(k)
             node, depth = Node(label(name, rest)), depths[-1] + 1
+            marked = marked or node.label[-1] in "-^" or name == "form"
             leaf = name in VOID or rest.rstrip().endswith("/")
             if not leaf and depth > DEEPEST and (transparent(node.label) or depth > DEEPEST_MARKED):
                 depth -= 1
@@ -192,18 +218,55 @@ def parse(page: str) -> Node:
             else:
                 stack[-1].children.append(node)
             if not leaf:
+                open_[name].append(len(names))
+                if name in SCOPES:
+                    scopes.append(len(names))
+                    if name not in ("td", "th"):
+                        tables.append(len(names))
                 stack.append(node)
                 names.append(name)
                 depths.append(depth)
-                open_[name] += 1
         elif open_[name]:
-            k = len(names) - 1
-            while names[k] != name:
-                k -= 1
-            shut(k)
+            shut(open_[name][-1])
+    if marked:
+        set_free(root)
     return root
 
 
+class Held:
+    """What an element holds that no mark drops: text, first headings and main places, and the marked elements below."""
+
+    def __init__(self, node: Node, under: bool = False):
+        self.node, self.chars, self.titles, self.places, self.free, self.marked = node, 0, 0, 0, 0, []
+        for c in node.children:
+            if isinstance(c, str):
+                self.chars += len(c.strip())
+                continue
+            tag = tag_of(c.label)
+            if tag in DROPPED - {"form"}:
+                continue
+            drops = is_dropped(c.label, False) and tag != "header"
+            own = Held(c, under or drops)
+            is_place = (tag in PLACES or c.label.endswith("+")) and not drops
+            self.titles += own.titles + (tag == "h1" and not drops)
+            self.chars += own.chars
+            self.places += own.places + is_place
+            self.free += own.free + (is_place and not (under or drops))
+            self.marked += [own, *own.marked] if drops else own.marked
+
+
+def set_free(root: Node) -> None:
+    """A mark, or a form, around the only main place of a page drops nothing; where there is no such
+    place, neither does one around its first headings and most of its text, or nearly all of its text."""
+    page = Held(root)
+    if page.free:
+        return
+    for x in page.marked:
+        most = x.titles == page.titles and 2 * x.chars > page.chars if page.titles else 10 * x.chars > 9 * page.chars
+        if not x.node.label.startswith("h") and (x.places or not page.places and most):
+            x.node.label = "div" if x.node.label.startswith("form") else tag_of(x.node.label)
+
+
 # An item of a wrapper: [label, optional, repeated, seen, chars, items]. The label of a
 # text slot is "#text", of a group "()"; chars counts a slot's text in all pages.
 LABEL, OPTIONAL, REPEATED, SEEN, CHARS, ITEMS = range(6)
@@ -311,13 +374,13 @@ def wrapper_text(items: list) -> str:
 
 
 def tag_of(name: str) -> str:
-    return name.rstrip("+-")
+    return name.rstrip("+-^")
 
 
 def is_dropped(name: str, inside: bool) -> bool:
     """Whether a label's element is no main text; inside: within the main place."""
     tag = tag_of(name)
-    return tag in DROPPED or name.endswith("-") or tag == "header" and not inside
+    return tag in DROPPED or name.endswith("-") or (tag == "header" or name.endswith("^")) and not inside
 
 
 def place(items: list, pages: int) -> str:
@@ -385,18 +448,23 @@ def edge(name: str) -> str:
 def blocks(node: Node, marked: list) -> Iterator[str]:
     """Main texts of a page's element, aligned with marked items, and END or HEAD at the edges of blocks."""
     flat = [x for top in marked for x in (top[2] if top[0] == "()" else [top])]
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    for k, x in enumerate(flat):
+        places[x[0]].append(k)
+    spaced = any(m for _, m, _ in flat)
     at = 0
     for c in node.children:
         name = "#text" if isinstance(c, str) else c.label
         if name == "#text" and not c.strip():
-            if any(m for _, m, _ in flat):
+            if spaced:
                 yield " "
             continue
-        # the next item of this label from here on, or any: groups and repeats begin again
-        k = next((k for k in [*range(at, len(flat)), *range(at)] if flat[k][0] == name), None)
-        if k is None:
+        # the next item of this label from here on, or the first: groups and repeats begin again
+        own = places.get(name)
+        if own is None:
             continue
-        at = k
+        k = bisect_left(own, at)
+        at = k = own[k] if k < len(own) else own[0]
         _, main, inner = flat[k]
         if name == "#text":
             if main:
@@ -456,7 +524,11 @@ def main_text(page: str | None, wrapper: str | None, constant: list[int] | None
     if not page:
         return ""
     root = parse(page)
-    text = joined(blocks(root, _loaded(wrapper)), frozenset(constant or ())) if wrapper else ""
+    text = joined(blocks(root, _loaded(wrapper))) if wrapper else ""
+    if text and constant:
+        left = joined(blocks(root, _loaded(wrapper)), frozenset(constant))
+        # a page that is a template for the most part is a copy of others
+        text = left if 2 * len(left) >= len(text) else text
     if not text:
         own = items_of(root)
         text = joined(blocks(root, mark(own, place(own, 1)))) or joined(blocks(root, mark(own, "densest")))
@@ -513,20 +585,17 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give(strings())
 
 
-def constants(strings: DataFrame, pages: DataFrame) -> DataFrame:
-    """(host, constant): keys of the texts that are template rather than data.
+def constants(strings: DataFrame, hosts: DataFrame, share: float = CONSTANT_SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """(host, constant): keys of the texts that are template rather than data, of hosts whose main place no mark tells.
 
-    A block's text is constant where most (CONSTANT_SHARE) of a host's pages, LEAST_PAGES
-    at least, have it, headings apart, unless such texts are more than CONSTANT_MASS of all text: then the
-    pages are copies of each other. Counted over all pages; a host's list is no longer
+    A block's text is constant where a `share` of a host's pages, `least` pages at
+    least, have it, headings apart. Counted over all pages; a host's list is no longer
     than a page or two, since each member stands in most of them.
     """
-    counted = strings.groupBy("host", "key").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
-    often = (F.col("n") >= F.col("pages") * CONSTANT_SHARE) & (F.col("pages") >= LEAST_PAGES)
-    found = counted.join(pages.select("host", "pages"), "host").groupBy("host").agg(
-        F.collect_list(F.when(often, F.col("key"))).alias("constant"), F.sum(F.when(often, F.col("chars"))).alias("same"), F.sum("chars").alias("all")
-    )
-    return found.where(F.col("same") <= F.col("all") * CONSTANT_MASS).select("host", F.array_sort("constant").alias("constant"))
+    counted = strings.groupBy("host", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    known = looked_up(counted, hosts.where("place = 'densest'").select("host", "pages", F.col("pages").alias("_pages")), "host", "pages", F.col("key"))
+    often = known.where(F.col("n") >= F.col("_pages") * share)
+    return often.groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("constant"))
 
 
 def host_of(url: str) -> "F.Column":
@@ -534,8 +603,9 @@ def host_of(url: str) -> "F.Column":
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, pages, wrapper, marked, constant) of each host: its expression, what is main text in it, what is template text."""
+def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = CONSTANT_SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """(host, pages, place, wrapper, marked, constant) of each host: what tells its main place, its expression,
+    what is main text in it, what is template text (see constants() for share and least)."""
     rows = pages.select(host_of(f"`{url_col}`").alias("host"), F.col(f"`{html_col}`").alias("html"))
     partials = stored(rows.mapInArrow(_infer, PARTIAL), "wrappers")
     partial_ones = partials.where("wrapper is not null").select("host", "part", "wrapper")
@@ -550,13 +620,14 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
 
         wrapper, n = merge(list(pdf.wrapper))
         items = json.loads(wrapper)[1]
-        return pd.DataFrame({"host": [pdf.host[0]], "pages": [n], "wrapper": [wrapper_text(items)], "marked": [json.dumps(mark(items, place(items, n)), separators=(",", ":"))]})
+        where = place(items, n)
+        return pd.DataFrame({"host": [pdf.host[0]], "pages": [n], "place": [where], "wrapper": [wrapper_text(items)], "marked": [json.dumps(mark(items, where), separators=(",", ":"))]})
 
     while (partial_ones.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > FAN_IN:
         grouped = partial_ones.groupBy("host", F.floor(F.col("part") / FAN_IN).alias("group"))
         partial_ones = stored(grouped.applyInPandas(merged, "host string, part long, wrapper string").withColumn("part", F.floor(F.col("part") / FAN_IN)), "wrappers")
-    found = stored(partial_ones.groupBy("host").applyInPandas(finished, "host string, pages long, wrapper string, marked string"), "host-wrappers")
-    same = constants(partials.where("key is not null").select("host", "key", "n", "chars"), found)
+    found = stored(partial_ones.groupBy("host").applyInPandas(finished, "host string, pages long, place string, wrapper string, marked string"), "host-wrappers")
+    same = constants(partials.where("key is not null").select("host", "key", "n"), found, share, least)
     return stored(found.join(same, "host", "left"), "host-templates")
 
 
@@ -566,9 +637,9 @@ def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([*b.columns[:-3], text], names)
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text, n_chars) of each page."""
-    wrappers = infer(pages, url_col, html_col).select("host", "pages", "marked", "constant")
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = CONSTANT_SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """(id, url, text, n_chars) of each page; share and least as for constants()."""
+    wrappers = infer(pages, url_col, html_col, share, least).select("host", "pages", "marked", "constant")
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(f"`{url_col}`").alias("host"), F.col(f"`{html_col}`").alias("html"))
     rows = looked_up(rows, wrappers, "host", "pages", F.struct("page_id", "url")).select("page_id", "url", "html", "marked", "constant")
     kind = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, T.StringType()), T.StructField("text", T.StringType())])

@@ -116,19 +116,102 @@ def test_template_texts_go_and_data_stays(spark):
     for i in range(40):  # lines of a template without marks, a bold word and a heading that recur
         own = [text() for _ in range(r.randint(2, 5))]
         body = "".join(f"<p>{t} <b>bold</b></p>" for t in own)
-        rows.append((i, f"https://a.example.com/{i}", f"<body><article><p>Subscribe now</p><h2>Summary</h2>{body}<p>All rights reserved by Example Ltd</p></article></body>", "x", 1))
+        rows.append((i, f"https://a.example.com/{i}", f"<body><div><p>Subscribe now</p><h2>Summary</h2>{body}<p>All rights reserved by Example Ltd</p></div></body>", "x", 1))
         want[i] = "\n\n".join(["Summary", *(f"{t} bold" for t in own)])
+        # the same within a place that a tag tells: nothing of it goes
+        rows.append((1000 + i, f"https://d.example.com/{i}", f"<body><article><p>Part of a series</p>{body}</article><p>outside</p></body>", "x", 1))
+        want[1000 + i] = "\n\n".join(["Part of a series", *(f"{t} bold" for t in own)])
     same = text()
     for i in range(100, 140):  # copies of one page
-        rows.append((i, f"https://b.example.com/{i}", f"<body><article><p>{same}</p><p>{same}</p></article></body>", "x", 1))
+        rows.append((i, f"https://b.example.com/{i}", f"<body><div><p>{same}</p><p>{same}</p></div></body>", "x", 1))
         want[i] = f"{same}\n\n{same}"
     for i in range(200, 203):  # a host of few pages
-        rows.append((i, f"https://c.example.com/{i}", f"<body><article><p>short</p><p>{text()}</p></article></body>", "x", 1))
+        rows.append((i, f"https://c.example.com/{i}", f"<body><div><p>short</p><p>{text()}</p></div></body>", "x", 1))
+    for i in range(300, 308):  # short pages, nearly half of whose text is the template's: it goes all the same
+        rows.append((i, f"https://e.example.com/{i}", f"<body><div><p>This story is part of our series.</p><p>{text()[:40]} {i}</p></div></body>", "x", 1))
+        want[i] = " ".join(rows[-1][2].split("<p>")[2].split("</p>")[0].split())
     df = spark.createDataFrame(rows, SCHEMA)
     for parts in (1, 7):
         got = {x.page_id: x.text for x in hw.extract(df.repartition(parts)).collect()}
         assert {i: t for i, t in got.items() if i in want} == want
         assert all(got[i].startswith("short\n\n") for i in range(200, 203))
+    few = {x.page_id: x.text for x in hw.extract(df, least=3, share=0.9).collect()}
+    assert not any(few[i].startswith("short") for i in range(200, 203))
+
+
+def test_marks_that_do_not_say_so_drop_nothing(spark):
+    cases = {
+        '<div class="wrap has-sidebar"><div class="inner"><h1>T</h1><p>one</p></div></div>': "T\n\none",
+        '<div class="with-sidebar layout"><h1>T</h1><p>x</p></div>': "T\n\nx",
+        "<div class=comments-off><article>in</article><p>out</p></div>": "in",
+        '<article><div class="page-header"><h1>T</h1><p>by X</p></div><section class="sharing-economy"><p>a</p></section></article>': "T\n\nby X\n\na",
+        '<article><p class="legal">b</p><table class="search-volume"><tr><td>c</table><figure class="header-image"><p>d</figure></article>': "b\n\nc\n\nd",
+        '<article><div data-id="related">e</div><p title="class=menu">f</p><p alt=\'id="ad"\'>g</p></article>': "e\n\nf\n\ng",
+        '<article>a<div class="comments">no</div><div class="post-footer">no</div><div class="ad wide">no</div><div id="site_menu">no</div><div class=relatedPosts>b</div></article>': "a\n\nb",
+        '<div class="wrap sidebar"><article>in<div class=sidebar>no</div></article></div>': "in",
+        "<form id=aspnetForm><div><h1>T</h1><p>text</p></div></form>": "T\n\ntext",
+        '<div class="sidebar"><p>all the text there is</p></div>': "all the text there is",
+        '<div class="content-sidebar-wrap"><div class="sidebar">no</div><main><p>in</p></main></div>': "in",
+        '<div class="entry-header"><h1>T</h1></div><div class="entry-content"><p>x</p></div><div class="comments"><article class="comment">no no no no no</article></div>': "T\n\nx",
+        '<div role="search"><p>no</p></div><div class="search"><p>no</p></div><main><p>in</p><div class="search"><p>results</p></div></main>': "in\n\nresults",
+        '<main><p>in</p><div hidden>no</div><p aria-hidden="true">no</p><p style="color:red;display: none">no</p><p data-hidden="x">yes</p></main>': "in\n\nyes",
+    }
+    rows = [(i * 10 + k, f"http://h{i}.x/{k}", f"<html><body>{h}</body></html>", None, None) for i, h in enumerate(cases) for k in range(8)]
+    by = {x.page_id: x.text for x in hw.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {h: {by[i * 10 + k] for k in range(8)} for i, h in enumerate(cases)} == {h: {t} for h, t in cases.items()}
+    assert {h: hw.main_text(h, None) for h in cases} == cases
+
+
+def test_time_grows_with_the_length_of_odd_pages():
+    import time
+
+    shapes = {
+        "inline elements, then items": lambda n: "<span>" * n + "<li>x</li>" * n, "sections that never end": lambda n: "<![CDATA[x>" * n,
+        "different tags": lambda n: "".join(f"<t{i}>x</t{i}>" for i in range(n)), "quotes": lambda n: "<a '>" * n, "paragraphs": lambda n: "<p>x" * n,
+        "cells": lambda n: "<table>" + "<tr><td>x" * n, "nests": lambda n: "<div>" * n, "attributes": lambda n: "<a " + "x " * n + ">",
+        "end tags": lambda n: "<b>" * n + "</b>" * n, "lists": lambda n: "<div class='a b'><p>t<ul><li>x" * n, "comments": lambda n: "<!-- " * n,
+    }
+    for name, shape in shapes.items():
+        began = time.process_time()
+        n = 20_000
+        hw.main_text(shape(n), None)
+        assert time.process_time() - began < 12, name
+
+
+def language(items):
+    """The pattern of a wrapper over the marked-up labels of a nest."""
+    import re
+
+    def one(x):
+        inner = language(x[hw.ITEMS])
+        own = f"(?:{inner})" if x[hw.LABEL] == "()" else f"(?:<{re.escape(x[hw.LABEL])}>{inner}</>)"
+        return own + {(False, False): "", (True, False): "?", (False, True): "+", (True, True): "*"}[x[hw.OPTIONAL], x[hw.REPEATED]]
+
+    return "".join(map(one, items))
+
+
+def marked_up(node):
+    return "".join(("<#text></>" if c.strip() else "") if isinstance(c, str) else f"<{c.label}>{marked_up(c)}</>" for c in node.children)
+
+
+def test_every_page_is_in_the_language_of_its_wrapper():
+    """Wrappers of two to five pages, each read as a regular expression over the pages' nests."""
+    import json
+    import re
+
+    r = random.Random(11)
+
+    def nest(depth):
+        return "".join(f"<{t}>{nest(depth - 1) if depth and r.random() < 0.6 else 'x'}</{t}>" for t in r.choices(["div", "p", "ul", "b", "section"], k=r.randint(0, 4)))
+
+    for _ in range(150):
+        pages = [nest(2) for _ in range(r.randint(2, 5))]
+        roots = [hw.parse(p) for p in pages]
+        wrapper = json.loads(hw.merge([json.dumps([1, hw.items_of(x)]) for x in roots])[0])
+        assert wrapper[0] == len(pages)
+        pattern = re.compile(language(wrapper[1]))
+        for root in roots:
+            assert pattern.fullmatch(marked_up(root)), (pages, hw.wrapper_text(wrapper[1]))
 
 
 def test_hot_hosts_change_nothing(spark, monkeypatch):
