@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies stays: shingles of five words, cosine of 0.8 or more."""
+    """The document with the least id of each group of near copies stays: four fifths of their words in common shingles of five."""
     return simhash.drop_near_duplicates(docs)
 
 

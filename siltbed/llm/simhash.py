@@ -13,20 +13,21 @@ it finds, not all pairs.
 
 Filtering (`drop_near_duplicates`) is to catch copies of similarity 0.8 and more
 on word shingles, which differ in far more than four of 64 bits. Similarity there
-is what a SimHash estimates, the cosine: common distinct shingles by the root of
-the product of both counts (two texts of one length and similarity 0.8 share two
-thirds of all their shingles). Words are runs of letters, digits and underscores,
-case ignored, so a lost comma changes no shingle. A document has a SimHash of 256
-bits, and KEYS keys, each of two minima of hashed shingles, take the place of the
-bit blocks: copies that share the part j of their shingles share a key with chance
-1 - (1 - j^2)^16, over 0.9997 from a cosine of 0.8 on (j is 0.64 at least). The
+is the share of both texts' words that stand in shingles of five words that the other text
+has, too: for a passage in common that is the passage's share of the texts, and a word changed
+here and there costs its own place, not the five shingles that it stands in. Besides, the
+cosine of the sets of distinct shingles has to be LIKE or more. Words are runs of letters,
+digits and underscores, case ignored, so a lost comma changes no shingle. A document
+has a SimHash of 256 bits, and KEYS keys, each of two minima of hashed shingles, take the
+place of the bit blocks: copies that share the part j of their shingles share a key with
+chance 1 - (1 - j^2)^24, over 0.99 at a cosine of LIKE (j is 0.43) and 0.9998 at 0.7. The
 comparison within buckets is the same, but gives candidates only. Candidates that
-hang together meet a second time with their sets of distinct shingle hashes, cut
-into units of bounded size like buckets, and two of them link if their similarity
-is 0.8 or more, counted exactly. Texts without words are copies of each other.
-SimHash and keys are of distinct shingles as well, so lines that repeat do not
-count. Of 256 bits, copies of cosine 0.8 differ in 52 on average (deviation about
-6.5); the radius is 96.
+hang together meet a second time with their shingle hashes, cut
+into units of bounded size like buckets, and two of them link if they are alike,
+counted exactly. Texts without words are copies of each other.
+SimHash and keys are of distinct shingles, so lines that repeat do not
+count. Of 256 bits, copies of cosine 0.6 differ in 76 on average (deviation about
+7.3); the radius is 96.
 
 Defined results: null and empty texts have the fingerprint 0 and link like any
 other; repeated rows keep their own rows; rows whose id is null join components
@@ -96,10 +97,10 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 #: Odd multipliers, by rule: they make further hashes of a hash.
-ODD = np.random.default_rng(42).integers(0, 1 << 63, 48, np.uint64) * np.uint64(2) + np.uint64(1)
-WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 16, 96
-#: Cosine of the sets of distinct shingles from which texts are copies.
-COPIES = 0.8
+ODD = np.random.default_rng(42).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+WIDE_WORDS, WIDE_KEYS, WIDE_RADIUS = 4, 24, 96
+#: Share of words in common shingles from which texts are copies, and the cosine of their sets that they have at least.
+COPIES, LIKE = 0.8, 0.6
 #: Members of sets in a unit that checks candidates, about.
 SET_TILE = 1 << 20
 
@@ -150,22 +151,31 @@ def blocks_for(n: int, radius: int) -> int:
     return blocks
 
 
-def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether the cosine of two sorted sets is `least` or more; 1 for two empty ones."""
-    low, high = sorted((len(a), len(b)))
-    bound = least * least * high * (1 - 1e-12)
-    if low < bound:
+def covered(own: np.ndarray, other: np.ndarray, width: int) -> tuple[int, int]:
+    """How many words of a text, given by its shingles in order, stand in shingles that another has, and how many such shingles."""
+    at = np.flatnonzero(np.isin(own, other))
+    return (int(np.minimum(np.diff(at), width).sum()) + width if len(at) else 0), len(at)
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float, width: int) -> bool:
+    """Whether the share of both texts' words in common shingles is `least` or more, and the cosine of
+    their sets of shingles LIKE; a and b are their shingles in order. Two empty texts are alike."""
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    n, m = len(a) + width - 1, len(b) + width - 1
+    bound = least * (n + m) * (1 - 1e-12)
+    x, common = covered(a, b, width)
+    if x + m < bound or not common or x + covered(b, a, width)[0] < bound:
         return False
-    both = np.sort(np.concatenate([a, b]), kind="stable")
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common * common >= bound * low
+    a, b = np.unique(a), np.unique(b)
+    return len(np.intersect1d(a, b, assume_unique=True)) ** 2 >= LIKE * LIKE * len(a) * len(b) * (1 - 1e-12)
 
 
-def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0) -> np.ndarray:
+def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0, width: int = 1) -> np.ndarray:
     """Links (place, place of root) that span what lies within the radius.
 
-    words: a row of 64-bit words for each entry; sets: its sorted set, if a link
-    also needs a cosine of `least`.
+    words: a row of 64-bit words for each entry; sets: its shingles of `width` words in order, if
+    linked entries are to be alike() by `least`, too.
     """
     pops = np.bitwise_count(words).sum(axis=1, dtype=np.int32)
     order = np.argsort(pops, kind="stable")
@@ -189,7 +199,7 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
                 if sets is not None:
                     # a few at a time: what they link needs no further look
                     tried, i, j = (i[:few], j[:few]), i[few:], j[few:]
-                    good = np.array([alike(sets[order[x]], sets[order[y]], least) for x, y in zip(*tried)])
+                    good = np.array([alike(sets[order[x]], sets[order[y]], least, width) for x, y in zip(*tried)])
                     few = 64 if good.any() else min(2 * few, 4096)
                     if not good.any():
                         continue
@@ -207,12 +217,12 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
     return np.stack([order[bound], order[root[bound]]], axis=1)
 
 
-def _linked(batches: Iterator[pa.RecordBatch], radius: int, least: float = 0.0) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], radius: int, least: float = 0.0, width: int = 1) -> Iterator[pa.RecordBatch]:
     """Rows (unit, node, words, and a set if there is one), sorted by unit, to links. A unit may go over several batches."""
 
     def links(held: list[tuple[pa.Array, np.ndarray]], sets: list[np.ndarray]) -> pa.RecordBatch:
         nodes, words = pa.concat_arrays([n for n, _ in held]), np.concatenate([w for _, w in held])
-        uv = spanning_links(np.ascontiguousarray(words).view(np.uint64), radius, sets=sets or None, least=least)
+        uv = spanning_links(np.ascontiguousarray(words).view(np.uint64), radius, sets=sets or None, least=least, width=width)
         return pa.RecordBatch.from_arrays([nodes.take(pa.array(uv[:, 0])), nodes.take(pa.array(uv[:, 1]))], ["u", "v"])
 
     now, held, sets = None, [], []
@@ -238,11 +248,11 @@ def _linked(batches: Iterator[pa.RecordBatch], radius: int, least: float = 0.0)
         yield links(held, sets)
 
 
-def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, least: float | None = None) -> DataFrame:
+def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, least: float | None = None, width: int = 1) -> DataFrame:
     """Rows (c, k, node, words) to links (u, v) of nodes within the radius that share a bucket (c, k).
 
-    With `least`, rows have a sorted set too, and linked nodes a cosine of that or
-    more; the tile then counts members of sets.
+    With `least`, rows have their shingles of `width` words too, as `set`, in order, and linked nodes
+    are alike() by that; the tile then counts shingles.
     """
     held = [*words, "set"] if least is not None else words
     weight = F.sum(F.size("set") + 16) if least is not None else F.count("*")
@@ -254,7 +264,7 @@ def bucket_links(keyed: DataFrame, words: list[str], radius: int, tile: int, lea
     before = F.sum("n").over(Window.partitionBy("c", "k").orderBy("p")) - F.col("n")
     hot = stored(counts.join(hot_keys, ["c", "k"]).withColumn("bin", F.floor(before / tile).cast("int")), "hot-buckets")
     node = keyed.schema["node"].dataType
-    out, link = T.StructType([T.StructField("u", node), T.StructField("v", node)]), partial(_linked, radius=radius, least=least or 0.0)
+    out, link = T.StructType([T.StructField("u", node), T.StructField("v", node)]), partial(_linked, radius=radius, least=least or 0.0, width=width)
     cold = keyed.join(hot.select("c", "k").distinct(), ["c", "k"], "left_anti").select("c", "k", "node", *held)
     links = cold.repartition("c", "k").sortWithinPartitions("c", "k").mapInArrow(link, out)
     if hot.isEmpty():
@@ -290,29 +300,29 @@ def _wide_fingerprints(batches: Iterator[pa.RecordBatch], width: int, names: lis
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Puts the sorted distinct shingle hashes in place of the text, the last column."""
+    """Puts the shingle hashes, in order, in place of the text, the last column."""
     from siltbed.llm.bpe import slices
 
     for b in batches:
         texts = b.column(b.num_columns - 1).to_pylist()
         for i, j in slices([t or "" for t in texts], SLICE_CHARS):
-            sets = [np.unique(shingle_hashes(t, width, True)).view(np.int64) for t in texts[i:j]]
+            sets = [shingle_hashes(t, width, True).view(np.int64) for t in texts[i:j]]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             members = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
             yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns[:-1], members], names)
 
 
-def _checked(candidates: DataFrame, named: DataFrame, docs: DataFrame, text_col: str, words: list[str], width: int) -> DataFrame:
-    """Links (u, v) of candidates (node, root) of one root that are copies by their sets of shingles."""
+def _checked(candidates: DataFrame, named: DataFrame, docs: DataFrame, text_col: str, words: list[str], width: int, least: float) -> DataFrame:
+    """Links (u, v) of candidates (node, root) of one root that are copies by their shingles."""
     near = candidates.join(named, candidates.node == named.h).select(F.xxhash64("root").alias("c"), F.xxhash64(F.lit(1), "root").alias("k"), "node", *words)
     texts = docs.select(_digest(text_col).alias("node"), F.col(f"`{text_col}`").alias("text")).join(candidates.select("node"), "node", "left_semi")
     texts = texts.groupBy("node").agg(F.min("text").alias("text"))
     sets = texts.mapInArrow(partial(_shingle_sets, width=width, names=["node", "set"]), "node string, set array<long>")
     keyed = stored(near.join(sets, "node"), "copies-sets")
-    return bucket_links(keyed, words, WIDE_RADIUS, SET_TILE, COPIES)
+    return bucket_links(keyed, words, WIDE_RADIUS, SET_TILE, least, width)
 
 
-def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int) -> DataFrame:
+def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int, least: float) -> DataFrame:
     """(id, h) of the first row, by id (null last), of each class of copies."""
     kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.StringType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), _digest(text_col).alias("h"), F.col(f"`{text_col}`").alias("text"))
@@ -322,7 +332,7 @@ def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, ti
     named = stored(rows.groupBy("h", *words, "keys").agg(first), "copies-distinct")
     keyed = named.select(F.col("h").alias("node"), *words, F.posexplode("keys").alias("c", "k")).select("c", "k", "node", *words)
     candidates = stored(components(bucket_links(keyed, words, WIDE_RADIUS, tile)), "copies-candidates")
-    joined = stored(components(_checked(candidates, named, docs, text_col, words, width)), "copies-components")
+    joined = stored(components(_checked(candidates, named, docs, text_col, words, width, least)), "copies-components")
     rooted = named.select("h", "best").join(joined, F.col("h") == F.col("node"), "left").select(F.coalesce("root", "h").alias("root"), "best")
     return rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h")
 
@@ -347,16 +357,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select(F.col("id").alias(id_col), hexed, F.col("first.id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 32768) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, tile: int = 32768, least: float = COPIES) -> DataFrame:
     """One row of docs for each class of copies, the one with the least id; columns as given.
 
+    least: the similarity from which texts are copies; below 0.8 more of them may share no key.
     Rows that share an id are told apart by their text; of equal rows one stays.
     The join is on id and text digest, so no group of copies meets in one task.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at = {c.lower(): n for c, n in zip(docs.columns, names)}
     rows, own_id, own_text = docs.toDF(*names), at[id_col.lower()], at[text_col.lower()]
-    best = _first_of_copies(rows, own_id, own_text, width, tile)
+    best = _first_of_copies(rows, own_id, own_text, width, tile, least)
     # the same three keys for the join and for equal rows: texts move once
     keys = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_i"), F.col("id").isNull().alias("_n"), F.col("h").alias("_h")]
     keyed = rows.select(F.col(own_id).alias("id"), _digest(own_text).alias("h"), *names).select(*keys, *names)

@@ -43,12 +43,13 @@ def brute(rows, labels):
     grams = []
     for _, t, *_ in kept:
         w = re.findall(r"\w+", (t or "").lower())
-        grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+        grams.append([tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else [])
     root = list(range(len(kept)))
     for a in range(len(kept)):
         for b in range(a):
-            x, y = grams[a], grams[b]
-            if x and y and len(x & y) >= 0.8 * (len(x) * len(y)) ** 0.5 or not x and not y:
+            x, y = set(grams[a]), set(grams[b])
+            words = sum(len({k for i, g in enumerate(p) if g in q for k in range(i, i + 5)}) for p, q in ((grams[a], y), (grams[b], x)))
+            if x and y and words >= 0.8 * (len(grams[a]) + len(grams[b]) + 8) and len(x & y) >= 0.6 * (len(x) * len(y)) ** 0.5 or not x and not y:
                 root[a] = min(root[a], root[b])
     kept = [r for k, r in enumerate(kept) if root[k] == k]
     kept = [(i, pii.redact(t), s) for i, t, _, s, _ in kept]

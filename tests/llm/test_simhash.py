@@ -112,7 +112,7 @@ def test_only_copies_of_similarity_080_go(spark):
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7)))
     rows, gone = [], set()
     for n, share in enumerate([0.6, 0.7, 0.79, 0.81] * 30):
-        # two texts with one passage in common, and a cosine of share
+        # two texts with one passage in common, which is this share of either: cosine and share of words alike
         own = r.randint(400, 500)
         common = round(share * own)
         passage, ends = [word() for _ in range(common + 4)], [[word() for _ in range(own - common)] for _ in range(2)]
@@ -148,7 +148,7 @@ def brute_groups(sets):
     for a in range(len(sets)):
         for b in range(a):
             x, y = set(sets[a]), set(sets[b])
-            if bool(x) == bool(y) and len(x & y) ** 2 >= 0.64 * len(x) * len(y) - 1e-9:
+            if bool(x) == bool(y) and 2 * len(x & y) >= 0.8 * (len(x) + len(y)) - 1e-9:
                 p, q = root[a], root[b]
                 root = [min(p, q) if z in (p, q) else z for z in root]
     return root
@@ -203,3 +203,62 @@ def test_clashing_columns_and_hot_fingerprints(spark, monkeypatch):
     for share in (1, 10**9):  # no key is hot, all are
         monkeypatch.setattr(common, "HOT_SHARE", share)
         assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == want
+
+
+def share(a, b):
+    """Of both texts' words, those that stand in five in a row that the other has, too."""
+    import re
+
+    x, y = (re.findall(r"\w+", t.lower()) for t in (a, b))
+    rows = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (x, y)]
+    held = [{k for i in range(len(w) - 4) if tuple(w[i : i + 5]) in o for k in range(i, i + 5)} for w, o in ((x, rows[1]), (y, rows[0]))]
+    return sum(map(len, held)) / max(1, len(x) + len(y)), rows
+
+
+def test_scattered_edits_are_copies_and_half_of_a_text_is_not(spark):
+    """Pairs at every Jaccard index that edits of single words give: the share of words in common shingles decides."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7)))
+    rows, copies, clean = [], set(), set()
+    for n in range(160):
+        a = [word() for _ in range(r.randint(150, 400))]
+        b = [word() if r.random() < (n % 8) * 0.015 else w for w in a]
+        if n % 4 == 3:  # no copy: half of it is another text
+            b = b[: len(b) // 2] + [word() for _ in range(len(b) // 2)]
+        rows += [(2 * n, " ".join(a), "p", 1), (2 * n + 1, " ".join(b), "p", 1)]
+        own, (x, y) = share(rows[-2][1], rows[-1][1])
+        cosine = len(x & y) / (len(x) * len(y)) ** 0.5
+        if own >= 0.8 and cosine >= 0.6:
+            copies.add((2 * n + 1, round(len(x & y) / len(x | y), 1)))
+        else:
+            clean.add(2 * n + 1)
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {j for _, j in copies} >= {0.5, 0.6, 0.7, 0.8, 0.9} and len(clean) >= 40
+    assert clean <= kept and {i for i, *_ in rows if i % 2 == 0} <= kept
+    assert len(kept & {i for i, _ in copies}) <= 1  # a key is shared with a chance of over 0.99
+    strict = {x.doc_id for x in simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA), least=0.97).collect()}
+    assert kept < strict
+
+
+def test_copies_and_clean_documents_of_the_given_tables(spark):
+    """Every edited copy goes, and no text goes that has not four fifths of its words in common shingles with another."""
+    from collections import defaultdict
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {x.doc_id: x.text or "" for x in docs.collect()}
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(docs).select("doc_id").collect()}
+    by = defaultdict(list)
+    for i, t in texts.items():
+        for h in set(simhash.shingle_hashes(t, 5, True).tolist()):
+            by[h].append(i)
+    near = defaultdict(int)
+    for ids in by.values():
+        for a in ids if len(ids) < 50 else []:
+            for b in ids:
+                near[a, b] += a < b
+    links = {(a, b) for (a, b), n in near.items() if n and share(texts[a], texts[b])[0] >= 0.8}
+    linked = {x for ab in links for x in ab}
+    later = {b for _, b in links}
+    assert len(later) > 30 and len(later & kept) <= len(later) // 10
+    gone = texts.keys() - kept
+    assert all(i in linked or not texts[i].strip() or len(by[next(iter(simhash.shingle_hashes(texts[i], 5, True).tolist()))]) >= 2 for i in gone)
