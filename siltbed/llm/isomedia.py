@@ -35,6 +35,8 @@ from siltbed.llm.common import stored
 #: A frame's side and bytes, the padding.
 SIDE, FRAME, PAD = 24, 576, b"\xff"
 CHUNK_FRAMES, RATE = 16, 25
+#: Kinds that a path of nested boxes names at most, the last ones.
+DEEPEST = 8
 NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"mvex", b"moof", b"traf", b"udta"}
 
 
@@ -90,10 +92,13 @@ def write_container(payload: bytes) -> bytes:
     return head + moov(base) + body
 
 
-def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path of kinds, start, end of the body) of every box, nested ones included."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+def walk(data: bytes) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
+    """(path of kinds, start, end of the body) of every box, nested ones included; paths end with a box's last DEEPEST kinds."""
+    levels = [(0, len(data), ())]
+    while levels:
+        start, end, path = levels.pop()
+        if start + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, start)
         body = start + 8
         if size == 1:
@@ -102,10 +107,11 @@ def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes,
         stop = end if size == 0 else start + size
         if stop < body or stop > end:
             raise ValueError(f"a box of a wrong size at {start}")
-        yield (*path, kind), body, stop
+        own = (*path, kind)[-DEEPEST:]
+        yield own, body, stop
+        levels.append((stop, end, path))
         if kind in NESTED:
-            yield from walk(data, body, stop, (*path, kind))
-        start = stop
+            levels.append((body, stop, own))
 
 
 @dataclass
@@ -139,6 +145,8 @@ def rows_of(data: bytes, at: int, width: int, word: str = ">u4") -> np.ndarray:
 def sample_sizes(data: bytes, boxes: dict[bytes, int]) -> np.ndarray:
     if (at := boxes.get(b"stsz")) is not None:
         size, n = struct.unpack_from(">II", data, at + 4)
+        if size and n * size > len(data):
+            raise ValueError("more samples than the container has bytes")
         return np.full(n, size, np.int64) if size else np.frombuffer(data, ">u4", n, at + 12).astype(np.int64)
     width, n = struct.unpack_from(">BI", data, boxes[b"stz2"] + 7)
     if width == 4:
@@ -164,6 +172,8 @@ def fragment_samples(data: bytes, at: int, end: int, base: int, known: list[int]
     held = [k for k, bit in enumerate((0x100, 0x200, 0x400, 0x800)) if flags & bit]
     if at + 4 * n * len(held) > end:
         raise ValueError("a run of samples that ends too early")
+    if not held and n * max(known[1], 1) > end + len(data):
+        raise ValueError("more samples than the container has bytes")
     given = np.frombuffer(data, ">u4", n * len(held), at).reshape(n, len(held)).astype(np.int64)
     value = [given[:, held.index(k)] if k in held else np.full(n, known[k], np.int64) for k in range(3)]
     if first is not None and n:
@@ -173,7 +183,14 @@ def fragment_samples(data: bytes, at: int, end: int, base: int, known: list[int]
 
 
 def probe_tracks(data: bytes) -> list[Track]:
-    """All tracks of a container, in the order of the file."""
+    """All tracks of a container, in the order of the file; ValueError for whatever is none."""
+    try:
+        return _tracks(data)
+    except (struct.error, IndexError, KeyError, OverflowError) as e:
+        raise ValueError(f"a container that ends too early: {e}") from e
+
+
+def _tracks(data: bytes) -> list[Track]:
     tracks: list[dict[bytes, int]] = []
     defaults: dict[int, tuple[int, ...]] = {}
     runs: dict[int, list] = {}

@@ -107,3 +107,34 @@ def test_features_match_brute_force(spark):
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
     assert got[2][1:] == got[7][1:] and got[2].feature.startswith("codec=uncv;duration=1/25;frames=1;keyframes=")
     assert isomedia.features(df.limit(0)).count() == 0
+
+
+def test_whatever_is_no_container_is_a_value_error():
+    import random
+    import struct
+
+    r = random.Random(5)
+    good = isomedia.write_container(bytes(range(256)) * 9)
+    for n in range(4000):
+        data = bytearray(good)
+        for _ in range(r.randint(1, 4)):
+            at = r.randrange(len(data) - 8)
+            if n % 2:
+                data[at] = r.randrange(256)
+            else:
+                data[at : at + 4] = struct.pack(">I", r.choice([0, 1, 0xFFFFFFFF, 0x7FFFFFFF, r.getrandbits(32)]))
+        if n % 5 == 0:
+            del data[r.randrange(len(data)) :]
+        try:
+            track = isomedia.probe(bytes(data))
+            assert len(track.sizes) <= len(good) + len(data)
+        except ValueError:
+            pass
+    deep = b"junk"
+    for _ in range(3000):
+        deep = isomedia.box(b"moov", deep)
+    with pytest.raises(ValueError):
+        isomedia.probe(deep)
+    for data in (b"", b"\0" * 7, b"\0\0\0\x08free", b"text that is none"):
+        with pytest.raises(ValueError):
+            isomedia.probe(data)
