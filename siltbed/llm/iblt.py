@@ -14,7 +14,8 @@ Likeness is the share of pieces, of those that either text has, that both have.
 
 Neighbours in the order of ids are found without moving a text twice: the rows
 go to ranges of ids once; the first row of each range goes to the range before
-as well.
+as well. An id that very many rows share, null among them, is cut into ranges by the
+digests of its texts.
 
 Defined results: null and empty texts have no pieces, and are like one another
 (likeness 1); ids descend, null last, rows that share an id follow the digest of
@@ -25,6 +26,7 @@ Columns of the caller may have any name: the result has its own only.
 """
 
 import base64
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,12 +34,12 @@ from functools import partial
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 LEAST_CELLS, HASHES = 24, 3
 LONG_PIECE = 400
@@ -207,39 +209,79 @@ def _pairs(batches: Iterator[pa.RecordBatch], names: list[str], kinds: list[pa.D
                 held = []
 
 
+#: The greatest id.
+LAST = (1 << 63) - 1
+
+
+class Ranges:
+    """Ranges of rows in descending order of ids, nulls last: about as many rows in each.
+
+    Intervals of ids begin at `starts`; an id with more rows than a range is to have (null
+    is one) is an interval of its own, which the digests of its texts cut into slices.
+    """
+
+    def __init__(self, rows: DataFrame, parts: int):
+        seen = rows.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5], 10 * parts), F.count("*"), F.count("id")).first()
+        cuts, n, known = seen[0] or [], seen[1], seen[2]
+        heavy = {c: k for c in set(cuts) if (k := cuts.count(c)) > 1}
+        self.starts = sorted({*cuts, *(c + 1 for c in heavy if c < LAST)})
+        #: slices of each interval in ascending order, the one below all starts first; of null
+        self.slices = [1, *(heavy.get(c, 1) for c in self.starts)]
+        self.nulls = max(1, -(-(n - known) * parts // max(n, 1)))
+        descending = [*self.slices[::-1], self.nulls]
+        self.total = sum(descending)
+        first = np.cumsum([0, *descending])
+        self.first, self.first_null = first[:-2][::-1].tolist(), int(first[-2])
+        self.heavy, self.n_null = sorted(heavy), n - known
+
+    def interval(self) -> Column:
+        """Which interval an id is in: starts that are not above it, looked up in blocks of a square root of them."""
+        if not self.starts:
+            return F.lit(0)
+        size = max(1, math.isqrt(len(self.starts)))
+        nested = [self.starts[k : k + size] for k in range(0, len(self.starts), size)]
+        heads, blocks = F.lit([b[0] for b in nested]), F.array(*[F.lit(b) for b in nested])
+        block = F.size(F.filter(heads, lambda c: c <= F.col("id")))
+        inside = F.size(F.filter(F.element_at(blocks, F.greatest(block, F.lit(1))), lambda c: c <= F.col("id")))
+        return (F.greatest(block - 1, F.lit(0)) * size + inside).cast("int")
+
+    def range_of(self, digest: Column) -> Column:
+        """The range of a row; a digest is asked for only where it decides."""
+        # slices follow the digests in their order as signed numbers
+        share = (digest.cast("double") + 2.0**63) / 2.0**64
+        at = F.col("_interval") + 1
+        n = F.when(F.col("id").isNull(), F.lit(self.nulls)).otherwise(F.element_at(F.lit(self.slices), at))
+        first = F.when(F.col("id").isNull(), F.lit(self.first_null)).otherwise(F.element_at(F.lit(self.first), at))
+        return (first + F.when(n > 1, F.least(F.floor(share * n), n - 1)).otherwise(0)).cast("int")
+
+
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """Per row: id, n_chars, edited_sha256, both fingerprints, near_edited, near_next."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    ids = rows.select("id")
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
         raise TypeError(f"{id_col} must be an integer column")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_chars", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")], *[T.StructField(n, T.DoubleType()) for n in ("near_edited", "near_next")]])
-    kinds = [pa.int64() if isinstance(docs.schema[id_col].dataType, T.LongType) else pa.int32(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
-    # range ends: parts - 1 ids at most; from the id column only
-    cuts = ids.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5], 10 * parts)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
-    ascending = np.array(cuts[::-1], np.int64)
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        at = np.full(len(ids), len(ascending) + 1, np.int32)
-        at[known] = len(ascending) - np.searchsorted(ascending, ids[known].to_numpy(np.int64), side="right")
-        return pd.Series(at)
-
+    kinds = [to_arrow_type(docs.schema[id_col].dataType), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+    cut = Ranges(rows, parts)
     digest = F.xxhash64("text")
-    # first row of each range, by id descending, then digest: that range's guest in the one before
-    firsts = rows.select(range_of(F.col("id")).alias("range"), F.struct(F.bitwise_not("id").alias("order"), digest.alias("h"), F.col("id").alias("id")).alias("row"))
-    firsts = firsts.groupBy("range").agg(F.min("row").alias("row")).select("range", "row.id", "row.h").collect()  # parts rows
+    placed = rows.withColumn("_interval", cut.interval())
+    # the first row of each range is its guest in the one before: the greatest id, from ids alone, and
+    # where an id has ranges of its own, the least digest of each
+    single = rows.where(F.col("id").isNotNull() & ~F.col("id").isin(cut.heavy)).select("id").withColumn("_interval", cut.interval())
+    firsts = [(r.range, r.id, None) for r in single.select(cut.range_of(F.lit(0)).alias("range"), "id").groupBy("range").agg(F.max("id").alias("id")).collect()]
+    if cut.heavy or cut.n_null:
+        shared = placed.where(F.col("id").isNull() | F.col("id").isin(cut.heavy)).select(cut.range_of(digest).alias("range"), "id", digest.alias("h"))
+        firsts += [(r.range, r.id, r.h) for r in shared.groupBy("range", "id").agg(F.min("h").alias("h")).collect()]
     if not firsts:
         return spark.createDataFrame([], kind)
-    order = sorted(firsts)
-    host = {first.range: order[k - 1].range for k, first in enumerate(order)}  # the first range's guest goes to the last
-    guests = spark.createDataFrame([(first.id, first.h, host[first.range]) for first in order], T.StructType([T.StructField("gid", docs.schema[id_col].dataType), T.StructField("gh", T.LongType()), T.StructField("range", T.IntegerType())]))
-    own = rows.select(range_of(F.col("id")).alias("range"), F.lit(False).alias("guest"), "id", digest.alias("h"), "text")
-    sent = rows.withColumn("h", digest).join(F.broadcast(guests), F.col("id").eqNullSafe(F.col("gid")) & (F.col("h") == F.col("gh")))
-    sent = sent.dropDuplicates(["range"]).select("range", F.lit(True).alias("guest"), "id", "h", "text")
-    both = own.union(sent).repartitionById(len(cuts) + 2, F.col("range")).sortWithinPartitions("range", "guest", F.col("id").desc_nulls_last(), "h")
-    return both.select("range", "guest", "id", "text").mapInArrow(partial(_pairs, names=kind.names, kinds=kinds), kind)
+    order = sorted(firsts, key=lambda r: r[0])  # a row a range
+    host = {r[0]: order[k - 1][0] for k, r in enumerate(order)}  # the first range's guest goes to the last
+    guests = spark.createDataFrame([(i, h, host[r]) for r, i, h in order], "gid long, gh long, range int")
+    own = placed.select(cut.range_of(digest).alias("range"), F.lit(False).alias("guest"), "id", digest.alias("h"), "text")
+    wanted = rows.where(F.col("id").isNull() | F.col("id").isin([i for _, i, _ in order if i is not None])) if len(order) <= 10_000 else rows
+    sent = wanted.withColumn("h", digest).join(F.broadcast(guests), F.col("id").eqNullSafe(F.col("gid")) & (F.col("gh").isNull() | (F.col("h") == F.col("gh"))))
+    sent = sent.groupBy("range").agg(F.min(F.struct("h", "id", "text")).alias("row")).select("range", F.lit(True).alias("guest"), "row.id", "row.h", "row.text")
+    both = own.union(sent).repartitionById(cut.total, F.col("range")).sortWithinPartitions("range", "guest", F.col("id").desc_nulls_last(), "h")
+    return both.select("range", "guest", F.col("id").cast(docs.schema[id_col].dataType), "text").mapInArrow(partial(_pairs, names=kind.names, kinds=kinds), kind)

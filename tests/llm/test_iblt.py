@@ -76,3 +76,18 @@ def test_ids_must_be_integers(spark):
         iblt.compared(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
     clash = spark.createDataFrame([(1, "x. y", 1, "h", 2), (1, "x. y", 1, "h", 2)], "doc_id int, text string, range int, h string, guest int")
     assert [r.near_next for r in iblt.compared(clash).collect()] == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("parts", [2, 8])
+def test_ids_that_many_rows_share_are_cut_by_their_texts(spark, parts):
+    r = random.Random(6)
+    text = lambda: ". ".join(str(r.randrange(99)) for _ in range(r.randint(0, 9)))
+    rows = [(None, text()) for _ in range(150)] + [(7, text()) for _ in range(150)] + [(-5, text()) for _ in range(100)] + [(r.randrange(20), text()) for _ in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = sorted(df.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect(), key=lambda x: (x.doc_id is None, -(x.doc_id or 0), x.h))
+    want = Counter((x.doc_id, len(x.text), hashlib.sha256(brute_edit(x.text, n.text).encode()).hexdigest()) for x, n in zip(order, order[1:] + order[:1]))
+    assert Counter((x.doc_id, x.n_chars, x.edited_sha256) for x in iblt.compared(df, parts=parts).collect()) == want
+    cut = iblt.Ranges(df.selectExpr("doc_id AS id", "text"), 8)
+    assert cut.nulls >= 2 and 7 in cut.heavy
+    sizes = df.selectExpr("doc_id AS id", "text").withColumn("_interval", cut.interval()).groupBy(cut.range_of(iblt.F.xxhash64("text")).alias("range")).count().collect()
+    assert max(x["count"] for x in sizes) < 150 and max(x.range for x in sizes) < cut.total
