@@ -122,6 +122,17 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     return rows.select(*s.columns, (F.col(out) + F.coalesce("_before", F.lit(0))).alias(out))
 
 
+def summed(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, known: Cuts | None = None, least: int = LEAST) -> DataFrame:
+    """df with the sum of the values of all rows before each, in the order of a key; 0 of the first. Values are integers."""
+    s = Sliced(df, keys, order, known, least)
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = s.rows.withColumn(out, F.coalesce(F.sum(value).over(so_far(s.window)), F.lit(0)))
+    if not s.hot:
+        return rows
+    rows = s.carried(rows, {"_n": F.sum(value)}, {"_before": F.sum("_n").over(so_far(s.across))})
+    return rows.select(*s.columns, (F.col(out) + F.coalesce("_before", F.lit(0))).alias(out))
+
+
 def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, known: Cuts | None = None, least: int = LEAST) -> DataFrame:
     """df with the last value that is not NULL up to each row, its own included, in the order of a key."""
     s = Sliced(df, keys, order, known, least)

@@ -43,6 +43,8 @@ def test_all_equal_plain_windows(events, least):
     assert shown(ordered.after(events, ["k"], ORDER, {"p": "v"}, least=least)) == shown(events.withColumn("p", F.lead("v").over(w)))
     assert shown(ordered.numbered(events, ["k"], ORDER, "n", least=least)) == shown(events.withColumn("n", F.row_number().over(w).cast("long")))
     assert shown(ordered.filled(events, ["k"], ORDER, "v", "f", least=least)) == shown(events.withColumn("f", F.last("v", True).over(frame)))
+    past = F.coalesce(F.sum("id").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    assert shown(ordered.summed(events, ["k"], ORDER, "id", "s", least=least)) == shown(events.withColumn("s", past))
     got = ordered.pieces(events, ["k"], ORDER, ["id", "v"], 70, least=least).collect()
     assert max(len(r.rows) for r in got) == 70
     by = {}
