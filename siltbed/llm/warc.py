@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.llm.common import looked_up, stored
+from siltbed.operators import ordered
 
 ARCHIVE_BYTES = 8 << 20
 RANGE_ROWS, BLOCK_ROWS, FAN_IN = 100_000, 1024, 64
@@ -317,10 +318,13 @@ def ranged(blocks: DataFrame, groups: int, rows: int) -> tuple[DataFrame, int]:
     # begins and ends of blocks in one order: the range of a place is that of the last begin up to it
     begins = index.select("group", "run", "seq", F.col("first").alias("key"), F.lit(0).alias("end"), "n")
     ends = index.select("group", "run", "seq", F.col("last").alias("key"), F.lit(1).alias("end"), F.lit(0).cast("long").alias("n"))
-    line = Window.partitionBy("group").orderBy("key", "end")
-    events = begins.union(ends).withColumn("before", F.sum("n").over(line) - F.col("n"))
-    events = events.withColumn("range", F.when(F.col("end") == 0, F.floor(F.col("before") / rows).cast("int")))
-    events = stored(events.withColumn("range", F.max("range").over(line)), "warc-places")
+    events = stored(begins.union(ends), "warc-places")
+    # all blocks are one group in the last pass: a long group is cut by its keys, running sums are carried
+    order = ["key", "end", "run", "seq"]
+    known = ordered.cuts(events, ["group"], order, ordered.LEAST)
+    events = ordered.summed(events, ["group"], order, "n", "before", known)
+    events = events.withColumn("begun", F.when(F.col("end") == 0, F.floor(F.col("before") / rows).cast("int")))
+    events = stored(ordered.filled(events, ["group"], order, "begun", "range", known), "warc-places")
     lows = events.where("end = 0").groupBy("group", "range").agg(F.min("key").alias("low"))
     lows = stored(lows.withColumn("high", F.lead("low").over(Window.partitionBy("group").orderBy("range"))), "warc-ranges")
     reach = events.groupBy("run", "seq").agg(F.min("group").alias("group"), F.min("range").alias("a"), F.max("range").alias("b"))
