@@ -2,6 +2,12 @@
 
 Each stage works on all rows that the one before it kept. All but the last
 return the columns of documents.
+
+Defined results, as the operators state them: null and empty texts are scored, are copies of each
+other, hold no personal data, have size 0 and no ids; rows of a null id come last; repeated rows are
+copies, of which one stays; equal texts keep the least id; texts are taken whole however long;
+columns of any name that documents have pass through all stages but the last; empty tables give
+empty tables.
 """
 
 from __future__ import annotations

@@ -3,6 +3,9 @@
 Each round is two joins and two map-side-combined aggregates over the links, so
 no group of neighbours is ever gathered in one task, and links never reach the
 driver. Rounds are cut with tables in the shared folder.
+
+Defined results: a link with a null end is no link; self-links and repeated links do no harm;
+no links give no nodes.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ Defined results: null texts count as empty and take nothing; sources are ordered
 by code point, null last; repeated rows share a key and are taken as if they
 were different documents; a quality that is null or NaN counts as 1, one of 0 or
 less is taken last; columns of the caller named like an added one give way, all
-other names are free; reruns agree; an empty table gives an empty table.
+other names are free; very long texts are counted whole; reruns agree; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
