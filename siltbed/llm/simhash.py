@@ -151,24 +151,30 @@ def blocks_for(n: int, radius: int) -> int:
     return blocks
 
 
-def covered(own: np.ndarray, other: np.ndarray, width: int) -> tuple[int, int]:
-    """How many words of a text, given by its shingles in order, stand in shingles that another has, and how many such shingles."""
+def covered(own: np.ndarray, other: np.ndarray, width: int) -> int:
+    """How many words of a text, given by its shingles in order, stand in shingles that another has."""
     at = np.flatnonzero(np.isin(own, other))
-    return (int(np.minimum(np.diff(at), width).sum()) + width if len(at) else 0), len(at)
+    return int(np.minimum(np.diff(at), width).sum()) + width if len(at) else 0
 
 
-def alike(a: np.ndarray, b: np.ndarray, least: float, width: int) -> bool:
-    """Whether the share of both texts' words in common shingles is `least` or more, and the cosine of
-    their sets of shingles LIKE; a and b are their shingles in order. Two empty texts are alike."""
+def alike(a: np.ndarray, b: np.ndarray, least: float, width: int, sets: tuple[np.ndarray, np.ndarray] | None = None) -> bool:
+    """Whether the cosine of two texts' sets of shingles is LIKE or more, and the share of both texts' words
+    in common shingles `least`. a and b are their shingles in order, `sets` the sorted distinct ones, if
+    the caller has them. Two empty texts are alike."""
     if not len(a) or not len(b):
         return len(a) == len(b)
-    n, m = len(a) + width - 1, len(b) + width - 1
-    bound = least * (n + m) * (1 - 1e-12)
-    x, common = covered(a, b, width)
-    if x + m < bound or not common or x + covered(b, a, width)[0] < bound:
+    x, y = sets or (np.unique(a), np.unique(b))
+    # the cosine first: a merge of two sorted sets turns most pairs away
+    low, high = sorted((len(x), len(y)))
+    bound = LIKE * LIKE * high * (1 - 1e-12)
+    if low < bound:
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    if common * common < bound * low:
         return False
-    a, b = np.unique(a), np.unique(b)
-    return len(np.intersect1d(a, b, assume_unique=True)) ** 2 >= LIKE * LIKE * len(a) * len(b) * (1 - 1e-12)
+    n, m = len(a) + width - 1, len(b) + width - 1
+    return covered(a, b, width) + covered(b, a, width) >= least * (n + m) * (1 - 1e-12)
 
 
 def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0, width: int = 1) -> np.ndarray:
@@ -181,6 +187,12 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
     order = np.argsort(pops, kind="stable")
     f, pops = words[order], pops[order]
     root = np.arange(len(f))
+    distinct = [np.unique(x) for x in sets] if sets is not None else []
+
+    def good_pair(x: int, y: int) -> bool:
+        x, y = order[x], order[y]
+        return alike(sets[x], sets[y], least, width, (distinct[x], distinct[y]))
+
     for a in range(0, len(f), step):
         left = f[a : a + step]
         top = pops[min(a + step, len(f)) - 1]
@@ -199,7 +211,7 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
                 if sets is not None:
                     # a few at a time: what they link needs no further look
                     tried, i, j = (i[:few], j[:few]), i[few:], j[few:]
-                    good = np.array([alike(sets[order[x]], sets[order[y]], least, width) for x, y in zip(*tried)])
+                    good = np.array([good_pair(x, y) for x, y in zip(*tried)])
                     few = 64 if good.any() else min(2 * few, 4096)
                     if not good.any():
                         continue
