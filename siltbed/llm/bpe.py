@@ -39,7 +39,7 @@ from siltbed.llm.common import without
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 100_000
+KEPT, LIBRARY_KEPT = 100_000, 500_000
 SLICE_CHARS, SLICE_ROWS = 1 << 20, 512
 LONGEST_KEPT, TOGETHER = 64, 512
 NO_RANK = np.iinfo(np.int32).max
@@ -175,12 +175,15 @@ class Splitter:
     """Cuts a text into the pre-tokenizer's words."""
 
     def __init__(self):
-        self.words = regex.compile(PATTERN)
+        # the same words, and the commonest kind is tried first: it begins otherwise than the contractions before it
+        contractions, letters, rest = PATTERN.partition(r" ?\p{L}+|")
+        quick = letters + "'(?:[stmd]|re|ve|ll)|" + rest
+        self.words = regex.compile(quick)
         self.library = ByteLevel(add_prefix_space=False)
         # the same pattern with the classes spelled out for Latin-1, which the plain engine runs twice as fast
         letters, numbers = ("".join(re.escape(c) for c in map(chr, range(256)) if category(c)[0] == k) for k in "LN")
         spaces = r" \t-\r\x85\xa0"
-        spelled = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+        spelled = quick.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
         self.latin = re.compile(spelled.replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]"))
 
     def __call__(self, text: str) -> list[str]:
@@ -194,13 +197,13 @@ class Splitter:
 
 
 class Pool:
-    """Ids of the words met of late, in one flat array; two generations of about KEPT words.
+    """Ids of the words met of late, in one flat array; two generations of about `kept` words, KEPT if None.
 
     learn: words to their flat ids, and how many each has.
     """
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], added: dict[str, int]):
-        self.learn, self.added, self.split = learn, added, Splitter()
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], added: dict[str, int], kept: int | None = None):
+        self.learn, self.added, self.split, self.kept = learn, added, Splitter(), kept
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.gap = re.compile(r" (?=\S)")
         self.forget()
@@ -236,7 +239,7 @@ class Pool:
         self.used += len(flat)
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.codes) > KEPT:
+        if len(self.codes) > (self.kept or KEPT):
             self.renew()
         split = [self.split(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
@@ -289,13 +292,17 @@ def library_pool(path: str) -> Pool:
     """A pool whose words the tokenizers library encodes, each distinct one once.
 
     Words that are a space and letters go to it many at a time, end to end: it cuts them
-    apart again where each begins. Where it counts other words than were given (letters of
-    another Unicode version), and all other words, it gets one by one.
+    apart again where each begins, which is where a token has the space's letter. Where these are
+    not as many as the words that were given (letters of another Unicode version), and all
+    other words, it gets one by one.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     library = Tokenizer.from_file(path)
     library.no_truncation()
     library.no_padding()
+    space = byte_letters()[0x20]
+    begins = np.zeros(1 + max(library.get_vocab().values()), bool)
+    begins[[i for t, i in library.get_vocab().items() if t[0] == space]] = True
 
     def one_by_one(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
@@ -309,16 +316,16 @@ def library_pool(path: str) -> Pool:
         for k in range(0, len(where), TOGETHER):
             at = where[k : k + TOGETHER]
             own = [words[i] for i in at.tolist()]
-            found = library.encode("".join(own), add_special_tokens=False)
-            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(own))
+            ids = np.array(library.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, np.int32)
+            first = np.flatnonzero(begins[ids])
             places.append(at)
-            parts.append((np.array(found.ids, np.int32), sizes) if len(sizes) == len(own) else one_by_one(own))
+            parts.append((ids, np.diff(first, append=len(ids))) if len(first) == len(own) else one_by_one(own))
         flat, sizes = (np.concatenate(x) for x in zip(*parts))
         # back to the order of the words
         order = np.argsort(np.concatenate(places))
         return flat[spread((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
 
-    return Pool(learn, {t.content: i for i, t in library.get_added_tokens_decoder().items()})
+    return Pool(learn, {t.content: i for i, t in library.get_added_tokens_decoder().items()}, LIBRARY_KEPT)
 
 
 @lru_cache(maxsize=4)
