@@ -177,6 +177,27 @@ def alike(a: np.ndarray, b: np.ndarray, least: float, width: int, sets: tuple[np
     return covered(a, b, width) + covered(b, a, width) >= least * (n + m) * (1 - 1e-12)
 
 
+#: Pairs of a tile from which their common shingles are counted all at once; columns of a matrix then.
+TOGETHER, COLUMNS = 8192, 4096
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each left set shares with each right one: products of 0/1 matrices over what both sides have."""
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(y) for y in x]), len(x)) for x in (left, right)]
+    known = np.intersect1d(sides[0][0], sides[1][0])
+    out = np.zeros((len(left), len(right)), np.float32)
+    for k in range(0, len(known), COLUMNS):
+        part, both = known[k : k + COLUMNS], []
+        for members, owner, n in sides:
+            at = np.minimum(np.searchsorted(part, members), len(part) - 1)
+            hit = part[at] == members
+            own = np.zeros((n, len(part)), np.float32)
+            own[owner[hit], at[hit]] = 1
+            both.append(own)
+        out += both[0] @ both[1].T
+    return out
+
+
 def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[np.ndarray] | None = None, least: float = 0.0, width: int = 1) -> np.ndarray:
     """Links (place, place of root) that span what lies within the radius.
 
@@ -188,6 +209,12 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
     f, pops = words[order], pops[order]
     root = np.arange(len(f))
     distinct = [np.unique(x) for x in sets] if sets is not None else []
+    sizes = np.array([len(distinct[k]) for k in order] if sets is not None else [], np.float64)
+
+    def like(i: np.ndarray, j: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Which pairs of two tiles that begin at a and b have a cosine of LIKE."""
+        common = common_counts([distinct[k] for k in order[a : a + step]], [distinct[k] for k in order[b : b + step]])[i - a, j - b]
+        return common.astype(np.float64) ** 2 >= LIKE * LIKE * sizes[i] * sizes[j] * (1 - 1e-12)
 
     def good_pair(x: int, y: int) -> bool:
         x, y = order[x], order[y]
@@ -203,6 +230,12 @@ def spanning_links(words: np.ndarray, radius: int, step: int = 512, sets: list[n
             apart = sum(np.bitwise_count(left[:, None, k] ^ right[None, :, k]).astype(np.int16) for k in range(f.shape[1]))
             i, j = np.nonzero(apart <= radius)
             i, j, few = i + a, j + b, 64
+            if sets is not None:
+                other = root[i] != root[j]
+                i, j = i[other], j[other]
+                if len(i) > TOGETHER:
+                    good = like(i, j, a, b)
+                    i, j = i[good], j[good]
             while True:
                 other = root[i] != root[j]
                 i, j = i[other], j[other]

@@ -266,3 +266,22 @@ def test_copies_and_clean_documents_of_the_given_tables(spark):
     assert len(later) > 30 and len(later & kept) <= len(later) // 10
     gone = texts.keys() - kept
     assert all(i in linked or not texts[i].strip() or len(by[next(iter(simhash.shingle_hashes(texts[i], 5, True).tolist()))]) >= 2 for i in gone)
+
+
+def test_common_shingles_are_counted_all_at_once(monkeypatch):
+    r = np.random.default_rng(8)
+    sets = [np.sort(r.choice(300, r.integers(0, 60), replace=False)) for _ in range(70)]
+    got = simhash.common_counts(sets[:40], sets[40:])
+    assert (got == [[len(np.intersect1d(x, y)) for y in sets[40:]] for x in sets[:40]]).all()
+    texts = [r.permutation(r.choice(sets[k % 5], 40)) for k in range(200) if len(sets[k % 5]) > 10] + [np.empty(0, np.int64)] * 3
+    words = np.zeros((len(texts), 1), np.uint64)
+    one, all_ = (None, None)
+    for together in (10**9, 0):
+        monkeypatch.setattr(simhash, "TOGETHER", together)
+        monkeypatch.setattr(simhash, "COLUMNS", 7)
+        root = list(range(len(texts)))
+        for u, v in simhash.spanning_links(words, 4, 32, texts, 0.8, 1).tolist():
+            p, q = root[u], root[v]
+            root = [min(p, q) if x in (p, q) else x for x in root]
+        one, all_ = root, one
+    assert one == all_ and 3 < len(set(one)) < len(texts)
