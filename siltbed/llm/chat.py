@@ -118,7 +118,7 @@ class _Part:
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["conv_id", "block", "part", "is_whole", "n_turns", "formatted", "loss"]
-    group = message = state = None
+    group = state = None
     part, rows, size = _Part(), [], 0
     kinds: list[pa.DataType] = []
 
@@ -148,15 +148,14 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         kinds = [b.column(0).type, b.column(1).type]
         for a in range(0, b.num_rows, 1000):
-            for conv, block, own, *event in zip(*(c.slice(a, 1000).to_pylist() for c in b.columns)):
-                new = group != (conv, block)
-                if new or own != message:
+            for conv, block, first, *event in zip(*(c.slice(a, 1000).to_pylist() for c in b.columns)):
+                if first:
                     finish()
-                    if new:
+                    if group != (conv, block):
                         if group is not None:
                             close(True)
                         group = (conv, block)
-                    message, state = own, Message()
+                    state = Message()
                 state.take(*event)
             if size >= PART_CHARS:
                 yield batch()
@@ -176,9 +175,10 @@ def formatted(log: DataFrame) -> DataFrame:
     length. loss is a list of ranges of `formatted`, ends exclusive.
     """
     rows = log.select("conv_id", "block", "message", *EVENT)
-    # the numbering deals and sorts the rows; a log that is dealt so already is not moved again
+    # the window deals and sorts the rows; a log that is dealt so already is not moved again
     order = Window.partitionBy("conv_id", "block").orderBy("message", "seq", "kind", "start", "text")
-    rows = rows.withColumn("_n", F.row_number().over(order)).where("_n > 0").drop("_n", "seq")
+    rows = rows.withColumns({"_other": ~F.lag("message").over(order).eqNullSafe(F.col("message")), "_none": F.lag(F.lit(1)).over(order).isNull()})
+    rows = rows.select("conv_id", "block", (F.col("_none") | F.col("_other")).alias("first"), *[c for c in EVENT if c != "seq"])
     kinds = {f.name: f.dataType.simpleString() for f in log.schema}
     return rows.mapInArrow(_fold, f"conv_id {kinds['conv_id']}, block {kinds['block']}, part long, is_whole boolean, n_turns long, formatted string, loss {LOSS}")
 
@@ -199,10 +199,14 @@ def log_of(conversations: DataFrame, pieces: int = 8) -> DataFrame:
     rows = rows.select("conv_id", block.alias("block"), "turn", "role", "text").repartition("conv_id", "block")
     same = Window.partitionBy("conv_id", "block", "turn").orderBy("role", "text")
     rows = rows.withColumn("_copy", F.row_number().over(same))
-    size, gap = F.length("text"), F.lit(3)
-    cut = F.when(~F.col("role").eqNullSafe(ASSISTANT) & (size >= 10), F.floor(size / 2).cast("int"))
-    sent = F.when(cut.isNotNull(), F.concat(F.substring("text", F.lit(1), cut), F.lit("~"), F.col("text").substr(cut + gap + 1, size))).otherwise(F.col("text"))
-    step = F.greatest(F.ceil(F.length(sent) / pieces), F.lit(1)).cast("int")
+    # column by column, so that none is worked out anew for each event
+    gap, size = F.lit(3), F.col("_size")
+    rows = rows.withColumn("_size", F.length("text"))
+    rows = rows.withColumn("_cut", F.when(~F.col("role").eqNullSafe(ASSISTANT) & (size >= 10), F.floor(size / 2).cast("int")))
+    cut = F.col("_cut")
+    rows = rows.withColumn("_sent", F.when(cut.isNotNull(), F.concat(F.substring("text", F.lit(1), cut), F.lit("~"), F.col("text").substr(cut + gap + 1, size))).otherwise(F.col("text")))
+    rows = rows.withColumn("_step", F.greatest(F.ceil(F.length("_sent") / pieces), F.lit(1)).cast("int"))
+    sent, step = F.col("_sent"), F.col("_step")
     nothing = F.lit(None).cast("int")
 
     def event(follow: int, kind: str, text: Column | None = None, start: Column = nothing, length: Column = nothing) -> Column:
