@@ -25,6 +25,10 @@ comparison within buckets is the same, but gives candidates only. Candidates tha
 hang together meet a second time with their shingle hashes, cut
 into units of bounded size like buckets, and two of them link if they are alike,
 counted exactly. Texts without words are copies of each other.
+Most keys belong to one text only: keys are dealt out with 8 bytes of the text's digest, and only
+entries that share theirs get fingerprints and are compared. Texts move only where a Bloom
+filter (operators/touched.py, up to four million keys; beyond, all are joined) says that they may
+be a candidate's, or that their row may be one that goes or is repeated; exact joins follow.
 SimHash and keys are of distinct shingles, so lines that repeat do not
 count. Of 256 bits, copies of cosine 0.6 differ in 76 on average (deviation about
 7.3); the radius is 96.
@@ -52,8 +56,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import forget, looked_up, stored
+from siltbed.llm.common import forget, last_kept, looked_up, stored
 from siltbed.llm.components import components
+from siltbed.operators.touched import key_filter
 
 #: Fixed values of the fingerprint: A-Z to a-z, XXH64's seed, words a shingle.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -357,29 +362,47 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int, names: list[str
             yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns[:-1], members], names)
 
 
+def _shared(named: DataFrame, words: list[str]) -> DataFrame:
+    """Rows (c, k, node, words) of the keys that two texts or more have; those that one text has need no comparison.
+
+    Two texts of one short digest both get the other's keys: more candidates, none lost.
+    """
+    short = F.xxhash64("h").alias("e")
+    keyed = named.select(short, F.posexplode("keys").alias("c", "k"))
+    held = keyed.withColumn("n", F.count("*").over(Window.partitionBy("c", "k"))).where("n > 1").drop("n")
+    return held.join(named.select(short, F.col("h").alias("node"), *words), "e").select("c", "k", "node", *words)
+
+
 def _checked(candidates: DataFrame, named: DataFrame, docs: DataFrame, text_col: str, words: list[str], width: int, least: float) -> DataFrame:
     """Links (u, v) of candidates (node, root) of one root that are copies by their shingles."""
     near = candidates.join(named, candidates.node == named.h).select(F.xxhash64("root").alias("c"), F.xxhash64(F.lit(1), "root").alias("k"), "node", *words)
-    texts = docs.select(_digest(text_col).alias("node"), F.col(f"`{text_col}`").alias("text")).join(candidates.select("node"), "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.min("text").alias("text"))
-    sets = texts.mapInArrow(partial(_shingle_sets, width=width, names=["node", "set"]), "node string, set array<long>")
-    keyed = stored(near.join(sets, "node"), "copies-sets")
+    texts = docs.select(_digest(text_col).alias("node"), F.col(f"`{text_col}`").alias("text"))
+    if wanted := key_filter(candidates, ["node"]):
+        texts, _ = wanted.part(texts)
+    # one text a digest before they meet, so a text of many rows moves once a task; words and sets in one row at once
+    both = near.join(texts.groupBy("node").agg(F.min("text").alias("text")), "node").select(*near.columns, "text")
+    kind = T.StructType([*near.schema.fields, T.StructField("set", T.ArrayType(T.LongType()))])
+    keyed = stored(both.mapInArrow(partial(_shingle_sets, width=width, names=kind.names), kind), "copies-sets")
     return bucket_links(keyed, words, WIDE_RADIUS, SET_TILE, least, width)
 
 
-def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int, least: float) -> DataFrame:
-    """(id, h) of the first row, by id (null last), of each class of copies."""
+def _first_of_copies(docs: DataFrame, id_col: str, text_col: str, width: int, tile: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """(id, h) of the first row, by id (null last), of each class of copies; (id, h) of all rows."""
     kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h", T.StringType()), *[T.StructField(f"w{i}", T.LongType()) for i in range(WIDE_WORDS)], T.StructField("keys", T.ArrayType(T.LongType()))])
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), _digest(text_col).alias("h"), F.col(f"`{text_col}`").alias("text"))
     words = [f"w{i}" for i in range(WIDE_WORDS)]
     rows = stored(rows.mapInArrow(partial(_wide_fingerprints, width=width, names=kind.names), kind), "copies")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))).alias("best")
     named = stored(rows.groupBy("h", *words, "keys").agg(first), "copies-distinct")
-    keyed = named.select(F.col("h").alias("node"), *words, F.posexplode("keys").alias("c", "k")).select("c", "k", "node", *words)
-    candidates = stored(components(bucket_links(keyed, words, WIDE_RADIUS, tile)), "copies-candidates")
-    joined = stored(components(_checked(candidates, named, docs, text_col, words, width, least)), "copies-components")
+    with last_kept(docs.sparkSession):
+        shared = stored(_shared(named, words), "copies-shared")
+        candidates = stored(components(bucket_links(shared, words, WIDE_RADIUS, tile)), "copies-candidates")
+    with last_kept(docs.sparkSession):
+        joined = stored(components(_checked(candidates, named, docs, text_col, words, width, least)), "copies-components")
     rooted = named.select("h", "best").join(joined, F.col("h") == F.col("node"), "left").select(F.coalesce("root", "h").alias("root"), "best")
-    return rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h")
+    best = stored(rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h"), "copies-first")
+    forget(docs.sparkSession, named)
+    return best, rows.select("id", "h")
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, radius: int, width: int, tile: int) -> tuple[DataFrame, DataFrame]:
@@ -412,9 +435,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at = {c.lower(): n for c, n in zip(docs.columns, names)}
     rows, own_id, own_text = docs.toDF(*names), at[id_col.lower()], at[text_col.lower()]
-    best = _first_of_copies(rows, own_id, own_text, width, tile, least)
-    # the same three keys for the join and for equal rows: texts move once
+    first, all_rows = _first_of_copies(rows, own_id, own_text, width, tile, least)
+    # the same three keys for the joins and for equal rows
     keys = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_i"), F.col("id").isNull().alias("_n"), F.col("h").alias("_h")]
+    by, best = ["_i", "_n", "_h"], first.select(*keys)
+    # rows that go or are repeated; all others stay where they are
+    counted = all_rows.select(*keys).groupBy(*by).agg(F.count("*").alias("n"))
+    gone = stored(counted.join(best.withColumn("stays", F.lit(True)), by, "left").where("stays is null or n > 1").select(*by), "copies-gone")
     keyed = rows.select(F.col(own_id).alias("id"), _digest(own_text).alias("h"), *names).select(*keys, *names)
-    kept = keyed.join(best.select(*keys), ["_i", "_n", "_h"], "left_semi").dropDuplicates(["_i", "_n", "_h"])
-    return kept.select(*names).toDF(*docs.columns)
+    touched = key_filter(gone, by)
+    may, rest = touched.part(keyed) if touched else (keyed, None)
+    kept = may.join(best, by, "left_semi").dropDuplicates(by).select(*names)
+    return (kept if rest is None else rest.select(*names).union(kept)).toDF(*docs.columns)

@@ -285,3 +285,40 @@ def test_common_shingles_are_counted_all_at_once(monkeypatch):
             root = [min(p, q) if x in (p, q) else x for x in root]
         one, all_ = root, one
     assert one == all_ and 3 < len(set(one)) < len(texts)
+
+
+def written(spark):
+    """Bytes that all shuffles of this session have written."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+
+def test_texts_that_stay_are_not_exchanged(spark):
+    r = random.Random(31)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz     ", k=30_000)) for _ in range(200)]
+    texts += [t + " end" for t in texts[:5]] + texts[5:10]
+    docs = spark.createDataFrame([(i, t, "x", i) for i, t in enumerate(texts)], SCHEMA).repartition(4).localCheckpoint()
+    before = written(spark)
+    kept = simhash.drop_near_duplicates(docs).select("doc_id").collect()
+    assert sorted(x.doc_id for x in kept) == list(range(200))
+    assert written(spark) - before < sum(map(len, texts)) / 4
+
+
+def test_repeated_rows_with_and_without_a_filter(spark, monkeypatch):
+    r = random.Random(32)
+    text = lambda: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(60))
+    own = [text() for _ in range(30)]
+    rows = [(i, t, "p", i) for i, t in enumerate(own)] + [(i, t, "p", i) for i, t in enumerate(own[:10])]
+    rows += [(100 + i, t + " more", "q", i) for i, t in enumerate(own[5:15])] + [(3, own[20], "r", 0), (None, own[21], "r", 0), (None, text(), "n", 0)] * 2 + [(None, None, None, None), (200, "", "e", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted([(i, t) for i, t in enumerate(own) if i != 20] + [(3, own[20]), (-1, rows[-3][1]), (200, "")])
+    for filtered in (simhash.key_filter, lambda *a: None):
+        monkeypatch.setattr(simhash, "key_filter", filtered)
+        got = sorted((-1 if x.doc_id is None else x.doc_id, x.text) for x in simhash.drop_near_duplicates(docs).collect())
+        assert got == want
+
+
+def test_keys_of_one_text_are_not_compared(spark):
+    named = spark.createDataFrame([("a", 1, [7, 8, 9]), ("b", 2, [7, 1, 9]), ("c", 3, [8, 8, 2])], "h string, w0 long, keys array<long>")
+    got = sorted(tuple(x) for x in simhash._shared(named, ["w0"]).collect())
+    assert got == [(0, 7, "a", 1), (0, 7, "b", 2), (1, 8, "a", 1), (1, 8, "c", 3), (2, 9, "a", 1), (2, 9, "b", 2)]
